@@ -20,17 +20,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions.scalars import rank_value
-from weftline.functions.text import news_tokens
+from weftline.functions.text import drop_mail_addresses, drop_urls, letter_runs, strip_message_header
 from weftline.functions.wordlists import NEWS_STOP_WORDS
 from weftline.operators.ranking import top_k, top_k_per_group
+from weftline.operators.rows import computed_once
 from weftline.operators.skew import MIN_HOT_ROWS, salted_join
 
 SCORE_DIGITS = 9
+BODY = "__body"
 
 
 def clean_news_text(df: DataFrame, min_tokens: int = 6, stop_words: Sequence[str] = NEWS_STOP_WORDS) -> DataFrame:
-    """Add ``tokens`` to a table with ``text``; documents of fewer than ``min_tokens`` tokens are dropped."""
-    return df.withColumn("tokens", news_tokens("text", stop_words)).filter(F.size("tokens") >= min_tokens)
+    """Add ``tokens`` to a table with ``text``; documents of fewer than ``min_tokens`` tokens are dropped.
+
+    Header, mail addresses and URLs are removed before the letters are taken.  Several operators read the
+    result; ``materialise`` it if the texts are many.
+    """
+    body = computed_once(df, BODY, strip_message_header("text"))
+    body = computed_once(body, BODY, drop_mail_addresses(BODY))
+    body = computed_once(body, BODY, drop_urls(BODY))
+    tokens = computed_once(body, "tokens", letter_runs(BODY, stop_words))
+    return tokens.drop(BODY).filter(F.size("tokens") >= min_tokens)
 
 
 def class_priors(train: DataFrame) -> DataFrame:
@@ -42,9 +52,8 @@ def class_priors(train: DataFrame) -> DataFrame:
 
 def word_class_counts(train: DataFrame) -> DataFrame:
     """(label, word, n)."""
-    return (
-        train.select("label", F.explode("tokens").alias("word")).groupBy("label", "word").agg(F.count("*").alias("n"))
-    )
+    words = train.select("label", F.explode_outer("tokens").alias("word")).filter(F.col("word").isNotNull())
+    return words.groupBy("label", "word").agg(F.count("*").alias("n"))
 
 
 def class_word_totals(train: DataFrame) -> DataFrame:
@@ -54,7 +63,7 @@ def class_word_totals(train: DataFrame) -> DataFrame:
 
 def vocabulary(train: DataFrame) -> DataFrame:
     """(word), each word of the training part once."""
-    return train.select(F.explode("tokens").alias("word")).distinct()
+    return train.select(F.explode_outer("tokens").alias("word")).filter(F.col("word").isNotNull()).distinct()
 
 
 @dataclass(frozen=True)

@@ -60,9 +60,8 @@ def entity_mentions(
 
     ``labels`` keeps the mentions with one of these labels; None keeps all.
     """
-    mentions = df.select(F.explode(extractor(F.col(text))).alias("mention")).select(
-        trimmed("mention.text").alias("entity"), F.col("mention.label").alias("label")
-    )
+    found = df.select(F.explode_outer(extractor(F.col(text))).alias("mention")).filter(F.col("mention").isNotNull())
+    mentions = found.select(trimmed("mention.text").alias("entity"), F.col("mention.label").alias("label"))
     if labels is not None:
         mentions = mentions.filter(F.col("label").isin(list(labels)))
     return mentions if keep_blank else mentions.filter(F.col("entity") != "")

@@ -113,7 +113,8 @@ def connected_components(vertices: DataFrame, edges: DataFrame, min_hot_rows: in
     links = materialise(edges.select(hi, lo).filter("hi <> lo").distinct())
     changed = True
     while changed:
-        links = materialise(_small_star(_large_star(links, min_hot_rows), min_hot_rows))
+        n_links = links.count()
+        links = materialise(_small_star(_large_star(links, n_links, min_hot_rows), n_links, min_hot_rows))
         changed = not links.filter("moved").isEmpty()
         links = links.select("hi", "lo")
     return vertices.select("id").distinct().join(links.withColumnRenamed("hi", "id"), "id", "left").select(
@@ -121,43 +122,46 @@ def connected_components(vertices: DataFrame, edges: DataFrame, min_hot_rows: in
     )
 
 
-def _large_star(links: DataFrame, min_hot_rows: int) -> DataFrame:
+def _large_star(links: DataFrame, n_links: int, min_hot_rows: int) -> DataFrame:
     """Link the larger neighbours of each vertex to the smallest vertex next to it, itself included.
 
     Only the lower end of a row can have a smaller neighbour, so the minimum over the lower neighbours is
-    all that is needed.  ``moved`` tells whether the row changed.
+    all that is needed.  ``moved`` tells whether the row changed; rows may repeat.
     """
     lowest = links.groupBy(F.col("hi").alias("lo")).agg(F.min("lo").alias("lower"))
-    joined = salted_join(links, lowest, "lo", spread=["hi"], how="left", min_hot_rows=min_hot_rows)
-    return (
-        joined.select("hi", F.coalesce("lower", "lo").alias("lo"), F.col("lower").isNotNull().alias("moved"))
-        .groupBy("hi", "lo")
-        .agg(F.max("moved").alias("moved"))
+    joined = salted_join(
+        links, lowest, "lo", spread=["hi"], how="left", min_hot_rows=min_hot_rows, n_rows=n_links
     )
+    return joined.select("hi", F.coalesce("lower", "lo").alias("lo"), F.col("lower").isNotNull().alias("moved"))
 
 
-def _small_star(links: DataFrame, min_hot_rows: int) -> DataFrame:
+def _small_star(links: DataFrame, n_links: int, min_hot_rows: int) -> DataFrame:
     """Link each vertex and its lower neighbours to the smallest of them.
 
     A vertex with several lower neighbours gives work to a further round, hence ``moved``.
     """
     lowest = links.groupBy("hi").agg(
-        F.min("lo").alias("lower"), F.count("*").alias("n_rows"), F.max("moved").alias("moved")
+        F.min("lo").alias("lower"),
+        F.max("lo").alias("upper"),
+        F.count("*").alias("n_rows"),
+        F.max("moved").alias("moved"),
     )
+    several = F.col("lower") != F.col("upper")
     others = (
         salted_join(
             links.select("hi", "lo"),
-            lowest.filter("n_rows > 1").select("hi", "lower"),
+            lowest.filter(several).select("hi", "lower"),
             "hi",
             spread=["lo"],
             counts=lowest.select("hi", "n_rows"),
             min_hot_rows=min_hot_rows,
+            n_rows=n_links,
         )
         .filter(F.col("lo") != F.col("lower"))
         .select(F.col("lo").alias("hi"), F.col("lower").alias("lo"), F.lit(True).alias("moved"))
     )
-    kept = lowest.select("hi", F.col("lower").alias("lo"), (F.col("moved") | (F.col("n_rows") > 1)).alias("moved"))
-    return kept.unionByName(others).groupBy("hi", "lo").agg(F.max("moved").alias("moved"))
+    kept = lowest.select("hi", F.col("lower").alias("lo"), (F.col("moved") | several).alias("moved"))
+    return kept.unionAll(others).groupBy("hi", "lo").agg(F.max("moved").alias("moved"))
 
 
 def component_sizes(components: DataFrame) -> DataFrame:

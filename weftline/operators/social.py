@@ -2,7 +2,8 @@
 
 Friend lists are kept in long form, ``memberships(list_id, owner, friend)``, one row per entry of a list,
 so that a list of any length spreads over tasks.  Two people on the same list share its owner as a mutual
-friend.
+friend.  ``users`` are the people asked about, usually a small sample: Spark broadcasts them when their
+measured size allows it and otherwise splits skewed partitions of the semi joins by itself.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions.scalars import id_order, pair_high, pair_low
 from weftline.operators.ranking import top_k_per_group
-from weftline.operators.skew import MIN_HOT_ROWS, key_counts, salted_join
+from weftline.operators.skew import MIN_HOT_ROWS, salted_join
 
 
 def explode_adjacency(adjacency: DataFrame) -> DataFrame:
@@ -31,16 +32,9 @@ def memberships_from_edges(edges: DataFrame) -> DataFrame:
     return both.distinct().select(F.col("owner").alias("list_id"), "owner", "friend")
 
 
-def existing_friendships(memberships: DataFrame, users: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def existing_friendships(memberships: DataFrame, users: DataFrame) -> DataFrame:
     """(a, b) with a < b: the pairs that the own list of one of ``users(user)`` names."""
-    own = salted_join(
-        memberships.select(F.col("owner").alias("user"), "friend"),
-        users.select("user").distinct(),
-        "user",
-        spread=["friend"],
-        how="left_semi",
-        min_hot_rows=min_hot_rows,
-    )
+    own = memberships.select(F.col("owner").alias("user"), "friend").join(users.select("user"), "user", "left_semi")
     return own.select(pair_low("user", "friend").alias("a"), pair_high("user", "friend").alias("b")).distinct()
 
 
@@ -51,31 +45,23 @@ def mutual_friend_counts(memberships: DataFrame, users: DataFrame, min_hot_rows:
     found, then the rest of those lists is joined to them.  An entry that a list repeats counts each time.
     """
     entries = memberships.groupBy("list_id", "friend").agg(F.count("*").alias("times"))
-    hits = salted_join(
-        entries.withColumnRenamed("friend", "user"),
-        users.select("user").distinct(),
-        "user",
-        spread=["list_id"],
-        how="left_semi",
-        min_hot_rows=min_hot_rows,
-    ).select("list_id", "user", F.col("times").alias("user_times"))
-    pairs = salted_join(
-        entries,
-        hits,
-        "list_id",
-        spread=["friend"],
-        counts=key_counts(entries, "list_id"),
-        min_hot_rows=min_hot_rows,
-    ).filter(F.col("user") != F.col("friend"))
-    return pairs.groupBy("user", F.col("friend").alias("candidate")).agg(
-        F.sum(F.col("times") * F.col("user_times")).alias("mutual")
+    hits = (
+        entries.withColumnRenamed("friend", "user")
+        .join(users.select("user"), "user", "left_semi")
+        .select("list_id", "user", F.col("times").alias("user_times"))
+    )
+    pairs = salted_join(entries, hits, "list_id", spread=["friend"], min_hot_rows=min_hot_rows)
+    return (
+        pairs.filter(F.col("user") != F.col("friend"))
+        .groupBy("user", F.col("friend").alias("candidate"))
+        .agg(F.sum(F.col("times") * F.col("user_times")).alias("mutual"))
     )
 
 
 def candidate_counts(memberships: DataFrame, users: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """``mutual_friend_counts`` without the pairs that are friends already."""
     counts = mutual_friend_counts(memberships, users, min_hot_rows)
-    existing = existing_friendships(memberships, users, min_hot_rows)
+    existing = existing_friendships(memberships, users)
     return (
         counts.withColumn("a", pair_low("user", "candidate"))
         .withColumn("b", pair_high("user", "candidate"))

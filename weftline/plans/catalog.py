@@ -17,7 +17,7 @@ from weftline.functions.text import search_tokens
 from weftline.functions.wordlists import BATCH_ENTITY_LABELS
 from weftline.operators import classify, entities, graph, sampling, search, social
 from weftline.plans import tables
-from weftline.session import scratch_path
+from weftline.session import materialise, scratch_path
 from weftline.sources import lines, sinks
 from weftline.streaming import counts as stream_counts
 from weftline.streaming import messages
@@ -150,7 +150,7 @@ def friend_lists(spark, sf_dir) -> DataFrame:
 
 def requested_users(spark, sf_dir) -> DataFrame:
     users = friend_lists(spark, sf_dir).select(F.col("owner").alias("user"))
-    return sampling.sample_users(users, N_USERS, SEED)
+    return materialise(sampling.sample_users(users, N_USERS, SEED))
 
 
 @query
@@ -172,7 +172,7 @@ def train_test_split(spark, sf_dir):
 
 @query
 def split_sizes(spark, sf_dir):
-    docs = classify.clean_news_text(tables.labelled_documents(spark, sf_dir))
+    docs = news(spark, sf_dir)
     part = F.when(sampling.split_flag(SEED, "doc_id", 0.2), "test").otherwise("train")
     return docs.groupBy(part.alias("part")).agg(F.count("*").alias("n_docs"))
 
@@ -211,50 +211,55 @@ def recommend_from_lines(spark, sf_dir):
     """Recommendations from text lines, where a user may have many lists and a list repeats friends."""
     members = social.explode_adjacency(lines.parse_adjacency(tables.adjacency_lines(spark, sf_dir)))
     users = sampling.sample_users(members.select(F.col("friend").alias("user")), N_USERS, SEED)
-    return social.recommend(members, users)
+    return social.recommend(members, materialise(users))
 
 
 # --- classification ---------------------------------------------------------------------------------
 
 
-def news_parts(spark, sf_dir, docs=tables.labelled_documents) -> tuple[DataFrame, DataFrame]:
-    return sampling.hash_split(classify.clean_news_text(docs(spark, sf_dir)), SEED, "doc_id", 0.2)
+def news(spark, sf_dir, docs=tables.labelled_documents) -> DataFrame:
+    return classify.clean_news_text(docs(spark, sf_dir)).select("doc_id", "label", "tokens")
+
+
+def news_train(spark, sf_dir) -> DataFrame:
+    return sampling.hash_split(news(spark, sf_dir), SEED, "doc_id", 0.2)[0]
 
 
 def predictions(spark, sf_dir, docs=tables.labelled_documents) -> DataFrame:
-    train, test = news_parts(spark, sf_dir, docs)
+    """Train, predict, and put the true label next to the prediction; every text is tokenized once."""
+    train, test = sampling.hash_split(materialise(news(spark, sf_dir, docs)), SEED, "doc_id", 0.2)
     return classify.with_truth(classify.nb_predict(classify.nb_fit(train), test), test)
 
 
 @query
 def news_tokens(spark, sf_dir):
-    docs = classify.clean_news_text(tables.labelled_documents(spark, sf_dir))
+    docs = news(spark, sf_dir)
     return docs.select("doc_id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
 
 
 @query
 def class_priors(spark, sf_dir):
-    return rounded(classify.class_priors(news_parts(spark, sf_dir)[0]), "prior")
+    return rounded(classify.class_priors(news_train(spark, sf_dir)), "prior")
 
 
 @query
 def largest_priors(spark, sf_dir):
-    return rounded(classify.largest_priors(classify.class_priors(news_parts(spark, sf_dir)[0])), "prior")
+    return rounded(classify.largest_priors(classify.class_priors(news_train(spark, sf_dir))), "prior")
 
 
 @query
 def word_class_counts(spark, sf_dir):
-    return classify.word_class_counts(news_parts(spark, sf_dir)[0])
+    return classify.word_class_counts(news_train(spark, sf_dir))
 
 
 @query
 def class_word_totals(spark, sf_dir):
-    return classify.class_word_totals(news_parts(spark, sf_dir)[0])
+    return classify.class_word_totals(news_train(spark, sf_dir))
 
 
 @query
 def vocabulary_size(spark, sf_dir):
-    train = news_parts(spark, sf_dir)[0]
+    train = news_train(spark, sf_dir)
     n_words = classify.class_word_totals(train).agg(F.sum("n_words")).scalar()
     return classify.vocabulary(train).agg(F.count("*").alias("n_vocabulary")).withColumn("n_words", n_words)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions.text import is_search_term, words
 from weftline.operators.entities import capitalised_words
+from weftline.operators.rows import spread_rows
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,12 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search corpus (doc_id, text)."""
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classifier input (doc_id, label, text): the language is the label."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("label"), "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("label"), "text")
+    return spread_rows(docs, "doc_id")
 
 
 def rated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
