@@ -16,6 +16,9 @@ from weftline.session import build_session  # noqa: E402
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
+SPARK_TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"
+}
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -44,13 +47,16 @@ def compare(spark, con, sf_dir: str, name: str) -> tuple[bool, str]:
     columns = [d[0] for d in result.description]
     want = rows_of(columns, result.fetchall())
     note = f"{len(got)} rows, spark {spark_time:.1f}s, duckdb {time.time() - start:.1f}s"
+    types = {f.name: f.dataType.simpleString() for f in df.schema}
+    sql_types = {d[0]: SPARK_TYPES.get(str(d[1]), str(d[1])) for d in result.description}
+    if types != sql_types:
+        return False, f"types {types} against {sql_types}"
     if sorted(columns) != sorted(df.columns):
         return False, f"columns {sorted(df.columns)} against {sorted(columns)}"
     if got != want:
         only_got = [r for r in got if r not in set(want)][:3]
         only_want = [r for r in want if r not in set(got)][:3]
         return False, f"{note}; {len(want)} expected\n   spark only {str(only_got)[:600]}\n   duckdb only {str(only_want)[:600]}"
-    types = {f.name: f.dataType.simpleString() for f in df.schema}
     return True, f"{note} {types}"
 
 

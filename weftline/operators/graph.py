@@ -16,7 +16,6 @@ from weftline.operators.skew import (
     SALT,
     SALTS,
     hot_keys,
-    key_counts,
     salt_rows,
     salted_join,
 )
@@ -62,24 +61,31 @@ def pagerank(
     Every vertex starts at 1.0; a round gives it ``reset + (1 - reset) * sum(rank / out-degree)`` over its
     incoming edges.  Repeated edges send once each: they are kept as one row with a weight.
 
-    The edges are placed by (src, salt) once and stay there; a round moves one row per vertex to them and
-    the sums per target back.
+    The edges are placed and sorted by (src, salt) once, and the vertices by id; both stay cached where they
+    are, so a round moves one row per vertex to the edges and the sums per target back.  What is cached can
+    be rebuilt from the checkpointed edge table if an executor is lost.
     """
-    weighted = edges.groupBy("src", "dst").agg(F.count("*").alias("weight"))
-    degree = edges.groupBy("src").agg(F.count("*").alias("out_degree"))
-    hot = hot_keys(key_counts(weighted, "src"), "src", min_hot_rows)
+    weighted = materialise(edges.groupBy("src", "dst").agg(F.count("*").alias("weight")))
+    sources = weighted.groupBy("src").agg(F.sum("weight").alias("out_degree"), F.count("*").alias("n_rows"))
+    hot = hot_keys(sources.select("src", "n_rows"), "src", min_hot_rows)
     width = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = materialise(
-        salt_rows(weighted, hot, "src", spread=["dst"]).repartition(width, "src", SALT)
+    placed = (
+        salt_rows(weighted, hot, "src", spread=["dst"])
+        .repartition(width, "src", SALT)
+        .sortWithinPartitions("src", SALT)
+        .persist()
     )
-    base = materialise(
+    base = (
         vertices.select("id")
         .distinct()
-        .join(degree.withColumnRenamed("src", "id"), "id", "left")
+        .join(sources.select(F.col("src").alias("id"), "out_degree"), "id", "left")
         .join(F.broadcast(hot.withColumnRenamed("src", "id")), "id", "left")
         .select("id", "out_degree", F.coalesce(SALTS, F.lit(1)).alias(SALTS))
         .repartition(width, "id")
+        .sortWithinPartitions("id")
+        .persist()
     )
+    placed.count(), base.count()  # fill the caches first: the rounds are then planned on their real layout
     state = base.withColumn("rank", F.lit(1.0))
     for done in range(1, iterations + 1):
         shares = state.filter(F.col("out_degree").isNotNull()).select(
@@ -97,6 +103,8 @@ def pagerank(
         ).drop("received")
         if done == iterations or done % checkpoint_every == 0:
             state = materialise(state)
+    placed.unpersist()
+    base.unpersist()
     scale = state.agg(F.count("*") / F.sum("rank")).scalar()
     return state.select("id", (F.col("rank") * scale).alias("pagerank"))
 

@@ -15,10 +15,10 @@ def computed_once(df: DataFrame, name: str, column: Column) -> DataFrame:
     return df.withColumn(name, F.explode(F.array(column)))
 
 
-def spread_rows(df: DataFrame, key: str) -> DataFrame:
+def spread_rows(df: DataFrame) -> DataFrame:
     """Use all cores for per-row work on an input that has fewer splits than there are cores.
 
     Large inputs have more splits than that and stay as they are, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -70,7 +70,7 @@ def ranked(scores: str) -> str:
     return f"""
 SELECT * FROM (
   SELECT query_id, doc_id, score,
-         row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank
+         row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id)::INTEGER AS rank
   FROM {scores})
 WHERE rank <= 10"""
 
@@ -79,7 +79,7 @@ TITLES = "(SELECT page_id AS doc_id, regexp_extract(html, '<title>([^<]*)</title
 COSINE = f"WITH {search_ctes(PHRASES)} SELECT query_id, doc_id, round(score, 6) AS score, rank FROM ({ranked('several')})"
 
 ORACLE["tokens"] = f"""
-SELECT doc_id, len(t) AS n_tokens, array_to_string(t, ' ') AS tokens
+SELECT doc_id, len(t)::INTEGER AS n_tokens, array_to_string(t, ' ') AS tokens
 FROM (SELECT doc_id, {search_terms('text')} AS t FROM documents)"""
 ORACLE["term_frequency"] = f"WITH {TF} SELECT * FROM tf"
 ORACLE["document_frequency"] = f"WITH {IDF} SELECT * FROM df"
@@ -87,7 +87,7 @@ ORACLE["idf"] = f"WITH {IDF} SELECT term, df, round(idf, 6) AS idf FROM idf"
 ORACLE["tfidf"] = f"WITH {TFIDF} SELECT doc_id, term, tf, round(tfidf, 6) AS tfidf FROM w"
 ORACLE["doc_norms"] = f"WITH {TFIDF} SELECT doc_id, round(norm, 6) AS norm FROM norms"
 ORACLE["doc_vectors"] = f"""
-WITH {TFIDF} SELECT doc_id, count(*) AS n_terms, round(sum(tfidf), 4) AS total_weight FROM w GROUP BY doc_id"""
+WITH {TFIDF} SELECT doc_id, count(*)::INTEGER AS n_terms, round(sum(tfidf), 4) AS total_weight FROM w GROUP BY doc_id"""
 ORACLE["search_single_term"] = (
     f"WITH {search_ctes(WORDS)} SELECT query_id, doc_id, round(score, 6) AS score, rank FROM ({ranked('single')})"
 )
@@ -161,7 +161,7 @@ candidates AS (
 RECOMMENDED = f"""{CANDIDATES},
 recommended AS (
   SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY mutual DESC, candidate::BIGINT) AS rank FROM candidates)
+    SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY mutual DESC, candidate::BIGINT)::INTEGER AS rank FROM candidates)
   WHERE rank <= 10)"""
 LINES = f"""
 WITH {RECOMMENDED}
@@ -192,7 +192,7 @@ mutual AS (
   FROM entries x JOIN entries y ON x.list_id = y.list_id AND x.friend <> y.friend
   WHERE x.friend IN (SELECT "user" FROM users) GROUP BY x.friend, y.friend)
 SELECT * FROM (
-  SELECT m.*, row_number() OVER (PARTITION BY m."user" ORDER BY m.mutual DESC, m.candidate::BIGINT) AS rank
+  SELECT m.*, row_number() OVER (PARTITION BY m."user" ORDER BY m.mutual DESC, m.candidate::BIGINT)::INTEGER AS rank
   FROM mutual m
   LEFT JOIN existing e ON e.a = least(m."user", m.candidate) AND e.b = greatest(m."user", m.candidate)
   WHERE e.a IS NULL)
@@ -257,7 +257,7 @@ NEWS = news(BY_LANGUAGE)
 PREDICTED = predicted(BY_LANGUAGE)
 
 ORACLE["news_tokens"] = (
-    f"WITH {NEWS} SELECT doc_id, len(tokens) AS n_tokens, array_to_string(tokens, ' ') AS tokens FROM news"
+    f"WITH {NEWS} SELECT doc_id, len(tokens)::INTEGER AS n_tokens, array_to_string(tokens, ' ') AS tokens FROM news"
 )
 ORACLE["split_sizes"] = f"""
 WITH {NEWS} SELECT CASE WHEN {IS_TEST} THEN 'test' ELSE 'train' END AS part, count(*) AS n_docs FROM news GROUP BY 1"""

@@ -16,13 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search corpus (doc_id, text)."""
-    return spread_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return spread_rows(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classifier input (doc_id, label, text): the language is the label."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("label"), "text")
-    return spread_rows(docs, "doc_id")
+    return spread_rows(docs)
 
 
 def rated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
