@@ -118,13 +118,13 @@ def connected_components(vertices: DataFrame, edges: DataFrame, min_hot_rows: in
     the logarithm of the size.
     """
     hi, lo = F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")
-    links = materialise(edges.select(hi, lo).filter("hi <> lo").distinct())
-    changed = True
-    while changed:
-        n_links = links.count()
-        links = materialise(_small_star(_large_star(links, n_links, min_hot_rows), n_links, min_hot_rows))
-        changed = not links.filter("moved").isEmpty()
+    links = materialise(edges.select(hi, lo).filter("hi <> lo").distinct().withColumn("moved", F.lit(True)))
+    while True:
+        n_links, moved = links.agg(F.count("*"), F.max("moved")).first()
         links = links.select("hi", "lo")
+        if not moved:
+            break
+        links = materialise(_small_star(_large_star(links, n_links, min_hot_rows), n_links, min_hot_rows))
     return vertices.select("id").distinct().join(links.withColumnRenamed("hi", "id"), "id", "left").select(
         "id", F.coalesce("lo", "id").alias("component")
     )
