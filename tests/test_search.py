@@ -3,7 +3,6 @@ import random
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from weftline.operators import search
 
@@ -114,12 +113,3 @@ def test_doc_vectors(spark):
     assert set(vectors) == {"1", "2", "3", "5", "6"}
     assert vectors["6"] == pytest.approx({"romantic": math.log(7), "comedy": math.log(7 / 3), "drama": 2 * math.log(7 / 2)})
 
-
-def test_texts_are_split_once(spark):
-    """Document frequencies come from the shuffle of the term frequencies."""
-    index = search.build_index(spark.createDataFrame(DOCS * 50, "doc_id string, text string"))
-    index.postings.collect()
-    frame = index.postings.filter(F.lit(True))
-    frame.collect()
-    plan = frame._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange" in plan or plan.count("split(lower") <= 2

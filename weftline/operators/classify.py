@@ -105,14 +105,15 @@ def _better(a: Column, b: Column) -> Column:
 def _base_rivals(model: NaiveBayesModel) -> Column:
     """The classes that can have the best base score for some length, as one array.
 
-    Of the classes with the same number of documents only the one with the fewest tokens can win.  The
-    numbers of documents that differ add up to at most the training size N, so at most sqrt(2 N) classes
-    are left, which fit in one array.
+    Of the classes with the same number of documents only the one with the fewest tokens can win, or, for
+    an empty document, where all of them tie, the one with the smallest label.  Different numbers of
+    documents add up to at most the training size N, so there are at most sqrt(2 N) of them and twice as
+    many rivals, which fit in one array.
     """
-    rivals = model.classes.groupBy("n_docs").agg(
-        F.min(F.struct("n_words", "label", "log_prior", "log_total")).alias("best")
-    )
-    return rivals.agg(F.array_sort(F.collect_list("best"))).scalar()
+    stats = F.struct("label", "log_prior", "log_total")
+    fewest = F.min(F.struct("n_words", stats.alias("stats")))["stats"]
+    rivals = model.classes.groupBy("n_docs").agg(F.array(fewest, F.min(stats)).alias("rivals"))
+    return rivals.agg(F.array_sort(F.flatten(F.collect_list("rivals")))).scalar()
 
 
 def nb_scores(model: NaiveBayesModel, test: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:

@@ -5,7 +5,6 @@ A query is a function (spark, sf_dir) -> DataFrame.  Doubles are rounded here, n
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -128,16 +127,18 @@ def entity_counts_labelled(spark, sf_dir):
     return entities.keep_known_entities(counts, tables.gazetteer(spark, sf_dir), BATCH_ENTITY_LABELS)
 
 
-def load_word_model():
-    """A stand-in for a user's model: capitalised words, labelled by their last letter."""
-    pattern = re.compile(r"(?<!\w)[A-Z][a-z]+(?!\w)")
-    labels = {"e": "PERSON", "n": "GPE", "r": "ORG", "s": "LOC", "t": "DATE"}
-    return lambda text: [(word, labels.get(word[-1], "MISC")) for word in pattern.findall(text)]
-
-
 @query
 def entity_counts_model(spark, sf_dir):
-    return entities.entity_counts(tables.documents(spark, sf_dir), entities.model_extractor(load_word_model))
+    """Entities of a user's model; its stand-in finds capitalised words and labels them by the last letter."""
+
+    def load_model():
+        import re
+
+        pattern = re.compile(r"(?<!\w)[A-Z][a-z]+(?!\w)")
+        labels = {"e": "PERSON", "n": "GPE", "r": "ORG", "s": "LOC", "t": "DATE"}
+        return lambda text: [(word, labels.get(word[-1], "MISC")) for word in pattern.findall(text)]
+
+    return entities.entity_counts(tables.documents(spark, sf_dir), entities.model_extractor(load_model))
 
 
 # --- sampling and splitting -------------------------------------------------------------------------
