@@ -13,6 +13,10 @@ from weftline.functions.wordlists import NEWS_STOP_WORDS, SEARCH_STOP_WORDS
 # it also tests faster than a class that lists the ranges.
 UNICODE = "(?U)"
 WHITE = r"\s\x{1c}-\x{1f}"
+WHITE_CHARS = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 NOT_WORD = r"[^\p{L}\p{N}_]+"
 ASCII_WORD = r"^[a-z]+$"
 
@@ -74,4 +78,4 @@ def letter_runs(text: Column | str, stop_words: Sequence[str] = NEWS_STOP_WORDS,
 
 def trimmed(text: Column | str) -> Column:
     """Trim Unicode white space, tabs and line ends included, on both sides."""
-    return F.regexp_replace(as_column(text), rf"{UNICODE}^[{WHITE}]+|[{WHITE}]+\z", "")
+    return F.btrim(as_column(text), F.lit(WHITE_CHARS))

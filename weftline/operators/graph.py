@@ -185,7 +185,7 @@ def triangle_count(vertices: DataFrame, edges: DataFrame, min_hot_rows: int = MI
     has at least its degree; this bounds the neighbour lists.  A triangle is found once, as a common member
     of the lists at the two ends of an edge, so pairs of neighbours are never listed.
     """
-    pointed = _by_degree(edges, min_hot_rows)
+    pointed = materialise(_by_degree(edges, min_hot_rows))
     lists = pointed.groupBy("src").agg(F.collect_list("dst").alias("others"))
     ends = lists.select(F.col("src").alias("first"), F.col("others").alias("of_first"), F.explode("others").alias("src"))
     common = (
@@ -196,6 +196,7 @@ def triangle_count(vertices: DataFrame, edges: DataFrame, min_hot_rows: int = MI
             spread=["first"],
             counts=pointed.groupBy(F.col("dst").alias("src")).agg(F.count("*").alias("n_rows")),
             min_hot_rows=min_hot_rows,
+            n_rows=pointed.count(),
         )
         .select("first", F.col("src").alias("second"), F.array_intersect("of_first", "others").alias("thirds"))
         .filter(F.size("thirds") > 0)
@@ -213,20 +214,20 @@ def triangle_count(vertices: DataFrame, edges: DataFrame, min_hot_rows: int = MI
 
 def _by_degree(edges: DataFrame, min_hot_rows: int) -> DataFrame:
     """(src, dst): undirected edges without loops and repeats, pointed to the end of higher degree."""
-    pairs = (
-        edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).filter("a <> b").distinct()
-    )
+    a, b = F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")
+    pairs = materialise(edges.select(a, b).filter("a <> b").distinct())
     degree = (
         pairs.select(F.col("a").alias("id"))
         .unionAll(pairs.select(F.col("b").alias("id")))
         .groupBy("id")
         .agg(F.count("*").alias("degree"))
     )
+    size = {"min_hot_rows": min_hot_rows, "n_rows": pairs.count()}
     with_a = salted_join(
-        pairs, degree.toDF("a", "degree_a"), "a", spread=["b"], counts=degree.toDF("a", "n_rows"), min_hot_rows=min_hot_rows
+        pairs, degree.toDF("a", "degree_a"), "a", spread=["b"], counts=degree.toDF("a", "n_rows"), **size
     )
     with_both = salted_join(
-        with_a, degree.toDF("b", "degree_b"), "b", spread=["a"], counts=degree.toDF("b", "n_rows"), min_hot_rows=min_hot_rows
+        with_a, degree.toDF("b", "degree_b"), "b", spread=["a"], counts=degree.toDF("b", "n_rows"), **size
     )
     a_first = F.col("degree_a") <= F.col("degree_b")  # a < b, so a comes first on a tie
     return with_both.select(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions.scalars import cosine, rank_value
@@ -134,21 +134,21 @@ def search_cosine(queries: DataFrame, index: SearchIndex, k: int = 10, stop_word
     A query weighs its terms by count times idf and ignores unknown ones; a document's norm runs over all
     its terms.  Only documents that share a term can score above 0, and only those are listed.
     """
-    per_query = Window.partitionBy("query_id")
-    weighted = (
-        query_terms(queries, stop_words)
-        .filter("n_tokens > 1")
-        .join(index.terms, "term")
-        .select("query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight"))
-        .withColumn("query_norm", F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(per_query)))
+    asked = query_terms(queries, stop_words).filter("n_tokens > 1").select("query_id", "term", "qtf")
+    weight = F.col("qtf") * F.col("idf")
+    query_norms = (
+        asked.join(index.terms.select("term", "idf"), "term")
+        .groupBy("query_id")
+        .agg(F.sqrt(F.sum(weight * weight)).alias("query_norm"))
     )
+    # tfidf / tf is the idf again, so the postings need no second join with the term table
     dots = (
-        index.postings.select("doc_id", "term", "tfidf")
-        .join(weighted, "term")
-        .groupBy("query_id", "doc_id", "query_norm")
-        .agg(F.sum(F.col("weight") * F.col("tfidf")).alias("dot"))
+        index.postings.select("doc_id", "term", "tf", "tfidf")
+        .join(asked, "term")
+        .groupBy("query_id", "doc_id")
+        .agg(F.sum(F.col("qtf") * F.col("tfidf") / F.col("tf") * F.col("tfidf")).alias("dot"))
     )
-    scores = dots.join(index.norms, "doc_id").select(
+    scores = dots.join(index.norms, "doc_id").join(query_norms, "query_id").select(
         "query_id", "doc_id", cosine(F.col("dot"), F.col("query_norm"), F.col("norm")).alias("score")
     )
     return _ranked(scores.filter("score > 0"), k)

@@ -14,14 +14,17 @@ from pyspark.sql import functions as F
 from weftline.functions.scalars import id_order, pair_high, pair_low
 from weftline.operators.ranking import top_k_per_group
 from weftline.operators.skew import MIN_HOT_ROWS, salted_join
+from weftline.session import materialise
 
 
 def explode_adjacency(adjacency: DataFrame) -> DataFrame:
-    """``adjacency(user, friends)`` -> memberships.  Every input row is a list of its own, also where a
-    user has several; apply it directly to a scan, whose row numbers are the same when a task is repeated."""
-    return adjacency.withColumn("list_id", F.monotonically_increasing_id()).select(
-        "list_id", F.col("user").alias("owner"), F.explode("friends").alias("friend")
-    )
+    """``adjacency(user, friends)`` -> memberships.
+
+    Every input row is a list of its own, also where a user has several.  The list ids are checkpointed
+    with the lists, since a repeated task could number its rows in another order.
+    """
+    lists = materialise(adjacency.select(F.monotonically_increasing_id().alias("list_id"), "user", "friends"))
+    return lists.select("list_id", F.col("user").alias("owner"), F.explode("friends").alias("friend"))
 
 
 def memberships_from_edges(edges: DataFrame) -> DataFrame:

@@ -92,7 +92,7 @@ def adjacency_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Odd lines come without a friend, so that the parser has something to drop.
     """
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread_rows(table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_linenumber"))
     friends = F.when(
         F.col("l_linenumber") < 7,
         F.concat_ws(",", F.col("l_suppkey"), F.concat(F.lit(" "), F.col("l_linenumber")), F.lit(" "), F.col("l_suppkey")),

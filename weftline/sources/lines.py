@@ -2,50 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions.text import trimmed
+from weftline.operators.rows import computed_once
+
+FIELDS = "__fields"
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
+def fields(lines: DataFrame, value: Column, pattern: str, limit: int = -1) -> DataFrame:
+    """Add ``__fields``, the parts of ``value``, split once per line."""
+    return computed_once(lines, FIELDS, F.split(value, pattern, limit))
+
+
+def field(i: int) -> Column:
+    """Field ``i`` or NULL."""
+    return F.get(F.col(FIELDS), F.lit(i))
+
+
 def parse_id_text(lines: DataFrame) -> DataFrame:
     """``id<TAB>text`` -> (doc_id, text); only the first tab splits, lines without a tab are dropped."""
-    parts = F.split("value", "\t", 2)
-    return lines.filter(F.contains("value", F.lit("\t"))).select(
-        F.get(parts, F.lit(0)).alias("doc_id"), F.get(parts, F.lit(1)).alias("text")
-    )
+    parts = fields(lines, F.col("value"), "\t", 2).filter(F.size(FIELDS) == 2)
+    return parts.select(field(0).alias("doc_id"), field(1).alias("text"))
 
 
 def parse_titles(lines: DataFrame) -> DataFrame:
     """Tab-separated metadata -> (doc_id, title) from fields 0 and 2; shorter lines are dropped."""
-    parts = F.split("value", "\t")
-    return lines.select(
-        F.get(parts, F.lit(0)).alias("doc_id"), F.get(parts, F.lit(2)).alias("title")
-    ).filter(F.col("title").isNotNull())
+    parts = fields(lines, F.col("value"), "\t").filter(F.size(FIELDS) > 2)
+    return parts.select(field(0).alias("doc_id"), field(2).alias("title"))
 
 
 def parse_adjacency(lines: DataFrame) -> DataFrame:
     """``user<TAB>id,id,...`` -> (user, friends); blank users and users without friends are dropped."""
-    parts = F.split(trimmed("value"), "\t")
-    friends = F.transform(F.split(F.get(parts, F.lit(1)), ","), lambda friend: trimmed(friend))
-    return lines.select(
-        trimmed(F.get(parts, F.lit(0))).alias("user"),
-        F.filter(friends, lambda friend: friend != "").alias("friends"),
-    ).filter((F.col("user") != "") & (F.size("friends") > 0))
+    parts = fields(lines, trimmed("value"), "\t").filter(F.size(FIELDS) > 1)
+    users = computed_once(parts, "user", trimmed(field(0))).filter(F.col("user") != "")
+    friends = F.transform(F.split(field(1), ","), lambda friend: trimmed(friend))
+    return (
+        computed_once(users, "friends", F.filter(friends, lambda friend: friend != ""))
+        .select("user", "friends")
+        .filter(F.size("friends") > 0)
+    )
 
 
 def parse_edges(lines: DataFrame) -> DataFrame:
     """White-space separated edge list -> (src, dst); ``#`` comments, empty and one-field lines are dropped."""
-    parts = F.split("value", r"\s+")
-    return (
-        lines.filter(~F.startswith("value", F.lit("#")) & (F.length("value") > 0))
-        .select(F.get(parts, F.lit(0)).alias("src"), F.get(parts, F.lit(1)).alias("dst"))
-        .dropna()
-    )
+    content = lines.filter(~F.startswith("value", F.lit("#")) & (F.length("value") > 0))
+    parts = fields(content, F.col("value"), r"\s+").filter(F.size(FIELDS) > 1)
+    return parts.select(field(0).alias("src"), field(1).alias("dst"))
 
 
 def parse_queries(lines: DataFrame) -> DataFrame:
