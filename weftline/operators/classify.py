@@ -24,7 +24,8 @@ from weftline.functions.text import drop_mail_addresses, drop_urls, letter_runs,
 from weftline.functions.wordlists import NEWS_STOP_WORDS
 from weftline.operators.ranking import top_k, top_k_per_group
 from weftline.operators.rows import computed_once
-from weftline.operators.skew import MIN_HOT_ROWS, salted_join
+from weftline.operators.skew import MIN_HOT_ROWS, broadcast_if_small, salted_join
+from weftline.session import materialise
 
 SCORE_DIGITS = 9
 BODY = "__body"
@@ -78,22 +79,20 @@ class NaiveBayesModel:
 
 
 def nb_fit(train: DataFrame) -> NaiveBayesModel:
-    """Model of ``train(label, tokens)``; the training part is read by two aggregates only."""
+    """Model of ``train(label, tokens)``; the one-row-per-class part is computed here and checkpointed."""
     words = word_class_counts(train)
     totals = words.groupBy("label").agg(F.sum("n").alias("n_words"))
     v = words.select("word").distinct().agg(F.count("*").alias("v")).scalar()
     classes = class_priors(train).join(totals, "label", "left")
     n_words = F.coalesce("n_words", F.lit(0))
-    return NaiveBayesModel(
-        classes.select(
-            "label",
-            "n_docs",
-            n_words.alias("n_words"),
-            F.log("prior").alias("log_prior"),
-            F.log(n_words + v).alias("log_total"),
-        ),
-        words,
+    classes = classes.select(
+        "label",
+        "n_docs",
+        n_words.alias("n_words"),
+        F.log("prior").alias("log_prior"),
+        F.log(n_words + v).alias("log_total"),
     )
+    return NaiveBayesModel(materialise(classes), words)
 
 
 def _better(a: Column, b: Column) -> Column:
@@ -124,7 +123,7 @@ def nb_scores(model: NaiveBayesModel, test: DataFrame, min_hot_rows: int = MIN_H
         .groupBy("doc_id", "length", F.coalesce("word", F.lit("")).alias("word"))
         .agg(F.count("*").alias("times"))
     )
-    weights = model.words.join(model.classes, "label").select(
+    weights = model.words.join(broadcast_if_small(model.classes), "label").select(
         "word", "label", F.log(F.col("n") + 1).alias("weight"), "log_prior", "log_total"
     )
     return (

@@ -1,7 +1,9 @@
 """TF-IDF index and search.
 
 The index is kept in long form, one row per (document, term).  Queries are a table too: all of them are
-answered by one join with the index instead of one pass over the documents per query.
+answered by one join with the index instead of one pass over the documents per query.  That join is left
+to Spark: it broadcasts the query terms when their size allows it, so the index does not move, and splits
+skewed partitions otherwise.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from weftline.functions.text import is_search_term, search_tokens, words
 from weftline.functions.wordlists import SEARCH_STOP_WORDS
 from weftline.operators.ranking import top_k_per_group
 from weftline.operators.skew import MIN_HOT_ROWS, salted_join
+from weftline.session import materialise
 
 
 def term_frequency(docs: DataFrame, stop_words: Sequence[str] = SEARCH_STOP_WORDS) -> DataFrame:
@@ -80,6 +83,13 @@ class SearchIndex:
     terms: DataFrame
     norms: DataFrame
 
+    def checkpointed(self) -> SearchIndex:
+        """The index with its postings checkpointed: the searches then share one pass over the texts."""
+        postings = materialise(self.postings)
+        idf = F.max(F.col("tfidf") / F.col("tf"))
+        terms = postings.groupBy("term").agg(F.count("*").alias("df"), idf.alias("idf"))
+        return SearchIndex(postings, terms, doc_norms(postings))
+
     def save(self, path: str) -> None:
         """Write the index as Parquet, sorted so that a search reads only the row groups of its terms.
 
@@ -101,7 +111,10 @@ class SearchIndex:
 def build_index(
     docs: DataFrame, stop_words: Sequence[str] = SEARCH_STOP_WORDS, min_hot_rows: int = MIN_HOT_ROWS
 ) -> SearchIndex:
-    """Index of ``docs(doc_id, text)``.  For repeated searches ``save`` it and ``load`` it again."""
+    """Index of ``docs(doc_id, text)``, not yet computed.
+
+    Take it ``checkpointed`` for several searches in one job; ``save`` and ``load`` it across jobs.
+    """
     tf = term_frequency(docs, stop_words)
     terms = inverse_document_frequency(document_frequency(tf), docs)
     postings = tfidf(tf, terms, min_hot_rows)

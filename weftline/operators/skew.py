@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 MAX_HOT_KEYS = 10_000
 MIN_HOT_ROWS = 1_000_000
 MAX_SALTS = 4096
+MAX_BROADCAST_ROWS = 100_000
 SALT = "__salt"
 SALTS = "__salts"
 
@@ -33,6 +34,14 @@ def hot_keys(counts: DataFrame, key: str, min_hot_rows: int = MIN_HOT_ROWS) -> D
     return hottest.select(key, salts.cast("int").alias(SALTS))
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` if a count finds it small; a larger table is left to an ordinary join.
+
+    Meant for materialised tables of a few short columns, where counting costs little.
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def salt_rows(df: DataFrame, hot: DataFrame, key: str, spread: Sequence[str]) -> DataFrame:
     """Give each row one salt.  It is a hash of the ``spread`` columns, so a repeated task repeats it."""
     return (

@@ -80,19 +80,19 @@ def doc_vectors(spark, sf_dir):
 
 @query
 def search_single_term(spark, sf_dir):
-    index = search.build_index(tables.documents(spark, sf_dir))
+    index = search.build_index(tables.documents(spark, sf_dir)).checkpointed()
     return rounded(search.search_term(tables.word_queries(spark, sf_dir), index), "score")
 
 
 @query
 def search_cosine_topk(spark, sf_dir):
-    index = search.build_index(tables.documents(spark, sf_dir))
+    index = search.build_index(tables.documents(spark, sf_dir)).checkpointed()
     return rounded(search.search_cosine(tables.phrase_queries(spark, sf_dir), index), "score")
 
 
 @query
 def search_with_titles(spark, sf_dir):
-    index = search.build_index(tables.documents(spark, sf_dir))
+    index = search.build_index(tables.documents(spark, sf_dir)).checkpointed()
     asked = tables.phrase_queries(spark, sf_dir).unionByName(tables.word_queries(spark, sf_dir))
     found = search.search(asked, index)
     return rounded(search.with_titles(found, tables.page_titles(spark, sf_dir)), "score")
