@@ -24,7 +24,7 @@ from weftline.functions.text import drop_mail_addresses, drop_urls, letter_runs,
 from weftline.functions.wordlists import NEWS_STOP_WORDS
 from weftline.operators.ranking import top_k, top_k_per_group
 from weftline.operators.rows import computed_once
-from weftline.operators.skew import MIN_HOT_ROWS, broadcast_if_small, salted_join
+from weftline.operators.skew import MIN_HOT_ROWS, broadcast_if_small, key_counts, salted_join
 from weftline.session import materialise
 
 SCORE_DIGITS = 9
@@ -126,8 +126,9 @@ def nb_scores(model: NaiveBayesModel, test: DataFrame, min_hot_rows: int = MIN_H
     weights = model.words.join(broadcast_if_small(model.classes), "label").select(
         "word", "label", F.log(F.col("n") + 1).alias("weight"), "log_prior", "log_total"
     )
+    counts = key_counts(terms, "word", positive="times")
     return (
-        salted_join(terms, weights, "word", spread=["doc_id"], how="left", min_hot_rows=min_hot_rows)
+        salted_join(terms, weights, "word", spread=["doc_id"], counts=counts, how="left", min_hot_rows=min_hot_rows)
         .groupBy("doc_id", "length", "label", "log_prior", "log_total")
         .agg(F.sum(F.col("times") * F.col("weight")).alias("evidence"))
         .select(

@@ -18,7 +18,8 @@ from weftline.functions.scalars import cosine, rank_value
 from weftline.functions.text import is_search_term, search_tokens, words
 from weftline.functions.wordlists import SEARCH_STOP_WORDS
 from weftline.operators.ranking import top_k_per_group
-from weftline.operators.skew import MIN_HOT_ROWS, salted_join
+from weftline.operators.rows import computed_once
+from weftline.operators.skew import MIN_HOT_ROWS, key_counts, salted_join
 from weftline.session import materialise
 
 
@@ -39,10 +40,9 @@ def term_frequency(docs: DataFrame, stop_words: Sequence[str] = SEARCH_STOP_WORD
 def document_frequency(tf: DataFrame) -> DataFrame:
     """(term, df); (doc_id, term) is unique in ``tf``, so counting rows counts documents.
 
-    Counting by the always positive ``tf`` keeps that column in the plan, which lets Spark reuse the
-    shuffle of ``tf`` here instead of reading and splitting the texts a second time.
+    The texts are not split a second time for it: the shuffle of ``tf`` is used again.
     """
-    return tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    return key_counts(tf, "term", positive="tf").withColumnRenamed("n_rows", "df")
 
 
 def inverse_document_frequency(df: DataFrame, docs: DataFrame) -> DataFrame:
@@ -123,9 +123,10 @@ def build_index(
 
 def query_terms(queries: DataFrame, stop_words: Sequence[str] = SEARCH_STOP_WORDS) -> DataFrame:
     """(query_id, n_tokens, term, qtf) of ``queries(query_id, text)``."""
-    tokens = queries.select("query_id", search_tokens("text", stop_words).alias("tokens"))
+    tokens = computed_once(queries.select("query_id", "text"), "tokens", search_tokens("text", stop_words))
     return (
-        tokens.select("query_id", F.size("tokens").alias("n_tokens"), F.explode("tokens").alias("term"))
+        tokens.select("query_id", F.size("tokens").alias("n_tokens"), F.explode_outer("tokens").alias("term"))
+        .filter(F.col("term").isNotNull())
         .groupBy("query_id", "n_tokens", "term")
         .agg(F.count("*").alias("qtf"))
     )
@@ -161,10 +162,11 @@ def search_cosine(queries: DataFrame, index: SearchIndex, k: int = 10, stop_word
         .groupBy("query_id", "doc_id")
         .agg(F.sum(F.col("qtf") * F.col("tfidf") / F.col("tf") * F.col("tfidf")).alias("dot"))
     )
-    scores = dots.join(index.norms, "doc_id").join(query_norms, "query_id").select(
-        "query_id", "doc_id", cosine(F.col("dot"), F.col("query_norm"), F.col("norm")).alias("score")
-    )
-    return _ranked(scores.filter("score > 0"), k)
+    # the query norm does not change the order within a query, so it joins after the cut to k rows
+    candidates = dots.join(index.norms, "doc_id").filter((F.col("dot") > 0) & (F.col("norm") > 0))
+    best = _ranked(candidates.withColumn("score", F.col("dot") / F.col("norm")), k, "dot", "norm")
+    score = cosine(F.col("dot"), F.col("query_norm"), F.col("norm"))
+    return best.join(query_norms, "query_id").select("query_id", "doc_id", score.alias("score"), "rank")
 
 
 def search(queries: DataFrame, index: SearchIndex, k: int = 10, stop_words=SEARCH_STOP_WORDS) -> DataFrame:
@@ -172,9 +174,9 @@ def search(queries: DataFrame, index: SearchIndex, k: int = 10, stop_words=SEARC
     return search_term(queries, index, k, stop_words).unionByName(search_cosine(queries, index, k, stop_words))
 
 
-def _ranked(scores: DataFrame, k: int) -> DataFrame:
+def _ranked(scores: DataFrame, k: int, *more: str) -> DataFrame:
     ranked = top_k_per_group(scores, "query_id", k, [rank_value("score").desc(), F.col("doc_id").asc()])
-    return ranked.select("query_id", "doc_id", "score", "rank")
+    return ranked.select("query_id", "doc_id", "score", "rank", *more)
 
 
 def with_titles(results: DataFrame, titles: DataFrame, default: str = "Unknown") -> DataFrame:

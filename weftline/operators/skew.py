@@ -22,9 +22,14 @@ SALT = "__salt"
 SALTS = "__salts"
 
 
-def key_counts(df: DataFrame, key: str) -> DataFrame:
-    """(key, n_rows): combined before the shuffle, so a hot key costs one row per task."""
-    return df.groupBy(key).agg(F.count("*").alias("n_rows"))
+def key_counts(df: DataFrame, key: str, positive: str | None = None) -> DataFrame:
+    """(key, n_rows): combined before the shuffle, so a hot key costs one row per task.
+
+    ``positive`` names a count column of ``df``, which is above 0 in every row.  Counting by it keeps the
+    column in the plan, and with it the shuffle that ``df`` comes from is the same and is used again.
+    """
+    rows = F.count("*") if positive is None else F.count_if(F.col(positive) > 0)
+    return df.groupBy(key).agg(rows.alias("n_rows"))
 
 
 def hot_keys(counts: DataFrame, key: str, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions.scalars import id_order, pair_high, pair_low
 from weftline.operators.ranking import top_k_per_group
-from weftline.operators.skew import MIN_HOT_ROWS, salted_join
+from weftline.operators.skew import MIN_HOT_ROWS, key_counts, salted_join
 from weftline.session import materialise
 
 
@@ -53,7 +53,8 @@ def mutual_friend_counts(memberships: DataFrame, users: DataFrame, min_hot_rows:
         .join(users.select("user"), "user", "left_semi")
         .select("list_id", "user", F.col("times").alias("user_times"))
     )
-    pairs = salted_join(entries, hits, "list_id", spread=["friend"], min_hot_rows=min_hot_rows)
+    counts = key_counts(entries, "list_id", positive="times")
+    pairs = salted_join(entries, hits, "list_id", spread=["friend"], counts=counts, min_hot_rows=min_hot_rows)
     return (
         pairs.filter(F.col("user") != F.col("friend"))
         .groupBy("user", F.col("friend").alias("candidate"))
