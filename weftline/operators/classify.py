@@ -79,8 +79,8 @@ class NaiveBayesModel:
 
 
 def nb_fit(train: DataFrame) -> NaiveBayesModel:
-    """Model of ``train(label, tokens)``; the one-row-per-class part is computed here and checkpointed."""
-    words = word_class_counts(train)
+    """Model of ``train(label, tokens)``, computed here and checkpointed, as every prediction reads it."""
+    words = materialise(word_class_counts(train))
     totals = words.groupBy("label").agg(F.sum("n").alias("n_words"))
     v = words.select("word").distinct().agg(F.count("*").alias("v")).scalar()
     classes = class_priors(train).join(totals, "label", "left")
