@@ -21,6 +21,8 @@ from weftline.operators.skew import (
 )
 from weftline.session import materialise
 
+EDGES_PER_PARTITION = 100_000
+
 
 def graph_vertices(edges: DataFrame) -> DataFrame:
     """(id), every end of an edge once."""
@@ -68,7 +70,7 @@ def pagerank(
     weighted = materialise(edges.groupBy("src", "dst").agg(F.count("*").alias("weight")))
     sources = weighted.groupBy("src").agg(F.sum("weight").alias("out_degree"), F.count("*").alias("n_rows"))
     hot = hot_keys(sources.select("src", "n_rows"), "src", min_hot_rows)
-    width = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = _width(weighted)
     placed = (
         salt_rows(weighted, hot, "src", spread=["dst"])
         .repartition(width, "src", SALT)
@@ -109,6 +111,13 @@ def pagerank(
     return state.select("id", (F.col("rank") * scale).alias("pagerank"))
 
 
+def _width(edges: DataFrame) -> int:
+    """Partitions for the cached edges: the session's setting, fewer where the edges are few."""
+    spark = edges.sparkSession
+    needed = max(spark.sparkContext.defaultParallelism, edges.count() // EDGES_PER_PARTITION)
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), needed)
+
+
 def connected_components(vertices: DataFrame, edges: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """(id, component): weakly connected components, named by their smallest id.
 
