@@ -6,7 +6,9 @@ import re
 import pytest
 from check_oracle import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from weftline.plans.catalog import QUERIES
+from weftline.plans.oracle import ORACLE
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -18,14 +20,14 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     good, note = compare(spark, con, SF_DIR, name)
     assert good, note
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
 def test_entry(spark):
@@ -34,7 +36,7 @@ def test_entry(spark):
 
 
 def plan(spark, name):
-    return queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
 
 
 LAZY = [
@@ -63,6 +65,6 @@ def test_only_needed_columns_are_read(spark):
 
 
 def test_texts_are_split_once_for_the_index(spark):
-    df = queries()["tfidf"](spark, SF_DIR)
+    df = QUERIES["tfidf"](spark, SF_DIR)
     df.collect()
     assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
