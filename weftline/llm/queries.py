@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import decontamination, language, mixing, simhash, token_counts, token_files
+from weftline.llm import (
+    decontamination, language, line_rules, mixing, simhash, substrings, token_counts, token_files,
+)
+from weftline.llm.oracle import ORACLE  # noqa: F401  the SQL beside the queries
 from weftline.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 END_ID = 2
 
 
@@ -32,6 +34,12 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op1_line_rules(spark, sf_dir):
+    found = line_rules.line_rules(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return found.select("row.doc_id", *line_rules.COUNTS, "n_common_words", "base_failed", "kept")
+
+
 @query
 def op2_token_counts(spark, sf_dir):
     counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), byte_bpe())
@@ -60,6 +68,12 @@ def op7_language(spark, sf_dir):
     return found.select(doc_id, language.held_out("row.doc_id").alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op8_repeated_passages(spark, sf_dir):
+    cut = substrings.remove_repeats(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return cut.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op9_mixing(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
