@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import (
-    decontamination, language, line_rules, mixing, simhash, substrings, token_counts, token_files,
+    decontamination, language, line_rules, mixing, simhash, sites, substrings, token_counts, token_files, toxicity,
 )
 from weftline.llm.oracle import ORACLE  # noqa: F401  the SQL beside the queries
 from weftline.session import scratch_path
@@ -53,12 +53,36 @@ def op3_token_files(spark, sf_dir):
     return token_files.read_digests(spark, path)
 
 
+@query
+def op4_toxicity(spark, sf_dir):
+    """The chain goes from low quality to toxicity, the two categories that are labelled."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    chain = toxicity.fit_chain(docs, labels, ["low_quality", "toxic"])
+    found = toxicity.predict(docs, chain, carry=["doc_id"])
+    p = F.col("probabilities")
+    return found.select(
+        "row.doc_id", F.round(p[0], 6).alias("p_low_quality"), F.round(p[1], 6).alias("p_toxic"),
+        (p[1] >= 0.5).alias("toxic"),
+    )
+
+
 @query
 def op5_simhash_near_duplicates(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query
+def op6_site_quality(spark, sf_dir):
+    """The source is the host, its language sections are the paths below it."""
+    found = sites.site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), carry=["doc_id"])
+    return found.select(
+        "row.doc_id", *[F.round(c, 6).alias(c) for c in ("doc_probability", "host_posterior", "path_posterior", "quality")],
+        (F.col("quality") >= 0.5).alias("kept"),
+    )
+
+
 @query
 def op7_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
