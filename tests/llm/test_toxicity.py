@@ -1,0 +1,74 @@
+"""Classifier chains on made categories and on held-out documents."""
+
+import os
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from weftline.llm import toxicity
+from weftline.llm.logistic import Sparse, fit_logistic, sigmoid
+from weftline.llm.toxicity import fit_chain, predict
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def made_rows(n, seed):
+    """Texts with three categories; the third follows from the first two."""
+    rng, rows = random.Random(seed), []
+    for i in range(n):
+        rude, threat = rng.random() < 0.4, rng.random() < 0.4
+        words = rng.choices([f"w{k}" for k in range(60)], k=30) + ["Fool!"] * rude + ["beware"] * threat
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), int(rude), int(threat), int(rude and threat)))
+    return rows
+
+
+def test_chain_follows_earlier_categories(spark, documents):
+    rows = made_rows(700, 1)
+    labels = spark.createDataFrame([(r[0], *r[2:]) for r in rows[:500]], "doc_id bigint, rude int, threat int, severe int")
+    docs = documents([r[:2] for r in rows])
+    chain = fit_chain(docs, labels, ["rude", "threat", "severe"])
+    assert [len(w) - len(chain.vocabulary) for w in chain.weights] == [1, 2, 3]
+    found = {r["row"]["doc_id"]: r.probabilities for r in predict(docs, chain).collect()}
+    right = np.mean([[round(p) == y for p, y in zip(found[r[0]], r[2:], strict=True)] for r in rows[500:]], axis=0)
+    assert (right > 0.95).all()
+    assert (chain.weights[2][-3:-1] > 0).all()
+
+
+def test_earlier_probabilities_are_out_of_fold(monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_logistic", lambda x, y: seen.append((x.n_rows, x.dense.copy())) or fit_logistic(x, y, rounds=20))
+    rows = [{"words": [i % 3], "marks": [int(i % 3 == 0), int(i % 2)]} for i in range(50)]
+    toxicity._fit(["a", "b"], {"u": 0, "v": 1, "w": 2}, rows)
+    assert [n for n, _ in seen] == [50, 40, 40, 40, 40, 40, 50]
+    assert seen[-1][1].shape == (50, 1) and 0 < seen[-1][1].min() < seen[-1][1].max() < 1
+
+
+def test_awkward_rows(spark, awkward, no_documents):
+    labels = spark.createDataFrame([(4, 1), (5, 0), (5, 0), (6, None), (None, 1), (99, 1)], "doc_id bigint, toxic int")
+    found = predict(awkward, fit_chain(awkward, labels, ["toxic"])).collect()
+    assert len(found) == awkward.count() and all(0 <= r.probabilities[0] <= 1 for r in found)
+    none = fit_chain(awkward, labels.filter("false"), ["toxic"])
+    assert {tuple(r.probabilities) for r in predict(awkward, none).collect()} == {(0.0,)}
+    assert predict(no_documents, none).count() == 0
+
+
+def test_logistic_separates():
+    rows = [[0], [0, 1], [1], [2], [2, 1], []]
+    y = np.array([1, 1, 0, 0, 0, 0], float)
+    x = Sparse(rows, 3, np.zeros((6, 0)))
+    weights = fit_logistic(x, y)
+    assert ((sigmoid(x.times(weights[:-1]) + weights[-1]) > 0.5) == y).all()
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the benchmark tables")
+def test_held_out_documents(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    chain = fit_chain(docs, labels.filter("doc_id % 4 > 0"), ["toxic"], min_docs=3)
+    found = predict(docs, chain).select("row.doc_id", (F.col("probabilities")[0] >= 0.5).alias("found"))
+    rows = found.join(labels.filter("doc_id % 4 = 0"), "doc_id").collect()
+    assert len(rows) > 50 and np.mean([r.found == bool(r.toxic) for r in rows]) > 0.9
+    assert not any(r.found for r in rows if not r.toxic)

@@ -12,6 +12,7 @@ comes before it; else NUL and the text as it is.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from tokenizers import Tokenizer
 
@@ -20,8 +21,11 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")
 _RUNS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 
 
-def keys_of(text: str) -> list[str]:
-    """The pre-tokens of a text in order."""
+def keys_of(text: str, special: Sequence[str] = ()) -> list[str]:
+    """The pre-tokens of a text in order.  A text that holds a ``special`` string, which the tokenizer takes out
+    before anything else, stays whole."""
+    if any(string in text for string in special):
+        return ["\x00" + text]
     words = text.split()
     if words and "\x00" not in text and " ".join(words) == text.replace("\n", " "):
         keys = text.replace("\n", " \n").split(" ")
@@ -51,6 +55,11 @@ def tokenizer(path: str) -> Tokenizer:
     return _TOKENIZERS[path]
 
 
+def special_strings(path: str) -> tuple[str, ...]:
+    """The strings of the added tokens of a tokenizer."""
+    return tuple(token.content for token in tokenizer(path).get_added_tokens_decoder().values())
+
+
 def encode_keys(path: str, keys: list[str]) -> list[list[int]]:
     """The ids of each key."""
     texts = [written(key) for key in keys]

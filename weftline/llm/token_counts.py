@@ -12,7 +12,7 @@ A frequent pre-token has one row per block, however many documents have it, so n
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.common import binary_texts, grouped, map_in_arrow, stored
-from weftline.llm.pretokens import encode_keys, keys_of, tokenizer
+from weftline.llm.pretokens import encode_keys, keys_of, special_strings, tokenizer
 
 BLOCK_BYTES = 32_000_000
 GROUP_BYTES = 1_000_000
@@ -52,9 +52,9 @@ class _Block:
         self.doc_ids, self.n_bytes, self.known, self.ends = [], [], [], []
         self.at, self.times = [], []
 
-    def add(self, doc_id: int | None, text: bytes, single: frozenset[str]) -> None:
+    def add(self, doc_id: int | None, text: bytes, single: frozenset[str], special: Sequence[str]) -> None:
         known, at, times, places = 0, [], [], self.places
-        for key, n in Counter(keys_of(text.decode("utf-8", "replace"))).items():
+        for key, n in Counter(keys_of(text.decode("utf-8", "replace"), special)).items():
             if key in single:
                 known += n
             else:
@@ -81,12 +81,12 @@ class _Block:
 def _blocks(tokenizer_file: str, block_bytes: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         single, first = single_pieces(tokenizer_file), TaskContext.get().partitionId() << 32
-        block = _Block(first)
+        special, block = special_strings(tokenizer_file), _Block(first)
         for batch in batches:
             doc_ids = iter(batch.column("doc_id").to_pylist())
             for group in grouped(binary_texts(batch.column("text")), GROUP_BYTES):
                 for text in group:
-                    block.add(next(doc_ids), text, single)
+                    block.add(next(doc_ids), text, single, special)
                 if block.size >= block_bytes:
                     yield block.row()
                     block = _Block(block.number + 1)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftline.llm.common import binary_texts, grouped, map_in_arrow
-from weftline.llm.pretokens import encode_keys, keys_of
+from weftline.llm.pretokens import encode_keys, keys_of, special_strings
 
 SEGMENT_IDS = 1 << 18
 RANK_BLOCK = 512
@@ -78,7 +78,7 @@ def ids_at(levels: list[dict[str, bytes]], places: np.ndarray) -> np.ndarray:
         bits = np.where(rows < len(more), more[np.minimum(rows, len(more) - 1)], 0)
         inside = (at % RANK_BLOCK)[:, None] - 8 * np.arange(octets)
         mask = np.where(inside >= 8, 255, np.where(inside > 0, (1 << np.clip(inside, 0, 8)) - 1, 0))
-        at = rank + np.bitwise_count(bits & mask.astype(np.uint8)).sum(axis=1)
+        at = rank + np.bitwise_count(bits & mask.astype(np.uint8)).sum(axis=1, dtype=np.int64)
     return ids
 
 
@@ -86,11 +86,11 @@ class Encoder:
     """Ids of texts as little-endian 32-bit bytes; pre-tokens seen before are looked up."""
 
     def __init__(self, tokenizer_file: str):
-        self.file = tokenizer_file
+        self.file, self.special = tokenizer_file, special_strings(tokenizer_file)
         self.known: dict[str, bytes] = {}
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [keys_of(text.decode("utf-8", "replace")) for text in texts]
+        split = [keys_of(text.decode("utf-8", "replace"), self.special) for text in texts]
         keys = set().union(*split)
         new = [key for key in keys if key not in self.known]
         if len(self.known) + len(new) > MEMO_KEYS:

@@ -1,6 +1,6 @@
 """Toxicity by a classifier chain.
 
-The categories are predicted one after the other.  Each has a linear model over the words of a document and
+The categories are predicted one after the other.  Each has a linear model over the words of a document, their stems and
 the probabilities of the categories before it.  In training these probabilities are out of fold: each
 document's come from models that have not seen it, so that the later models learn how far to trust them.
 
@@ -23,6 +23,13 @@ from weftline.llm.common import binary_texts, map_in_arrow, plain_words, stored,
 from weftline.llm.logistic import Sparse, fit_logistic, sigmoid
 
 FOLDS = 5
+STEM = 4
+
+
+def terms(text: bytes | None) -> set[str]:
+    """The distinct words of a text, and the first ``STEM`` letters of the longer ones."""
+    words = set(b" ".join(plain_words(text or b"")).decode().split())
+    return words | {word[:STEM] + "-" for word in words if len(word) > STEM}
 
 
 @dataclass
@@ -30,7 +37,7 @@ class Chain:
     """Categories in order, vocabulary, and for each category its weights: words, earlier categories, bias."""
 
     categories: list[str]
-    vocabulary: dict[bytes, int]
+    vocabulary: dict[str, int]
     weights: list[np.ndarray]
 
     def probabilities(self, text: bytes | None) -> list[float]:
@@ -38,7 +45,7 @@ class Chain:
         if not self.weights:
             return [0.0] * len(self.categories)
         number = self.vocabulary
-        words = [number[word] for word in number.keys() & set(plain_words(text or b""))]
+        words = [number[term] for term in terms(text) if term in number]
         found: list[float] = []
         for weights in self.weights:
             score = weights[words].sum() + weights[len(number) : -1] @ np.array(found) + weights[-1]
@@ -48,7 +55,7 @@ class Chain:
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        words = [sorted({w.decode() for w in plain_words(text or b"")}) for text in binary_texts(batch.column("text"))]
+        words = [sorted(terms(text)) for text in binary_texts(batch.column("text"))]
         yield pa.RecordBatch.from_arrays(
             [batch.column("draw"), batch.column("marks"), pa.array(words, pa.list_(pa.string()))],
             ["draw", "marks", "words"],
@@ -112,7 +119,7 @@ def _fit(categories: list[str], number: dict[str, int], rows: list) -> Chain:
             own = fit_logistic(x.take(fold != f), y[fold != f, k])
             out_of_fold[fold == f] = sigmoid(x.take(fold == f).times(own[:-1]) + own[-1])
         earlier = np.column_stack([earlier, out_of_fold])
-    return Chain(categories, {word.encode(): i for word, i in number.items()}, weights)
+    return Chain(categories, number, weights)
 
 
 def predict(docs: DataFrame, chain: Chain, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
