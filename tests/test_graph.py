@@ -1,3 +1,4 @@
+import os
 import random
 from itertools import combinations
 
@@ -5,6 +6,7 @@ import pytest
 
 from weftline.operators import graph
 from weftline.operators.skew import salted_join
+from weftline.session import checkpoint_dir
 
 SMALL = [(1, 2), (1, 2), (2, 3), (3, 1), (1, 4), (5, 5), (6, 7)]
 
@@ -83,7 +85,7 @@ STAR = [(50, i) for i in range(100, 130)] + [(i, 3) for i in range(100, 103)]
     "edges", [SMALL, SHUFFLED_PATH + [(70, 71)], STAR, random_edges(2, 80, 50)], ids=["small", "path", "star", "random"]
 )
 def test_components(spark, edges):
-    assert as_dict(graph.connected_components(*frames(spark, edges), min_hot_rows=4)) == plain_components(edges)
+    assert as_dict(graph.connected_components(*frames(spark, edges))) == plain_components(edges)
 
 
 def test_components_of_text_ids_and_loops(spark):
@@ -97,9 +99,10 @@ def test_components_without_links(spark):
     assert as_dict(graph.connected_components(*frames(spark, [(5, 5)]))) == {5: 5}
 
 
+@pytest.mark.parametrize("block", [1, 2, 1_000])
 @pytest.mark.parametrize("edges", [SMALL, random_edges(3, 18, 90)])
-def test_triangles(spark, edges):
-    got = as_dict(graph.triangle_count(*frames(spark, edges), min_hot_rows=2))
+def test_triangles(spark, edges, block):
+    got = as_dict(graph.triangle_count(*frames(spark, edges), block=block))
     assert got == plain_triangles(edges)
     assert sum(got.values()) % 3 == 0
 
@@ -116,3 +119,17 @@ def test_salted_join_equals_the_plain_join(spark, how):
 def test_salted_join_refuses_other_joins(spark):
     with pytest.raises(ValueError):
         salted_join(spark.range(1), spark.range(1), "id", spread=["id"], how="outer")
+
+
+def test_a_star_with_edges_between_its_leaves_stays_in_blocks(spark):
+    edges = [(0, i) for i in range(1, 60)] + [(i, i + 1) for i in range(1, 59)] + [(i, i + 7) for i in range(1, 52)]
+    vertices, table = frames(spark, edges)
+    found = graph.triangle_count(vertices, table, block=4)
+    assert as_dict(found) == plain_triangles(edges)
+
+
+def test_rounds_leave_one_table(spark):
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    graph.connected_components(*frames(spark, SHUFFLED_PATH)).collect()
+    assert len([name for name in set(os.listdir(folder)) - before if name.startswith("links-")]) == 1

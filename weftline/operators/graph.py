@@ -1,8 +1,9 @@
 """Network analysis on ``edges(src, dst)``: degrees, PageRank, components and triangles.
 
-Vertices of social graphs differ widely in degree, so every join of edges with a table of vertices is
-salted by the degree, and every sum is combined before its shuffle.  The two iterative operators cut
-their lineage with reliable checkpoints; only a yes/no answer per round reaches the driver.
+Vertices of social graphs differ widely in degree.  PageRank places its edges once and salts them by degree; the
+other joins are left to Spark, which splits skewed partitions while it runs.  Every sum is combined before its
+shuffle.  The two iterative operators store every round and drop the round before it; only counts reach the
+driver.
 """
 
 from __future__ import annotations
@@ -11,17 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.operators.ranking import top_k
-from weftline.operators.skew import (
-    MIN_HOT_ROWS,
-    SALT,
-    SALTS,
-    hot_keys,
-    salt_rows,
-    salted_join,
-)
-from weftline.session import materialise
+from weftline.operators.skew import MIN_HOT_ROWS, SALT, SALTS, hot_keys, salt_rows
+from weftline.session import drop_stored, materialise, store_counted, stored
 
-EDGES_PER_PARTITION = 100_000
+EDGES_PER_PARTITION = 1_000_000
+LIST_BLOCK = 1_000
 
 
 def graph_vertices(edges: DataFrame) -> DataFrame:
@@ -65,12 +60,13 @@ def pagerank(
 
     The edges are placed and sorted by (src, salt) once, and the vertices by id; both stay cached where they
     are, so a round moves one row per vertex to the edges and the sums per target back.  What is cached can
-    be rebuilt from the checkpointed edge table if an executor is lost.
+    be rebuilt from the stored edge table if an executor is lost.  There are as many parts as the edges need.
     """
-    weighted = materialise(edges.groupBy("src", "dst").agg(F.count("*").alias("weight")))
+    weighted = edges.groupBy("src", "dst").agg(F.count("*").alias("weight"))
+    weighted, _, seen = store_counted(weighted, "weighted-edges")
     sources = weighted.groupBy("src").agg(F.sum("weight").alias("out_degree"), F.count("*").alias("n_rows"))
     hot = hot_keys(sources.select("src", "n_rows"), "src", min_hot_rows)
-    width = _width(weighted)
+    width = max(edges.sparkSession.sparkContext.defaultParallelism, -(-seen["n"] // EDGES_PER_PARTITION))
     placed = (
         salt_rows(weighted, hot, "src", spread=["dst"])
         .repartition(width, "src", SALT)
@@ -111,69 +107,53 @@ def pagerank(
     return state.select("id", (F.col("rank") * scale).alias("pagerank"))
 
 
-def _width(edges: DataFrame) -> int:
-    """Partitions for the cached edges: the session's setting, fewer where the edges are few."""
-    spark = edges.sparkSession
-    needed = max(spark.sparkContext.defaultParallelism, edges.count() // EDGES_PER_PARTITION)
-    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), needed)
-
-
-def connected_components(vertices: DataFrame, edges: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component): weakly connected components, named by their smallest id.
 
     Alternates the large-star and small-star steps of Kiveris et al., "Connected Components in MapReduce
     and Beyond" (2014), on rows (hi, lo) with hi > lo, until every component is a star around its smallest
     vertex.  The number of rows never grows and falls to one per vertex; the number of rounds grows with
-    the logarithm of the size.
+    the logarithm of the size.  A round is one pass: whether anything moved is observed while it is stored.
     """
+    spark = edges.sparkSession
     hi, lo = F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")
-    links = materialise(edges.select(hi, lo).filter("hi <> lo").distinct().withColumn("moved", F.lit(True)))
-    while True:
-        n_links, moved = links.agg(F.count("*"), F.max("moved")).first()
+    found = edges.select(hi, lo).filter("hi <> lo").distinct().withColumn("moved", F.lit(True))
+    links, path, seen = store_counted(found, "links", moved=F.max("moved"))
+    while seen["moved"]:
+        before = path
         links = links.select("hi", "lo")
-        if not moved:
-            break
-        links = materialise(_small_star(_large_star(links, n_links, min_hot_rows), n_links, min_hot_rows))
-    return vertices.select("id").distinct().join(links.withColumnRenamed("hi", "id"), "id", "left").select(
+        links, path, seen = store_counted(_small_star(_large_star(links)), "links", moved=F.max("moved"))
+        drop_stored(spark, before)
+    links = links.select(F.col("hi").alias("id"), "lo")
+    return vertices.select("id").distinct().join(links, "id", "left").select(
         "id", F.coalesce("lo", "id").alias("component")
     )
 
 
-def _large_star(links: DataFrame, n_links: int, min_hot_rows: int) -> DataFrame:
+def _large_star(links: DataFrame) -> DataFrame:
     """Link the larger neighbours of each vertex to the smallest vertex next to it, itself included.
 
     Only the lower end of a row can have a smaller neighbour, so the minimum over the lower neighbours is
     all that is needed.  ``moved`` tells whether the row changed; rows may repeat.
     """
     lowest = links.groupBy(F.col("hi").alias("lo")).agg(F.min("lo").alias("lower"))
-    joined = salted_join(
-        links, lowest, "lo", spread=["hi"], how="left", min_hot_rows=min_hot_rows, n_rows=n_links
+    return links.join(lowest, "lo", "left").select(
+        "hi", F.coalesce("lower", "lo").alias("lo"), F.col("lower").isNotNull().alias("moved")
     )
-    return joined.select("hi", F.coalesce("lower", "lo").alias("lo"), F.col("lower").isNotNull().alias("moved"))
 
 
-def _small_star(links: DataFrame, n_links: int, min_hot_rows: int) -> DataFrame:
+def _small_star(links: DataFrame) -> DataFrame:
     """Link each vertex and its lower neighbours to the smallest of them.
 
     A vertex with several lower neighbours gives work to a further round, hence ``moved``.
     """
     lowest = links.groupBy("hi").agg(
-        F.min("lo").alias("lower"),
-        F.max("lo").alias("upper"),
-        F.count("*").alias("n_rows"),
-        F.max("moved").alias("moved"),
+        F.min("lo").alias("lower"), F.max("lo").alias("upper"), F.max("moved").alias("moved")
     )
     several = F.col("lower") != F.col("upper")
     others = (
-        salted_join(
-            links.select("hi", "lo"),
-            lowest.filter(several).select("hi", "lower"),
-            "hi",
-            spread=["lo"],
-            counts=lowest.select("hi", "n_rows"),
-            min_hot_rows=min_hot_rows,
-            n_rows=n_links,
-        )
+        links.select("hi", "lo")
+        .join(lowest.filter(several).select("hi", "lower"), "hi")
         .filter(F.col("lo") != F.col("lower"))
         .select(F.col("lo").alias("hi"), F.col("lower").alias("lo"), F.lit(True).alias("moved"))
     )
@@ -186,28 +166,33 @@ def component_sizes(components: DataFrame) -> DataFrame:
     return components.groupBy("component").agg(F.count("*").alias("count"))
 
 
-def triangle_count(vertices: DataFrame, edges: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def triangle_count(vertices: DataFrame, edges: DataFrame, block: int = LIST_BLOCK) -> DataFrame:
     """(id, count): the triangles each vertex is part of, 0 where it is in none.
 
     Directions, repeated edges and loops do not matter.  Each edge is pointed from its end of lower degree
-    to the other one (ties by id).  A vertex then points to at most sqrt(2 E) others, because each of them
-    has at least its degree; this bounds the neighbour lists.  A triangle is found once, as a common member
-    of the lists at the two ends of an edge, so pairs of neighbours are never listed.
+    to the other one (ties by id).  A triangle is found once, as a common member of the lists of neighbours
+    that the two ends of an edge point to.  Lists are cut into blocks of about ``block`` ids by a hash of the
+    id; an edge brings together only the blocks of its two ends that can hold the same ids.  So no row is
+    longer than a block, and the edges of one vertex spread over its blocks.
     """
-    pointed = materialise(_by_degree(edges, min_hot_rows))
-    lists = pointed.groupBy("src").agg(F.collect_list("dst").alias("others"))
-    ends = lists.select(F.col("src").alias("first"), F.col("others").alias("of_first"), F.explode("others").alias("src"))
+    pointed = stored(_by_degree(edges), "pointed-edges")
+    out = pointed.groupBy("src").agg(F.count("*").alias("n"))
+    cuts = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.col("n") / F.lit(block), F.lit(1.0))))).cast("int")
+    cuts = stored(out.select("src", cuts.alias("cuts")), "list-cuts")
+    part = F.pmod(F.xxhash64("dst"), F.col("cuts")).cast("int")
+    lists = pointed.join(cuts, "src").groupBy("src", part.alias("part")).agg(F.collect_list("dst").alias("others"))
+    ends = pointed.join(cuts, "src").withColumnRenamed("cuts", "src_cuts")
+    ends = ends.join(cuts.toDF("dst", "dst_cuts"), "dst")  # an end that points nowhere closes no triangle
+    finest = F.greatest("src_cuts", "dst_cuts")
+    ends = ends.withColumn("i", F.explode(F.sequence(F.lit(0), finest - 1)))
+    ends = ends.select(
+        F.col("src").alias("first"), F.col("dst").alias("second"),
+        (F.col("i") % F.col("src_cuts")).alias("first_part"), (F.col("i") % F.col("dst_cuts")).alias("second_part"),
+    )
     common = (
-        salted_join(
-            ends,
-            lists,
-            "src",
-            spread=["first"],
-            counts=pointed.groupBy(F.col("dst").alias("src")).agg(F.count("*").alias("n_rows")),
-            min_hot_rows=min_hot_rows,
-            n_rows=pointed.count(),
-        )
-        .select("first", F.col("src").alias("second"), F.array_intersect("of_first", "others").alias("thirds"))
+        ends.join(lists.toDF("first", "first_part", "of_first"), ["first", "first_part"])
+        .join(lists.toDF("second", "second_part", "of_second"), ["second", "second_part"])
+        .select("first", "second", F.array_intersect("of_first", "of_second").alias("thirds"))
         .filter(F.size("thirds") > 0)
     )
     n = F.size("thirds").cast("bigint")
@@ -221,25 +206,15 @@ def triangle_count(vertices: DataFrame, edges: DataFrame, min_hot_rows: int = MI
     )
 
 
-def _by_degree(edges: DataFrame, min_hot_rows: int) -> DataFrame:
+def _by_degree(edges: DataFrame) -> DataFrame:
     """(src, dst): undirected edges without loops and repeats, pointed to the end of higher degree."""
     a, b = F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")
-    pairs = materialise(edges.select(a, b).filter("a <> b").distinct())
-    degree = (
-        pairs.select(F.col("a").alias("id"))
-        .unionAll(pairs.select(F.col("b").alias("id")))
-        .groupBy("id")
-        .agg(F.count("*").alias("degree"))
-    )
-    size = {"min_hot_rows": min_hot_rows, "n_rows": pairs.count()}
-    with_a = salted_join(
-        pairs, degree.toDF("a", "degree_a"), "a", spread=["b"], counts=degree.toDF("a", "n_rows"), **size
-    )
-    with_both = salted_join(
-        with_a, degree.toDF("b", "degree_b"), "b", spread=["a"], counts=degree.toDF("b", "n_rows"), **size
-    )
+    pairs = stored(edges.select(a, b).filter("a <> b").distinct(), "edge-pairs")
+    ends = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id")))
+    degree = ends.groupBy("id").agg(F.count("*").alias("degree"))
+    both = pairs.join(degree.toDF("a", "degree_a"), "a").join(degree.toDF("b", "degree_b"), "b")
     a_first = F.col("degree_a") <= F.col("degree_b")  # a < b, so a comes first on a tie
-    return with_both.select(
+    return both.select(
         F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("src"),
         F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("dst"),
     )

@@ -24,9 +24,11 @@ def first_rows(df: DataFrame, n: int, order: Sequence[Column], position: str = "
     return top_k(df, n, order).withColumn(position, F.row_number().over(window) - 1)
 
 
-def sample_users(users: DataFrame, n: int, seed: int, key: str = "user", first: int = 1000) -> DataFrame:
-    """``n`` users drawn by seeded hash from the ``first`` users in id order."""
-    batch = top_k(users.select(key).distinct(), first, id_order(key))
+def sample_users(users: DataFrame, n: int, seed: int, key: str = "user", first: int | None = None) -> DataFrame:
+    """``n`` users drawn by seeded hash from all users, or from the ``first`` ones in id order."""
+    batch = users.select(key).distinct()
+    if first is not None:
+        batch = top_k(batch, first, id_order(key))
     return top_k(batch, n, [seeded_hash(seed, key), F.col(key)])
 
 

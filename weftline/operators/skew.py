@@ -1,10 +1,10 @@
 """Joins that stay balanced when one key holds a large part of the rows.
 
-A key is *hot* when it holds more than ``MIN_HOT_ROWS`` rows of the big side; the ``MAX_HOT_KEYS`` hottest
-keys are split.  Any key with more than ``1 / MAX_HOT_KEYS`` of all rows is among them, since there are
-fewer than ``MAX_HOT_KEYS`` of those, so what is left over is balanced.  The table of hot keys has at most
-``MAX_HOT_KEYS`` rows at any scale and is the one thing that is broadcast here.  The rows of a hot key are
-spread over up to ``MAX_SALTS`` salts; the matching rows of the other side are repeated once per salt.
+A key is *hot* when it holds more than ``MIN_HOT_ROWS`` rows of the big side and more than one row in
+``MAX_HOT_KEYS``.  There are fewer than ``MAX_HOT_KEYS`` such keys at any scale, by arithmetic and not by a
+cut, so their table can be broadcast; it is the one thing that is broadcast here.  Every hot key is split: its
+rows are spread over salts of ``MIN_HOT_ROWS`` rows, the matching rows of the other side are repeated once
+per salt.  A key that is not hot has at most one row in ``MAX_HOT_KEYS``.
 """
 
 from __future__ import annotations
@@ -14,9 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 10_000
+MAX_HOT_KEYS = 100_000
 MIN_HOT_ROWS = 1_000_000
-MAX_SALTS = 4096
 MAX_BROADCAST_ROWS = 100_000
 SALT = "__salt"
 SALTS = "__salts"
@@ -33,10 +32,10 @@ def key_counts(df: DataFrame, key: str, positive: str | None = None) -> DataFram
 
 
 def hot_keys(counts: DataFrame, key: str, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """(key, __salts) of the at most ``MAX_HOT_KEYS`` hot keys of ``counts(key, n_rows)``."""
-    salts = F.least(F.ceil(F.col("n_rows") / min_hot_rows), F.lit(MAX_SALTS))
-    hottest = counts.filter(F.col("n_rows") > min_hot_rows).orderBy(F.desc("n_rows")).limit(MAX_HOT_KEYS)
-    return hottest.select(key, salts.cast("int").alias(SALTS))
+    """(key, __salts) of the hot keys of ``counts(key, n_rows)``; fewer than ``MAX_HOT_KEYS``."""
+    total = counts.agg(F.sum("n_rows")).scalar()
+    hot = counts.filter((F.col("n_rows") > min_hot_rows) & (F.col("n_rows") > total / F.lit(MAX_HOT_KEYS)))
+    return hot.select(key, F.ceil(F.col("n_rows") / min_hot_rows).cast("int").alias(SALTS))
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -73,19 +72,15 @@ def salted_join(
     counts: DataFrame | None = None,
     how: str = "inner",
     min_hot_rows: int = MIN_HOT_ROWS,
-    n_rows: int | None = None,
 ) -> DataFrame:
     """Join on ``key`` where the rows of ``big`` may be concentrated on few keys.
 
     ``counts(key, n_rows)`` tells how many rows of ``big`` each key has; it is computed when absent.
-    ``n_rows`` is the size of ``big`` where the caller knows it: without enough rows no key can be hot.
     ``how`` is a join type that keeps or drops rows of ``big`` one by one: inner, left, left_semi or
     left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join cannot do a {how} join")
-    if n_rows is not None and n_rows <= min_hot_rows:
-        return big.join(small, key, how)
     hot = hot_keys(key_counts(big, key) if counts is None else counts, key, min_hot_rows)
     salted = salt_rows(big, hot, key, spread)
     return salted.join(repeat_rows(small, hot, key), [key, SALT], how).drop(SALT)

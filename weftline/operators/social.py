@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions.scalars import id_order, pair_high, pair_low
 from weftline.operators.ranking import top_k_per_group
-from weftline.operators.skew import MIN_HOT_ROWS, key_counts, salted_join
+from weftline.operators.skew import MIN_HOT_ROWS, broadcast_if_small, key_counts, salted_join
 from weftline.session import materialise
 
 
@@ -44,15 +44,18 @@ def existing_friendships(memberships: DataFrame, users: DataFrame) -> DataFrame:
 def mutual_friend_counts(memberships: DataFrame, users: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """(user, candidate, mutual) for each of ``users(user)`` and everyone who shares a list with them.
 
-    Only pairs with a requested user at one end are made: first the entries that name such a user are
-    found, then the rest of those lists is joined to them.  An entry that a list repeats counts each time.
+    Only pairs with a requested user at one end are made.  The entries that name such a user are found first;
+    only the lists they are on are read on.  An entry that a list repeats counts each time.
     """
-    entries = memberships.groupBy("list_id", "friend").agg(F.count("*").alias("times"))
-    hits = (
-        entries.withColumnRenamed("friend", "user")
+    hits = materialise(
+        memberships.withColumnRenamed("friend", "user")
         .join(users.select("user"), "user", "left_semi")
-        .select("list_id", "user", F.col("times").alias("user_times"))
+        .groupBy("list_id", "user")
+        .agg(F.count("*").alias("user_times"))
     )
+    touched = broadcast_if_small(hits.select("list_id").distinct())
+    entries = memberships.select("list_id", "friend").join(touched, "list_id", "left_semi")
+    entries = entries.groupBy("list_id", "friend").agg(F.count("*").alias("times"))
     counts = key_counts(entries, "list_id", positive="times")
     pairs = salted_join(entries, hits, "list_id", spread=["friend"], counts=counts, min_hot_rows=min_hot_rows)
     return (

@@ -98,8 +98,9 @@ WITH {search_ctes(f'{PHRASES} UNION ALL {WORDS}')}
 SELECT query_id, doc_id, round(score, 6) AS score, rank, coalesce(title, 'Unknown') AS title
 FROM ({ranked('(SELECT * FROM single UNION ALL SELECT * FROM several)')}) LEFT JOIN {TITLES} USING (doc_id)"""
 ORACLE["query_file"] = f"""
-SELECT DISTINCT t AS query_id, t AS text
-FROM (SELECT regexp_replace(text, '^[{WHITE}]+|[{WHITE}]+$', '', 'g') AS t FROM benchmark) WHERE t <> ''"""
+SELECT line AS query_id, t AS text
+FROM (SELECT 2 * item_id + n AS line, regexp_replace(text, '^[{WHITE}]+|[{WHITE}]+$', '', 'g') AS t
+      FROM benchmark, (SELECT unnest([0, 1]) AS n)) WHERE t <> ''"""
 
 # --- entities ---------------------------------------------------------------------------------------
 
@@ -133,12 +134,12 @@ members AS MATERIALIZED (
     SELECT l_partkey AS owner, l_suppkey AS friend FROM lineitem
     UNION ALL SELECT l_suppkey, l_partkey FROM lineitem))"""
 USERS = f"""{MEMBERS},
-firsts AS (SELECT DISTINCT owner AS "user" FROM members ORDER BY owner::BIGINT LIMIT 1000),
-users AS MATERIALIZED (SELECT "user" FROM firsts ORDER BY md5('42|' || "user"), "user" LIMIT 10)"""
+users AS MATERIALIZED (SELECT "user" FROM (SELECT DISTINCT owner AS "user" FROM members) ORDER BY md5('42|' || "user"), "user" LIMIT 10)"""
 IS_TEST = "substring(md5('42|' || doc_id), 1, 8) < '33333333'"
 
 ORACLE["first_users"] = f"""
-WITH {USERS} SELECT "user", (row_number() OVER (ORDER BY "user"::BIGINT) - 1)::INTEGER AS position FROM firsts"""
+WITH {MEMBERS}, firsts AS (SELECT DISTINCT owner AS "user" FROM members ORDER BY owner::BIGINT LIMIT 1000)
+SELECT "user", (row_number() OVER (ORDER BY "user"::BIGINT) - 1)::INTEGER AS position FROM firsts"""
 ORACLE["sampled_users"] = f"WITH {USERS} SELECT * FROM users"
 ORACLE["train_test_split"] = f"SELECT doc_id, {IS_TEST} AS is_test FROM documents"
 
@@ -182,8 +183,7 @@ entries AS MATERIALIZED (
     SELECT list_id, owner, supp AS friend FROM lists UNION ALL SELECT list_id, owner, supp FROM lists
     UNION ALL SELECT list_id, owner, line FROM lists)
   GROUP BY list_id, owner, friend),
-firsts AS (SELECT DISTINCT friend AS "user" FROM entries ORDER BY friend::BIGINT LIMIT 1000),
-users AS MATERIALIZED (SELECT "user" FROM firsts ORDER BY md5('42|' || "user"), "user" LIMIT 10),
+users AS MATERIALIZED (SELECT "user" FROM (SELECT DISTINCT friend AS "user" FROM entries) ORDER BY md5('42|' || "user"), "user" LIMIT 10),
 existing AS MATERIALIZED (
   SELECT DISTINCT least(owner, friend) AS a, greatest(owner, friend) AS b
   FROM entries WHERE owner IN (SELECT "user" FROM users)),

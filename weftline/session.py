@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import re
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+_SHIPPED: set[str] = set()
 
 
 def build_session(app_name: str = "weftline", master: str | None = None, **conf: object) -> SparkSession:
@@ -16,6 +22,7 @@ def build_session(app_name: str = "weftline", master: str | None = None, **conf:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master is not None:
         builder = builder.master(master)
@@ -36,7 +43,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="weftline-checkpoint-")
     sc.setCheckpointDir(shared)
@@ -52,3 +59,37 @@ def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint, so that a lost executor costs no recomputation."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as Parquet below the checkpoint folder; the table read back, and its path for ``drop_stored``."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written and read back: cuts the lineage like a checkpoint, in compressed columns."""
+    return write_stored(df, name)[0]
+
+
+def store_counted(df: DataFrame, name: str, **sums) -> tuple[DataFrame, str, dict]:
+    """``write_stored`` and, from the same pass, the number of rows ``n`` and other aggregates."""
+    seen = Observation()
+    counted = df.observe(seen, F.count("*").alias("n"), *[column.alias(key) for key, column in sums.items()])
+    return *write_stored(counted, name), seen.get
+
+
+def drop_stored(spark: SparkSession, path: str) -> None:
+    """Delete a table of ``write_stored`` that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Put this package on the Python path of the workers, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = Path(__file__).parent
+        sc.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/{root.name}", "zip", root.parent, root.name))
+        _SHIPPED.add(sc.applicationId)

@@ -11,20 +11,24 @@ SCHEME_AND_HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:(?://[^/]*)?)?"
 
 
 def read_labelled_directory(
-    spark: SparkSession, roots: str | list[str], min_chars: int = 51, charset: str = "ISO-8859-1"
+    spark: SparkSession,
+    roots: str | list[str],
+    min_chars: int = 51,
+    charset: str = "ISO-8859-1",
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """(path, label, text) of all files below the absolute ``roots``, read as one collection.
 
     The label is the name of the directory that holds the file.  Files directly in a root have no label
-    and are skipped, as are texts shorter than ``min_chars`` and files that cannot be read.  Line ends
-    become ``\\n``.
+    and are skipped, as are texts shorter than ``min_chars``.  Line ends become ``\\n``.  A file that cannot be
+    read is an error unless ``skip_unreadable`` is set.
     """
     roots = [roots] if isinstance(roots, str) else list(roots)
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .option("ignoreCorruptFiles", "true")
-        .option("ignoreMissingFiles", "true")
+        .option("ignoreCorruptFiles", skip_unreadable)
+        .option("ignoreMissingFiles", skip_unreadable)
         .load(roots)
     )
     for root in roots:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions.text import trimmed
 from weftline.operators.rows import computed_once
+from weftline.session import materialise
 
 FIELDS = "__fields"
 
@@ -31,10 +32,13 @@ def parse_id_text(lines: DataFrame) -> DataFrame:
     return parts.select(field(0).alias("doc_id"), field(1).alias("text"))
 
 
-def parse_titles(lines: DataFrame) -> DataFrame:
-    """Tab-separated metadata -> (doc_id, title) from fields 0 and 2; shorter lines are dropped."""
+def parse_titles(lines: DataFrame, line: str | None = None) -> DataFrame:
+    """Tab-separated metadata -> (doc_id, title) from fields 0 and 2; shorter lines are dropped.
+
+    ``line`` names a column that numbers the lines; it is kept, for ``with_titles`` to take the last title.
+    """
     parts = fields(lines, F.col("value"), "\t").filter(F.size(FIELDS) > 2)
-    return parts.select(field(0).alias("doc_id"), field(2).alias("title"))
+    return parts.select(field(0).alias("doc_id"), field(2).alias("title"), *([line] if line else []))
 
 
 def parse_adjacency(lines: DataFrame) -> DataFrame:
@@ -56,11 +60,12 @@ def parse_edges(lines: DataFrame) -> DataFrame:
     return parts.select(field(0).alias("src"), field(1).alias("dst"))
 
 
-def parse_queries(lines: DataFrame) -> DataFrame:
-    """One search per non-blank line -> (query_id, text).
+def parse_queries(lines: DataFrame, line: str | None = None) -> DataFrame:
+    """One search per non-blank line -> (query_id, text); repeated lines are repeated searches.
 
-    The query id is the trimmed text itself, so equal lines give one query and the id needs no global
-    numbering.
+    ``line`` names a column that numbers the lines and becomes the id.  Without one the id grows in file order;
+    such ids are stored at once, since a repeated task could number its rows in another order.
     """
-    text = trimmed("value")
-    return lines.select(text.alias("query_id"), text.alias("text")).filter(F.col("text") != "").distinct()
+    number = F.monotonically_increasing_id() if line is None else F.col(line)
+    asked = lines.select(number.alias("query_id"), trimmed("value").alias("text"))
+    return (materialise(asked) if line is None else asked).filter(F.col("text") != "")
