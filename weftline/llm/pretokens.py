@@ -11,6 +11,7 @@ comes before it; else NUL and the text as it is.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 
@@ -60,7 +61,54 @@ def special_strings(path: str) -> tuple[str, ...]:
     return tuple(token.content for token in tokenizer(path).get_added_tokens_decoder().values())
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level models write a byte as a visible character: itself where it is one, else the next from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [byte for byte in range(256) if byte not in visible]
+    return {byte: chr(256 + i) for i, byte in enumerate(hidden)}
+
+
+_LETTERS = _byte_letters()
+_PLAIN = re.compile(r"([\x00\n]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+_BYTE_LEVEL: dict[str, bool] = {}
+
+
+def is_byte_level(path: str) -> bool:
+    """Whether the tokenizer is nothing but a byte-level model behind the usual cut into words."""
+    if path not in _BYTE_LEVEL:
+        parts = json.loads(tokenizer(path).to_str())
+        cut = parts["pre_tokenizer"] or {}
+        _BYTE_LEVEL[path] = parts["normalizer"] is None and (
+            cut.get("type"), cut.get("use_regex"), cut.get("add_prefix_space")
+        ) == ("ByteLevel", True, False)
+    return _BYTE_LEVEL[path]
+
+
 def encode_keys(path: str, keys: list[str]) -> list[list[int]]:
-    """The ids of each key."""
-    texts = [written(key) for key in keys]
-    return [found.ids for found in tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
+    """The ids of each key.
+
+    A word of Latin letters, also with a line feed before or a full stop or comma after it, is cut by the
+    byte-level rules into just these; it goes to the tokenizer's model directly, which takes half the time.
+    """
+    own = tokenizer(path)
+    out: list[list[int]] = [[]] * len(keys)
+    rest = []
+    model = own.model if is_byte_level(path) else None
+    signs = {s: [token.id for token in model.tokenize(s.translate(_LETTERS))] for s in ("\n", ".", ",")} if model else {}
+    signs[""] = []
+    for i, key in enumerate(keys):
+        plain = _PLAIN.fullmatch(key) if model else None
+        if plain is None:
+            rest.append(i)
+            continue
+        before, word, after = plain.groups()
+        word = word if before else " " + word
+        if not word.isascii():
+            word = word.encode().decode("latin-1")
+        ids = [token.id for token in model.tokenize(word.translate(_LETTERS))]
+        out[i] = signs[before.strip("\x00")] + ids + signs[after] if before or after else ids
+    if rest:
+        texts = [written(keys[i]) for i in rest]
+        for i, found in zip(rest, own.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            out[i] = found.ids
+    return out

@@ -14,6 +14,7 @@ rerun of a lost task safe.  A second table has the number of ids before each par
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,16 +92,17 @@ class Encoder:
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         split = [keys_of(text.decode("utf-8", "replace"), self.special) for text in texts]
-        keys = set().union(*split)
-        new = [key for key in keys if key not in self.known]
+        found = [list(map(self.known.get, keys)) for keys in split]
+        pairs = (pair for keys, ids in zip(split, found, strict=True) for pair in zip(keys, ids, strict=True))
+        new = list({key for key, own in pairs if own is None})
         if len(self.known) + len(new) > MEMO_KEYS:
             self.known.clear()
-            new = list(keys)
-        self.known.update(
-            zip(new, (np.array(ids, "<u4").tobytes() for ids in encode_keys(self.file, new)), strict=True)
-        )
-        get = self.known.__getitem__
-        return [b"".join(map(get, own)) for own in split]
+        self.known.update(zip(new, (array("I", ids).tobytes() for ids in encode_keys(self.file, new)), strict=True))
+        known = self.known
+        return [
+            b"".join([known[key] if own is None else own for key, own in zip(keys, ids, strict=True)])
+            for keys, ids in zip(split, found, strict=True)
+        ]
 
 
 _ENCODERS: dict[str, Encoder] = {}
