@@ -104,3 +104,16 @@ def test_vocabulary_and_totals(spark):
     assert sorted(row.word for row in classify.vocabulary(train).collect()) == ["x", "y"]
     assert sorted(map(tuple, classify.word_class_counts(train).collect())) == [("a", "x", 2), ("a", "y", 1), ("b", "y", 1)]
     assert sorted(map(tuple, classify.class_word_totals(train).collect())) == [("a", 3), ("b", 1), ("c", 0)]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_only_lines_that_win_somewhere_are_kept(seed):
+    rng = random.Random(seed)
+    rows = [
+        {"log_prior": -rng.random() * 5, "log_total": rng.choice([rng.random() * 3, 1.0]), "label": f"l{i}"} for i in range(40)
+    ]
+    kept = classify.winning_lines(rows)
+    assert len(kept) < 25
+    for x in [*range(200), 10**6]:
+        best = max(rows, key=lambda r: (round(r["log_prior"] - x * r["log_total"], 9), [-ord(c) for c in r["label"]]))
+        assert best in kept

@@ -113,3 +113,32 @@ def test_doc_vectors(spark):
     assert set(vectors) == {"1", "2", "3", "5", "6"}
     assert vectors["6"] == pytest.approx({"romantic": math.log(7), "comedy": math.log(7 / 3), "drama": 2 * math.log(7 / 2)})
 
+
+
+def test_equal_looking_cosines_are_ranked_by_the_cosine(spark):
+    """Frequent terms have a tiny idf; the ranking must not round before the query's norm is divided out."""
+    docs = [("1", "alpha " * 1001 + "beta " * 1000), ("2", "alpha beta")]
+    docs += [(str(i), f"alpha beta gamma gamma") for i in range(3, 2000)] + [("2000", "none")]
+    index = search.build_index(spark.createDataFrame(docs, "doc_id string, text string"), stop_words=())
+    asked = spark.createDataFrame([("q", "alpha beta")], "query_id string, text string")
+    rows = search.search_cosine(asked, index, 2, stop_words=()).orderBy("rank").collect()
+    assert [row.doc_id for row in rows] == ["2", "1"]
+    assert rows[0].score == pytest.approx(1.0, abs=1e-12) and 0.9999998 < rows[1].score < 0.9999999
+
+
+def test_a_saved_index_is_read_by_buckets(spark, tmp_path):
+    index = search.build_index(spark.createDataFrame(DOCS, "doc_id string, text string"))
+    index.save(str(tmp_path), buckets=8)
+    loaded = search.SearchIndex.load(spark, str(tmp_path), buckets=8)
+    asked = spark.createDataFrame([("q", "war comedy")], "query_id string, text string")
+    found = search.search_cosine(asked, loaded)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in plan[plan.index("PartitionFilters: ["):].split("]")[0]
+    assert found.count() == search.search_cosine(asked, index).count() > 0
+
+
+def test_the_last_title_of_an_id_wins(spark):
+    results = spark.createDataFrame([("q", "1", 1.0, 1)], "query_id string, doc_id string, score double, rank int")
+    titles = spark.createDataFrame([("1", "Zebra", 1), ("1", "Ant", 2)], "doc_id string, title string, line int")
+    assert search.with_titles(results, titles, line="line").first().title == "Ant"
+    assert search.with_titles(results, titles).first().title == "Zebra"

@@ -1,5 +1,7 @@
 import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from weftline.operators.entities import capitalised_words, entity_counts, entity_mentions, model_extractor
@@ -110,7 +112,9 @@ def test_rule_entities(spark):
 
 def test_model_entities(spark):
     def load_model():
-        return lambda text: [(f" {w} ", "PERSON" if w[:1].isupper() else "DATE") for w in text.split(" ")]
+        return lambda texts: [
+            [(f" {w} ", "PERSON" if w[:1].isupper() else "DATE") for w in text.split(" ")] for text in texts
+        ]
 
     extractor = model_extractor(load_model)
     rows = entity_counts(texts_frame(spark), extractor, ("PERSON",)).collect()
@@ -120,6 +124,47 @@ def test_model_entities(spark):
 
 
 def test_blank_entities_are_kept_on_request(spark):
-    extractor = model_extractor(lambda: lambda text: [("  ", "ORG")])
+    extractor = model_extractor(lambda: lambda texts: [[("  ", "ORG")] for _ in texts])
     assert entity_mentions(texts_frame(spark), extractor, keep_blank=True).count() == 3
     assert entity_mentions(texts_frame(spark), extractor).count() == 0
+
+
+def test_a_model_is_loaded_once_per_worker(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def load_model():
+        import os
+        import uuid
+
+        open(os.path.join(folder, f"{os.getpid()}-{uuid.uuid4().hex}"), "w").close()
+        return lambda texts: [[(text, "ORG")] for text in texts]
+
+    extractor = model_extractor(load_model)
+    texts = spark.range(320).select(F.col("id").cast("string").alias("text")).repartition(32)
+    assert entity_mentions(texts, extractor).count() == 320
+    loads = [name.split("-")[0] for name in os.listdir(folder)]
+    assert len(loads) == len(set(loads)) <= 32
+
+
+def test_a_log_without_batches_is_empty_and_a_folded_one_the_same(spark, tmp_path):
+    path = str(tmp_path / "log")
+    assert C.latest_counts(spark, path).collect() == []
+    for i, rows in enumerate([[("a", 1), ("b", 1)], [("a", 2)], [("c", 1), ("b", 3)], [("a", 7)]]):
+        spark.createDataFrame(rows, "entity string, count bigint").write.parquet(f"{path}/batch_id={i}")
+    before = sorted(C.latest_counts(spark, path).collect())
+    C.fold_counts(spark, path, upto=2)
+    assert sorted(os.listdir(path)) == ["batch_id=2", "batch_id=3"]
+    assert sorted(C.latest_counts(spark, path).collect()) == before
+
+
+def test_await_first_raises_the_error_of_a_failed_query(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    spark.range(3).write.parquet(str(tmp_path / "in" / "x"))
+    stream = spark.readStream.schema("id bigint").parquet(str(tmp_path / "in" / "x"))
+
+    def fail(batch, batch_id):
+        raise ValueError("broken sink")
+
+    writers = [stream.writeStream.foreachBatch(fail).option("checkpointLocation", str(tmp_path / "c"))]
+    with pytest.raises(Exception, match="broken sink"):
+        C.await_first(C.start_all(writers))

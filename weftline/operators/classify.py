@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from weftline.functions.scalars import rank_value
@@ -101,18 +101,51 @@ def _better(a: Column, b: Column) -> Column:
     return F.when(b["label"].isNotNull() & (a["label"].isNull() | ahead), b).otherwise(a)
 
 
-def _base_rivals(model: NaiveBayesModel) -> Column:
-    """The classes that can have the best base score for some length, as one array.
+def _base_winners(model: NaiveBayesModel) -> list[Row]:
+    """The classes whose base score is the best for some document length, ties within the rounding included.
 
-    Of the classes with the same number of documents only the one with the fewest tokens can win, or, for
-    an empty document, where all of them tie, the one with the smallest label.  Different numbers of
-    documents add up to at most the training size N, so there are at most sqrt(2 N) of them and twice as
-    many rivals, which fit in one array.
+    Base scores are straight lines, ``log_prior - length * log_total``.  Of the classes with equally many
+    documents only the one with the fewest tokens or, where all tie at length 0, the smallest label can win.
+    Different numbers of documents add up to the training size N, so at most 2 sqrt(2 N) lines reach the
+    driver; there only those on the upper envelope, mostly a handful, are kept.
     """
-    stats = F.struct("label", "log_prior", "log_total")
-    fewest = F.min(F.struct("n_words", stats.alias("stats")))["stats"]
-    rivals = model.classes.groupBy("n_docs").agg(F.array(fewest, F.min(stats)).alias("rivals"))
-    return rivals.agg(F.array_sort(F.flatten(F.collect_list("rivals")))).scalar()
+    stats = F.struct("log_prior", "log_total", "label")
+    fewest = F.min_by(stats, F.struct("n_words", "label"))
+    lines = model.classes.groupBy("n_docs").agg(F.array_distinct(F.array(fewest, F.min_by(stats, "label"))).alias("l"))
+    rows = lines.select(F.inline("l")).collect()
+    return winning_lines(rows)
+
+
+def winning_lines(rows: Sequence[Row], slack: float = 4 * 10**-SCORE_DIGITS) -> list[Row]:
+    """Rows (log_prior, log_total, label) that come within ``slack`` of the best ``log_prior - x * log_total`` at
+    some x >= 0."""
+    rows = sorted(rows, key=lambda r: (r["log_total"], -r["log_prior"], r["label"]))
+    envelope: list[tuple[float, Row]] = []  # from which x on a line is the best; x falls from infinity to 0
+    for row in rows:
+        while envelope:
+            best = envelope[-1][1]
+            if row["log_prior"] <= best["log_prior"]:
+                break
+            cross = (row["log_prior"] - best["log_prior"]) / (row["log_total"] - best["log_total"])
+            if len(envelope) > 1 and cross >= envelope[-1][0]:
+                envelope.pop()
+                continue
+            envelope.append((cross, row))
+            break
+        if not envelope:
+            envelope.append((float("inf"), row))
+    # ``cross`` of an entry is where it meets the one before it: below it the entry is better
+    ends = sorted({0.0, *(x for x, _ in envelope if x != float("inf"))})
+
+    def best_at(x: float) -> float:
+        return max(row["log_prior"] - x * row["log_total"] for _, row in envelope)
+
+    top = [(x, best_at(x)) for x in ends]
+    least = envelope[0][1]["log_total"] if envelope else 0.0
+    return [
+        row for row in rows
+        if row["log_total"] == least or any(row["log_prior"] - x * row["log_total"] >= y - slack for x, y in top)
+    ]
 
 
 def nb_scores(model: NaiveBayesModel, test: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
@@ -120,7 +153,7 @@ def nb_scores(model: NaiveBayesModel, test: DataFrame, min_hot_rows: int = MIN_H
     ``test(doc_id, tokens)``, and one row without a label for the words that no class knows."""
     terms = (
         test.select("doc_id", F.size("tokens").alias("length"), F.explode_outer("tokens").alias("word"))
-        .groupBy("doc_id", "length", F.coalesce("word", F.lit("")).alias("word"))
+        .groupBy("doc_id", "length", "word")
         .agg(F.count("*").alias("times"))
     )
     weights = model.words.join(broadcast_if_small(model.classes), "label").select(
@@ -151,15 +184,17 @@ def nb_predict(model: NaiveBayesModel, test: DataFrame, min_hot_rows: int = MIN_
     scores = nb_scores(model, test, min_hot_rows)
     own = top_k_per_group(scores, "doc_id", 1, [F.desc_nulls_last("score"), F.asc("label")])
 
-    def base(rival: Column) -> Column:
+    def base(rival: dict[str, Column]) -> Column:
         score = rank_value(rival["log_prior"] - F.col("length") * rival["log_total"], SCORE_DIGITS)
         return F.struct(score.alias("score"), rival["label"].alias("label"))
 
-    winner = F.aggregate("rivals", F.struct("score", "label"), lambda best, rival: _better(best, base(rival)))
-    return (
-        own.withColumn("rivals", _base_rivals(model))
-        .select("doc_id", winner.alias("winner"))
-        .select("doc_id", F.col("winner.label").alias("predicted"), "winner.score")
+    winner = F.struct("score", "label")
+    for row in _base_winners(model):
+        rival = {name: F.lit(row[name]) for name in ("log_prior", "log_total", "label")}
+        own = own.withColumn("best", _better(winner, base(rival)))
+        winner = F.col("best")
+    return own.select("doc_id", winner.alias("winner")).select(
+        "doc_id", F.col("winner.label").alias("predicted"), "winner.score"
     )
 
 

@@ -7,18 +7,21 @@ it finds single capitalised words, and their labels come from a gazetteer table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions.text import NOT_WORD, as_column, trimmed
 from weftline.functions.wordlists import BATCH_ENTITY_LABELS
 from weftline.operators.ranking import top_k
+from weftline.session import ship_package
 
 Extractor = Callable[[Column], Column]
-Model = Callable[[str], Iterable[tuple[str, str]]]
+Model = Callable[[list[str]], Iterable[Iterable[tuple[str, str]]]]
+_MODELS: dict[str, Model] = {}
 MENTIONS = "array<struct<text:string,label:string>>"
 
 
@@ -30,20 +33,33 @@ def capitalised_words(text: Column | str) -> Column:
     )
 
 
+def worker_model(key: str, load_model: Callable[[], Model]) -> Model:
+    """The model of ``key`` in this worker process, loaded when it is asked for the first time."""
+    if key not in _MODELS:
+        _MODELS[key] = load_model()
+    return _MODELS[key]
+
+
 def model_extractor(load_model: Callable[[], Model]) -> Extractor:
-    """Extractor around a model: ``load_model`` runs once per task, its result is called per text.
+    """Extractor around a model: ``load_model`` runs once per worker process, not per task, and its result is
+    called with a list of texts, one per Arrow batch.
 
-    Texts travel in Arrow batches; a NULL text has no entities.
+    A NULL text has no entities and is not shown to the model.
     """
+    key = uuid.uuid4().hex
+    ship_package(SparkSession.active())
 
     @F.pandas_udf(MENTIONS)
     def extract(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = load_model()
+        model = worker_model(key, load_model)
         for texts in batches:
-            yield texts.map(
-                lambda text: []
-                if text is None
-                else [{"text": entity, "label": label} for entity, label in model(text)]
+            found = iter(model([text for text in texts if text is not None]))
+            yield pd.Series(
+                [
+                    [] if text is None else [{"text": entity, "label": label} for entity, label in next(found)]
+                    for text in texts
+                ],
+                dtype=object,
             )
 
     return lambda text: extract(as_column(text))

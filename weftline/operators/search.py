@@ -3,7 +3,7 @@
 The index is kept in long form, one row per (document, term).  Queries are a table too: all of them are
 answered by one join with the index instead of one pass over the documents per query.  That join is left
 to Spark: it broadcasts the query terms when their size allows it, so the index does not move, and splits
-skewed partitions otherwise.
+skewed partitions otherwise.  A saved index lies in buckets of terms; a search reads the buckets of its terms.
 """
 
 from __future__ import annotations
@@ -11,10 +11,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weftline.functions.scalars import cosine, rank_value
+from weftline.functions.scalars import rank_value
 from weftline.functions.text import is_search_term, search_tokens, words
 from weftline.functions.wordlists import SEARCH_STOP_WORDS
 from weftline.operators.ranking import top_k_per_group
@@ -75,37 +75,72 @@ def doc_vectors(postings: DataFrame) -> DataFrame:
     return postings.groupBy("doc_id").agg(F.map_from_entries(F.array_sort(entries)).alias("vector"))
 
 
+def with_weights(postings: DataFrame) -> DataFrame:
+    """Add ``weight``: tfidf divided by the norm of the document, NULL where that is 0.
+
+    The sum of query weight times this weight is the cosine already, so a search needs no norms.  The window
+    holds one document, its different terms.
+    """
+    square = F.col("tfidf") * F.col("tfidf")
+    norm = F.sqrt(F.sum(square).over(Window.partitionBy("doc_id")))
+    return postings.withColumn("weight", F.when(norm > 0, F.col("tfidf") / norm))
+
+
+def term_bucket(term: Column | str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
 @dataclass(frozen=True)
 class SearchIndex:
-    """``postings(doc_id, term, tf, tfidf)``, ``terms(term, df, idf)`` and ``norms(doc_id, norm)``."""
+    """``postings(doc_id, term, tf, tfidf, weight)`` and ``terms(term, df, idf)``.
+
+    ``buckets`` is set where the postings lie in that many folders by ``term_bucket``.
+    """
 
     postings: DataFrame
     terms: DataFrame
-    norms: DataFrame
+    buckets: int = 0
+
+    @property
+    def norms(self) -> DataFrame:
+        return doc_norms(self.postings)
 
     def checkpointed(self) -> SearchIndex:
         """The index with its postings checkpointed: the searches then share one pass over the texts."""
         postings = materialise(self.postings)
-        idf = F.max(F.col("tfidf") / F.col("tf"))
-        terms = postings.groupBy("term").agg(F.count("*").alias("df"), idf.alias("idf"))
-        return SearchIndex(postings, terms, doc_norms(postings))
+        return SearchIndex(postings, _terms_of(postings))
 
-    def save(self, path: str) -> None:
-        """Write the index as Parquet, sorted so that a search reads only the row groups of its terms.
+    def save(self, path: str, buckets: int = 64) -> None:
+        """Write the index as Parquet, in ``buckets`` folders by term and sorted by term inside.
 
-        The range partitioning is over (term, doc_id): a term of many documents spans several files.
+        The range partitioning is over (bucket, term, doc_id): a term of many documents spans several files.  The
+        terms are made from the postings just written, so the texts are split once.
         """
-        by_term = self.postings.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id")
-        by_term.write.mode("overwrite").parquet(f"{path}/postings")
-        self.terms.write.mode("overwrite").parquet(f"{path}/terms")
-        doc_norms(self.postings.sparkSession.read.parquet(f"{path}/postings")).write.mode("overwrite").parquet(
-            f"{path}/norms"
-        )
+        order = ["bucket", "term", "doc_id"]
+        placed = self.postings.withColumn("bucket", term_bucket("term", buckets))
+        placed = placed.repartitionByRange(*order).sortWithinPartitions(*order)
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+        read = self.postings.sparkSession.read
+        _terms_of(read.parquet(f"{path}/postings")).write.mode("overwrite").parquet(f"{path}/terms")
 
     @staticmethod
-    def load(spark: SparkSession, path: str) -> SearchIndex:
-        read = spark.read.parquet
-        return SearchIndex(read(f"{path}/postings"), read(f"{path}/terms"), read(f"{path}/norms"))
+    def load(spark: SparkSession, path: str, buckets: int = 64) -> SearchIndex:
+        return SearchIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/terms"), buckets)
+
+    def of_terms(self, asked: DataFrame) -> DataFrame:
+        """The postings that can match ``asked(term)``.
+
+        The buckets asked for, at most ``buckets`` numbers, are looked up first and become a partition filter.
+        """
+        if not self.buckets:
+            return self.postings
+        found = asked.select(term_bucket("term", self.buckets).alias("bucket")).distinct().collect()
+        return self.postings.filter(F.col("bucket").isin(sorted(row["bucket"] for row in found)))
+
+
+def _terms_of(postings: DataFrame) -> DataFrame:
+    """(term, df, idf) of written postings; tfidf / tf is the idf again."""
+    return postings.groupBy("term").agg(F.count("*").alias("df"), F.max(F.col("tfidf") / F.col("tf")).alias("idf"))
 
 
 def build_index(
@@ -117,8 +152,7 @@ def build_index(
     """
     tf = term_frequency(docs, stop_words)
     terms = inverse_document_frequency(document_frequency(tf), docs)
-    postings = tfidf(tf, terms, min_hot_rows)
-    return SearchIndex(postings, terms, doc_norms(postings))
+    return SearchIndex(with_weights(tfidf(tf, terms, min_hot_rows)), terms)
 
 
 def query_terms(queries: DataFrame, stop_words: Sequence[str] = SEARCH_STOP_WORDS) -> DataFrame:
@@ -138,35 +172,31 @@ def search_term(queries: DataFrame, index: SearchIndex, k: int = 10, stop_words=
     A term that is in every document scores 0 and is still listed.
     """
     single = query_terms(queries, stop_words).filter("n_tokens = 1").select("query_id", "term")
-    scores = index.postings.select("term", "doc_id", F.col("tfidf").alias("score")).join(single, "term")
-    return _ranked(scores, k)
+    postings = index.of_terms(single).select("term", "doc_id", F.col("tfidf").alias("score"))
+    return _ranked(postings.join(single, "term"), k)
 
 
 def search_cosine(queries: DataFrame, index: SearchIndex, k: int = 10, stop_words=SEARCH_STOP_WORDS) -> DataFrame:
     """(query_id, doc_id, score, rank) of the queries of several tokens, ranked by cosine similarity.
 
     A query weighs its terms by count times idf and ignores unknown ones; a document's norm runs over all
-    its terms.  Only documents that share a term can score above 0, and only those are listed.
+    its terms.  Only documents that share a term can score above 0, and only those are listed.  Both sides are
+    normed before the sum, so what is ranked is the cosine itself.
     """
     asked = query_terms(queries, stop_words).filter("n_tokens > 1").select("query_id", "term", "qtf")
-    weight = F.col("qtf") * F.col("idf")
-    query_norms = (
-        asked.join(index.terms.select("term", "idf"), "term")
-        .groupBy("query_id")
-        .agg(F.sqrt(F.sum(weight * weight)).alias("query_norm"))
-    )
-    # tfidf / tf is the idf again, so the postings need no second join with the term table
-    dots = (
-        index.postings.select("doc_id", "term", "tf", "tfidf")
-        .join(asked, "term")
+    known = asked.join(index.terms.select("term", "idf"), "term").withColumn("query_weight", F.col("qtf") * F.col("idf"))
+    square = F.col("query_weight") * F.col("query_weight")
+    norm = F.sqrt(F.sum(square).over(Window.partitionBy("query_id")))
+    share = F.when(norm > 0, F.col("query_weight") / norm)
+    weighed = known.withColumn("share", share).select("query_id", "term", "share")
+    scores = (
+        index.of_terms(asked)
+        .select("doc_id", "term", "weight")
+        .join(weighed, "term")
         .groupBy("query_id", "doc_id")
-        .agg(F.sum(F.col("qtf") * F.col("tfidf") / F.col("tf") * F.col("tfidf")).alias("dot"))
+        .agg(F.sum(F.col("share") * F.col("weight")).alias("score"))
     )
-    # the query norm does not change the order within a query, so it joins after the cut to k rows
-    candidates = dots.join(index.norms, "doc_id").filter((F.col("dot") > 0) & (F.col("norm") > 0))
-    best = _ranked(candidates.withColumn("score", F.col("dot") / F.col("norm")), k, "dot", "norm")
-    score = cosine(F.col("dot"), F.col("query_norm"), F.col("norm"))
-    return best.join(query_norms, "query_id").select("query_id", "doc_id", score.alias("score"), "rank")
+    return _ranked(scores.filter("score > 0"), k)
 
 
 def search(queries: DataFrame, index: SearchIndex, k: int = 10, stop_words=SEARCH_STOP_WORDS) -> DataFrame:
@@ -174,18 +204,22 @@ def search(queries: DataFrame, index: SearchIndex, k: int = 10, stop_words=SEARC
     return search_term(queries, index, k, stop_words).unionByName(search_cosine(queries, index, k, stop_words))
 
 
-def _ranked(scores: DataFrame, k: int, *more: str) -> DataFrame:
+def _ranked(scores: DataFrame, k: int) -> DataFrame:
     ranked = top_k_per_group(scores, "query_id", k, [rank_value("score").desc(), F.col("doc_id").asc()])
-    return ranked.select("query_id", "doc_id", "score", "rank", *more)
+    return ranked.select("query_id", "doc_id", "score", "rank")
 
 
-def with_titles(results: DataFrame, titles: DataFrame, default: str = "Unknown") -> DataFrame:
+def with_titles(
+    results: DataFrame, titles: DataFrame, default: str = "Unknown", line: str | None = None
+) -> DataFrame:
     """Add ``title`` from ``titles(doc_id, title)``, one row per result whatever ``titles`` repeats.
 
-    The results are already cut to k rows per query, so this touches the title table once.
+    Of several titles the one with the largest ``line`` is taken, without such a column the largest title.  The
+    results are already cut to k rows per query, so this touches the title table once.
     """
+    title = F.max("title") if line is None else F.max_by("title", line)
     return (
-        results.join(titles.select("doc_id", "title"), "doc_id", "left")
+        results.join(titles.select("doc_id", "title", *([line] if line else [])), "doc_id", "left")
         .groupBy(*results.columns)
-        .agg(F.coalesce(F.max("title"), F.lit(default)).alias("title"))
+        .agg(F.coalesce(title, F.lit(default)).alias("title"))
     )

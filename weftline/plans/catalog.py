@@ -17,7 +17,7 @@ from weftline.functions.wordlists import BATCH_ENTITY_LABELS
 from weftline.operators import classify, entities, graph, sampling, search, social
 from weftline.plans import tables
 from weftline.session import materialise, scratch_path
-from weftline.sources import lines, sinks
+from weftline.sources import directories, lines, sinks
 from weftline.streaming import counts as stream_counts
 from weftline.streaming import messages
 
@@ -63,7 +63,7 @@ def idf(spark, sf_dir):
 
 @query
 def tfidf(spark, sf_dir):
-    return rounded(search.build_index(tables.documents(spark, sf_dir)).postings, "tfidf")
+    return rounded(search.build_index(tables.documents(spark, sf_dir)).postings.drop("weight"), "tfidf")
 
 
 @query
@@ -118,6 +118,12 @@ def query_file(spark, sf_dir):
 # --- entities ---------------------------------------------------------------------------------------
 
 
+@query
+def search_hot_terms(spark, sf_dir):
+    """The TF-IDF weights again, with every term of more than 50 documents split over salts."""
+    return rounded(search.build_index(tables.documents(spark, sf_dir), min_hot_rows=50).postings.drop("weight"), "tfidf")
+
+
 @query
 def entity_counts_top20(spark, sf_dir):
     return entities.entity_counts(tables.documents(spark, sf_dir), labels=None)
@@ -138,7 +144,7 @@ def entity_counts_model(spark, sf_dir):
 
         pattern = re.compile(r"(?<!\w)[A-Z][a-z]+(?!\w)")
         labels = {"e": "PERSON", "n": "GPE", "r": "ORG", "s": "LOC", "t": "DATE"}
-        return lambda text: [(word, labels.get(word[-1], "MISC")) for word in pattern.findall(text)]
+        return lambda texts: [[(w, labels.get(w[-1], "MISC")) for w in pattern.findall(text)] for text in texts]
 
     return entities.entity_counts(tables.documents(spark, sf_dir), entities.model_extractor(load_model))
 
@@ -262,9 +268,9 @@ def class_word_totals(spark, sf_dir):
 
 @query
 def vocabulary_size(spark, sf_dir):
-    train = news_train(spark, sf_dir)
-    n_words = classify.class_word_totals(train).agg(F.sum("n_words")).scalar()
-    return classify.vocabulary(train).agg(F.count("*").alias("n_vocabulary")).withColumn("n_words", n_words)
+    """Both figures from one table of word counts: the texts are cleaned once."""
+    words = classify.word_class_counts(news_train(spark, sf_dir)).groupBy("word").agg(F.sum("n").alias("n"))
+    return words.agg(F.count("*").alias("n_vocabulary"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_words"))
 
 
 @query
@@ -464,15 +470,54 @@ def normalise_headlines(spark, sf_dir):
 
 
 @query
-def stream_entity_counts(spark, sf_dir):
-    """Documents as a message stream, counted in update mode, read back as the last total per entity."""
-    docs = (
-        spark.readStream.schema(tables.table(spark, sf_dir, "documents").schema)
-        .option("pathGlobFilter", "documents.parquet")
-        .parquet(sf_dir)
-    )
+def timed_count_messages(spark, sf_dir):
+    """Count messages with a given time stamp, decoded again."""
+    counts = entities.count_entities(entities.entity_mentions(tables.documents(spark, sf_dir)))
+    stamp = F.to_timestamp_ntz(F.lit("2024-01-02 03:04:05")).cast("timestamp")
+    sent = messages.count_messages(counts, stamp)
+    decoded = messages.index_records(sent)
+    return decoded.select("entity_name", "entity_count", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
+
+
+def streamed_counts(spark, docs: DataFrame, path: str) -> DataFrame:
     decoded = messages.decode_messages(document_messages(docs))
     counts = stream_counts.stream_entity_counts(decoded, labels=None)
-    path = scratch_path(spark, "stream")
     stream_counts.run_available(stream_counts.table_writer(counts, f"{path}/counts", f"{path}/checkpoint"))
     return stream_counts.latest_counts(spark, f"{path}/counts")
+
+
+@query
+def stream_entity_counts(spark, sf_dir):
+    """Documents as a message stream, counted in update mode, read back as the last total per entity.
+
+    The last letter stands in brackets because a stream reads a folder or a pattern, and the table may be a
+    single file.
+    """
+    schema = tables.table(spark, sf_dir, "documents").schema
+    docs = spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.parque[t]")
+    return streamed_counts(spark, docs, scratch_path(spark, "stream"))
+
+
+@query
+def stream_in_batches(spark, sf_dir):
+    """The same stream from a folder of several files, one file per micro-batch, stopped and started again."""
+    path = scratch_path(spark, "batches")
+    docs = tables.documents(spark, sf_dir).select("doc_id", F.lit("a").alias("source"), "text", F.lit("en").alias("lang"))
+    docs.repartition(3, "doc_id").write.parquet(f"{path}/documents")
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1)
+    streamed_counts(spark, stream.parquet(f"{path}/documents"), path)
+    docs.repartition(2, "doc_id").write.mode("append").parquet(f"{path}/documents")
+    return streamed_counts(spark, stream.parquet(f"{path}/documents"), path)
+
+
+# --- folders ----------------------------------------------------------------------------------------
+
+
+@query
+def labelled_folders(spark, sf_dir):
+    """Documents written as a file each, in a folder per language, and read back with their labels."""
+    path = scratch_path(spark, "folders")
+    docs = tables.table(spark, sf_dir, "documents").select("lang", "text")
+    docs.write.option("maxRecordsPerFile", 1).option("lineSep", "\f").partitionBy("lang").text(path)
+    found = directories.read_labelled_directory(spark, path, charset="UTF-8")
+    return found.select("label", F.md5("text").alias("text"))

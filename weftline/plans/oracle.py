@@ -379,3 +379,10 @@ FROM (
   FROM pages)
 WHERE length(text) >= 10"""
 ORACLE["stream_entity_counts"] = f"WITH {ENTITIES} SELECT * FROM entities"
+ORACLE["stream_in_batches"] = f"WITH {ENTITIES} SELECT entity, 2 * count AS count FROM entities"
+ORACLE["timed_count_messages"] = f"""
+WITH {ENTITIES} SELECT entity AS entity_name, count AS entity_count, '2024-01-02 03:04:05' AS ts FROM entities"""
+ORACLE["search_hot_terms"] = ORACLE["tfidf"]
+ORACLE["labelled_folders"] = """
+SELECT 'lang=' || coalesce(lang, '__HIVE_DEFAULT_PARTITION__') AS label, md5(text || chr(12)) AS text
+FROM documents WHERE length(text) >= 50"""

@@ -80,10 +80,20 @@ def store_counted(df: DataFrame, name: str, **sums) -> tuple[DataFrame, str, dic
     return *write_stored(counted, name), seen.get
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
 def drop_stored(spark: SparkSession, path: str) -> None:
     """Delete a table of ``write_stored`` that nothing reads any more."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
 
 
 def ship_package(spark: SparkSession) -> None:

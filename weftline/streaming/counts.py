@@ -14,6 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from weftline.functions.wordlists import STREAM_ENTITY_LABELS
 from weftline.operators.entities import Extractor, capitalised_words, count_entities, entity_mentions
+from weftline.session import drop_stored, path_exists, write_stored
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 COUNT_LOG_SCHEMA = "entity string, count bigint, batch_id bigint"
@@ -52,16 +53,46 @@ def table_writer(counts: DataFrame, path: str, checkpoint: str) -> DataStreamWri
 
 
 def latest_counts(spark: SparkSession, path: str) -> DataFrame:
-    """(entity, count): the last total of each entity in a count log."""
+    """(entity, count): the last total of each entity in a count log; nothing before the first batch."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "entity string, count bigint")
     log = spark.read.schema(COUNT_LOG_SCHEMA).option("basePath", path).parquet(path)
     return log.groupBy("entity").agg(F.max_by("count", "batch_id").alias("count"))
 
 
+def fold_counts(spark: SparkSession, path: str, upto: int) -> None:
+    """Replace the batches of a count log up to ``upto`` by one folder with the totals as of that batch.
+
+    The folder takes the place of batch ``upto`` itself, so readers need not know; only batches that the
+    stream has committed may be folded.  Run it at intervals, so that the log does not grow for ever.
+    """
+    folders = [f"{path}/batch_id={i}" for i in range(upto + 1) if path_exists(spark, f"{path}/batch_id={i}")]
+    if len(folders) < 2:
+        return
+    log = spark.read.schema(COUNT_LOG_SCHEMA).option("basePath", path).parquet(*folders)
+    totals = log.groupBy("entity").agg(F.max_by("count", "batch_id").alias("count"))
+    _, folded = write_stored(totals, "folded-counts")
+    spark.read.parquet(folded).write.mode("overwrite").parquet(f"{path}/batch_id={upto}")
+    for folder in [*folders, folded]:
+        if folder != f"{path}/batch_id={upto}":
+            drop_stored(spark, folder)
+
+
 def start_all(writers: Sequence[DataStreamWriter], every: str | None = None) -> list[StreamingQuery]:
-    """Start several queries; ``spark.streams.awaitAnyTermination()`` then waits for the first to end."""
+    """Start several queries; ``await_first`` then waits for the first to end."""
     return [(writer.trigger(processingTime=every) if every else writer).start() for writer in writers]
 
 
+def await_first(queries: Sequence[StreamingQuery], poll_seconds: float = 0.5) -> StreamingQuery:
+    """Wait until one of the queries ends, and raise its error if it has failed."""
+    while True:
+        for query in queries:
+            if not query.isActive:
+                query.awaitTermination()
+                return query
+        queries[0].awaitTermination(poll_seconds)
+
+
 def run_available(writer: DataStreamWriter) -> None:
     """Process what the source holds now and stop."""
     query = writer.trigger(availableNow=True).start()
