@@ -1,12 +1,15 @@
 """Token counts without token ids: pieces are counted once per distinct pre-token.
 
 Documents are read in blocks.  A block keeps how often each of its documents has each pre-token, as a sparse
-matrix over the block's own list of pre-tokens.  Pre-tokens that are one entry of the vocabulary are known
-beforehand, a table bounded by the vocabulary, and are summed on the spot.  The others, once per block, are
-dealt by the pre-token; there equal ones lie together, are given to the tokenizer once and the number of
-their pieces goes back to the blocks, where matrix times numbers gives the counts.
+matrix over the block's own list of pre-tokens.  These lists, with every pre-token once per block, are dealt by
+the pre-token; there equal ones lie together, are given to the tokenizer once and the number of their pieces
+goes back to the blocks, where matrix times numbers gives the counts.
 
-A frequent pre-token has one row per block, however many documents have it, so no key is hot.
+The most frequent pre-tokens of the corpus, ``frequent`` of them, are counted beforehand and broadcast: a table
+bounded by that parameter.  A block sums them on the spot, so its matrix holds the rare ones only.  Which
+pre-tokens these are decides how much travels and never what comes out.
+
+A pre-token has one row per block, however many documents have it, so no key is hot.
 """
 
 from __future__ import annotations
@@ -16,33 +19,55 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.common import binary_texts, grouped, map_in_arrow, stored
-from weftline.llm.pretokens import encode_keys, keys_of, special_strings, tokenizer
+from weftline.llm.pretokens import encode_keys, keys_of, special_strings
 
 BLOCK_BYTES = 32_000_000
 GROUP_BYTES = 1_000_000
+FREQUENT = 100_000
 BLOCKS = (
     "block bigint, keys array<string>, doc_ids array<bigint>, n_bytes array<bigint>, "
     "known array<bigint>, ends array<bigint>, places binary, times binary"
 )
 COUNTS = "doc_id bigint, n_bytes bigint, n_tokens bigint"
-_SINGLE: dict[str, frozenset[str]] = {}
 
 
-def single_pieces(path: str) -> frozenset[str]:
-    """Keys that the tokenizer leaves as one piece, among the entries of its vocabulary."""
-    if path not in _SINGLE:
-        own = tokenizer(path)
-        texts = own.decode_batch([[i] for i in range(own.get_vocab_size())], skip_special_tokens=False)
-        keys = {f"\x00{t}" for t in texts if t} | {t[1:] for t in texts if t[:1] == " " and t[1:2].strip()}
-        keys = sorted(key for key in keys if "�" not in key)
-        pieces = encode_keys(path, keys)
-        _SINGLE[path] = frozenset(key for key, ids in zip(keys, pieces, strict=True) if len(ids) == 1)
-    return _SINGLE[path]
+def _frequent_in_blocks(tokenizer_file: str, block_bytes: int, frequent: int):
+    """(key, n) of the most frequent pre-tokens of each block, ``frequent`` at most."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        special, counts, size = special_strings(tokenizer_file), Counter(), 0
+
+        def most() -> pa.RecordBatch:
+            best = counts.most_common(frequent)
+            keys, times = [key for key, _ in best], [n for _, n in best]
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(times, pa.int64())], ["key", "n"])
+
+        for batch in batches:
+            for text in binary_texts(batch.column("text")):
+                counts.update(keys_of((text or b"").decode("utf-8", "replace"), special))
+                size += len(text or b"")
+                if size >= block_bytes:
+                    yield most()
+                    counts, size = Counter(), 0
+        if counts:
+            yield most()
+
+    return read
+
+
+def frequent_pieces(docs: DataFrame, tokenizer_file: str, block_bytes: int, frequent: int) -> dict[str, int]:
+    """Number of pieces of the ``frequent`` pre-tokens that the blocks have most often."""
+    found = map_in_arrow(
+        docs.select("text"), _frequent_in_blocks(tokenizer_file, block_bytes, frequent), "key string, n bigint"
+    )
+    found = found.groupBy("key").agg(F.sum("n").alias("n"))
+    keys = [row["key"] for row in found.orderBy(F.desc("n"), "key").limit(frequent).select("key").collect()]
+    return dict(zip(keys, map(len, encode_keys(tokenizer_file, keys)), strict=True))
 
 
 class _Block:
@@ -52,11 +77,11 @@ class _Block:
         self.doc_ids, self.n_bytes, self.known, self.ends = [], [], [], []
         self.at, self.times = [], []
 
-    def add(self, doc_id: int | None, text: bytes, single: frozenset[str], special: Sequence[str]) -> None:
+    def add(self, doc_id: int | None, text: bytes, pieces: dict[str, int], special: Sequence[str]) -> None:
         known, at, times, places = 0, [], [], self.places
         for key, n in Counter(keys_of(text.decode("utf-8", "replace"), special)).items():
-            if key in single:
-                known += n
+            if key in pieces:
+                known += n * pieces[key]
             else:
                 at.append(places.setdefault(key, len(places)))
                 times.append(n)
@@ -78,15 +103,15 @@ class _Block:
         return pa.RecordBatch.from_arrays([pa.array(v, kind) for _, v, kind in values], [name for name, _, _ in values])
 
 
-def _blocks(tokenizer_file: str, block_bytes: int):
+def _blocks(tokenizer_file: str, block_bytes: int, frequent: Broadcast):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        single, first = single_pieces(tokenizer_file), TaskContext.get().partitionId() << 32
-        special, block = special_strings(tokenizer_file), _Block(first)
+        pieces, special = frequent.value, special_strings(tokenizer_file)
+        block = _Block(TaskContext.get().partitionId() << 32)
         for batch in batches:
             doc_ids = iter(batch.column("doc_id").to_pylist())
             for group in grouped(binary_texts(batch.column("text")), GROUP_BYTES):
                 for text in group:
-                    block.add(next(doc_ids), text, single, special)
+                    block.add(next(doc_ids), text, pieces, special)
                 if block.size >= block_bytes:
                     yield block.row()
                     block = _Block(block.number + 1)
@@ -138,13 +163,17 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def count_tokens(docs: DataFrame, tokenizer_file: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def count_tokens(
+    docs: DataFrame, tokenizer_file: str, block_bytes: int = BLOCK_BYTES, frequent: int = FREQUENT
+) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) for each row of ``docs(doc_id, text)``.
 
     Null texts are empty and have no tokens; rows with an equal id are counted one by one.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    blocks = stored(map_in_arrow(texts, _blocks(tokenizer_file, block_bytes), BLOCKS), "token-blocks")
+    pieces = frequent_pieces(texts, tokenizer_file, block_bytes, frequent)
+    shared = docs.sparkSession.sparkContext.broadcast(pieces)
+    blocks = stored(map_in_arrow(texts, _blocks(tokenizer_file, block_bytes, shared), BLOCKS), "token-blocks")
     keys = blocks.select("block", F.posexplode("keys").alias("place", "key"))
     dealt = keys.repartition("key").sortWithinPartitions("key")
     counted = map_in_arrow(dealt, _pieces(tokenizer_file), "block bigint, place int, pieces int")
