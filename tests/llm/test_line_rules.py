@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from weftline.llm.line_rules import COUNTS, line_rules, measures, repeated_words
+from weftline.llm.line_rules import COUNTS, clean_documents, line_rules, measures, repeated_words
 
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -81,10 +81,20 @@ def test_limits_are_per_host(documents):
     assert all(common[i] == 3 for i in range(10)) and common[10] == common[11] == 0
 
 
+def test_clean_documents_lose_the_common_lines(documents):
+    rows = [(i, f"Same  LINE here\n\nown words number {i}\nsame line here", "en", "a") for i in range(10)]
+    rows += [(20, "same line here\nx", "en", "a"), (21, None, "en", "a")]
+    docs = documents(rows)
+    found = clean_documents(docs, max_docs=3, min_words=2, min_left=0.4)
+    assert found.columns == docs.columns
+    assert {r.doc_id: r.text for r in found.collect()} == {i: f"\nown words number {i}" for i in range(10)}
+
+
 def test_awkward_rows(awkward, no_documents):
     found = line_rules(awkward, max_docs=0, max_share=0.0, min_words=1)
     assert results(found) == plain_rules([(r.doc_id, r.text, r.source) for r in awkward.collect()], 0, 0.0, 0.5, 1)
-    assert line_rules(no_documents).count() == 0
+    assert line_rules(no_documents).count() == clean_documents(no_documents).count() == 0
+    assert clean_documents(awkward, min_words=1).columns == awkward.columns
 
 
 def test_repeated_words_count_the_first():

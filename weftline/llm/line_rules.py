@@ -40,6 +40,11 @@ def repeated_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
+def line_hash(line: bytes) -> int:
+    """Hash of a line's words, letters A-Z in lower case."""
+    return xxhash.xxh64_intdigest(b" ".join(line.lower().split())) - (1 << 63)
+
+
 def measures(text: bytes | None) -> tuple[list[int], dict[int, int]]:
     """The base counts of a text, and the words of each of its lines by the line's hash."""
     if not text:
@@ -48,9 +53,8 @@ def measures(text: bytes | None) -> tuple[list[int], dict[int, int]]:
     lines = [line for line in text.split(b"\n") if line.strip()]
     by_line: dict[int, int] = {}
     for line, n in Counter(lines).items():
-        own = line.lower().split()
-        key = xxhash.xxh64_intdigest(b" ".join(own)) - (1 << 63)
-        by_line[key] = by_line.get(key, 0) + n * len(own)
+        key = line_hash(line)
+        by_line[key] = by_line.get(key, 0) + n * len(line.split())
     chars = len(text.translate(None, SPACES).decode("utf-8", "replace"))
     symbols = len(text) - len(text.translate(None, SYMBOLS))
     return [len(words), chars, symbols, len(lines) - len(set(lines)), repeated_words(words)], by_line
@@ -84,7 +88,8 @@ def line_rules(
     host: str = "source",
 ) -> DataFrame:
     """The ``carry`` columns of every row of ``docs(doc_id, text, host)`` as the struct ``row``, with the counts,
-    ``n_common_words`` (words in lines that are removed), ``base_failed`` and ``kept``.
+    ``common_lines`` (hashes of the lines that are removed), ``n_common_words`` (words in them), ``base_failed``
+    and ``kept``.
 
     Null and empty texts have no words and fail the base rules.  Rows with an equal id count as one document of
     their host, null ids as one as well; a null host is a host of its own.
@@ -108,11 +113,33 @@ def line_rules(
     common = common.withColumnRenamed("host", "h").join(n_docs, F.col("h").eqNullSafe(n_docs.host))
     common = common.filter(F.col("n") > F.col("host_docs") * max_share).select("h", F.col("line").alias("hash"))
     met = lines.join(common, lines.host.eqNullSafe(common.h) & (lines.line == common.hash))
-    removed = met.groupBy("number").agg(F.sum("line_words").alias("n_common_words"))
+    removed = met.groupBy("number").agg(
+        F.sum("line_words").alias("n_common_words"), F.collect_set("line").alias("common_lines")
+    )
     base_failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") > F.col("n_words") * max_repeat_share)
     left = F.col("n_words") - F.col("n_common_words")
     judged = seen.drop("line", "line_words").join(removed, "number", "left")
     judged = judged.withColumn("n_common_words", F.coalesce("n_common_words", F.lit(0)))
     judged = judged.withColumn("base_failed", base_failed)
     judged = judged.withColumn("kept", ~F.col("base_failed") & (left >= F.col("n_words") * min_left))
-    return judged.select("row", *COUNTS, "n_common_words", "base_failed", "kept")
+    return judged.select("row", *COUNTS, "common_lines", "n_common_words", "base_failed", "kept")
+
+
+def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = []
+        for text, lines in zip(binary_texts(batch.column("text")), batch.column("common_lines").to_pylist(), strict=True):
+            gone = set(lines or ())
+            if text and gone:
+                text = b"\n".join(line for line in text.split(b"\n") if not line.strip() or line_hash(line) not in gone)
+            texts.append(None if text is None else text.decode("utf-8", "replace"))
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
+
+
+def clean_documents(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns, their texts without the removed lines."""
+    judged = line_rules(docs, carry=docs.columns, **settings).filter("kept")
+    rows = judged.select("row", F.col("row.text").alias("text"), "common_lines")
+    schema = T.StructType([rows.schema["row"], T.StructField("text", T.StringType())])
+    cut = map_in_arrow(rows, _without_lines, schema)
+    return cut.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
