@@ -13,7 +13,6 @@ document shows no change of language otherwise.
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -29,7 +28,8 @@ from weftline.llm.common import binary_texts, grouped, map_in_arrow, whole_row
 BUCKETS = 1 << 16
 STEP = 256  # words that are computed one after the other; longer texts are cut and joined exactly
 BATCH_BYTES = 2_500_000
-MEMO_WORDS = 500_000
+MEMO_WORDS = 1_000_000
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 UNKNOWN = "und"
 
 
@@ -46,13 +46,35 @@ def core(word: str) -> str:
     return word[start:end]
 
 
-def features(word: str, lexicon: dict[str, int]) -> list[int]:
-    """Feature numbers of a core: its lexicon entry, affixes of up to four letters, 2- and 3-grams."""
-    found = [lexicon[word]] if word in lexicon else []
-    names = {f"<{word[:n]}" for n in range(1, 5)} | {f"{word[-n:]}>" for n in range(1, 5)}
-    names.update(word[i : i + 2] for i in range(min(len(word) - 1, 40)))
-    names.update(word[i : i + 3] for i in range(min(len(word) - 2, 40)))
-    return found + [len(lexicon) + zlib.crc32(name.encode("utf-8", "replace")) % BUCKETS for name in names]
+def features(cores: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(feature numbers, word each belongs to) for words that are not empty: lexicon entry, affixes of up to four
+    letters, and 2- and 3-grams, hashed into ``BUCKETS``."""
+    letters = np.frombuffer("".join(cores).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    lengths = np.fromiter(map(len, cores), np.int64, len(cores))
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+    word = np.repeat(np.arange(len(cores)), lengths)
+    left = ends[word] - np.arange(len(letters))  # letters from here to the end of the word
+    numbers, owners = [], []
+
+    def add(kind: int, first: np.ndarray, n: int) -> None:
+        value = np.full(len(first), kind + 1, np.uint64)
+        for k in range(n):
+            value = value * MULTIPLIER + letters[first + k]
+        value = (value ^ (value >> np.uint64(31))) * MULTIPLIER
+        numbers.append((value >> np.uint64(40)).astype(np.int64) % BUCKETS + len(lexicon))
+        owners.append(word[first])
+
+    for n in (2, 3):
+        add(0, np.flatnonzero(left >= n), n)
+    for n in (1, 2, 3, 4):
+        long = lengths >= n
+        add(1, starts[long], n)
+        add(2, ends[long] - n, n)
+    known = np.fromiter((lexicon.get(c, -1) for c in cores), np.int64, len(cores))
+    numbers.append(known[known >= 0])
+    owners.append(np.flatnonzero(known >= 0))
+    return np.concatenate(numbers), np.concatenate(owners)
 
 
 def step_messages(potential, starts, counts, transition, entry):
@@ -131,13 +153,12 @@ class Model:
 
     def scores(self, cores: list[str]) -> np.ndarray:
         """Emission scores of words, the log of their potentials; words without letters say nothing."""
-        numbers = [features(word, self.lexicon) if word else [] for word in cores]
-        sizes = np.array([len(n) for n in numbers], np.int64)
         out = np.zeros((len(cores), len(self.languages)))
-        if sizes.sum():
-            flat = np.fromiter((i for n in numbers for i in n), np.int64, int(sizes.sum()))
-            cuts = (np.cumsum(sizes) - sizes)[sizes > 0]
-            out[sizes > 0] = np.add.reduceat(self.weights[flat], cuts, axis=0)
+        real = np.flatnonzero([bool(c) for c in cores])
+        if len(real):
+            numbers, owners = features([cores[i] for i in real], self.lexicon)
+            for k in range(len(self.languages)):
+                out[real, k] = np.bincount(owners, self.weights[numbers, k], len(real))
         return out
 
 
@@ -196,7 +217,7 @@ def _label(memo: _Memo, texts: list[bytes], spans: bool) -> list[tuple]:
 
 
 def training_sample(
-    docs: DataFrame, per_language: int = 300, max_chars: int = 50_000, seed: int = 42
+    docs: DataFrame, per_language: int = 200, max_chars: int = 50_000, seed: int = 42
 ) -> dict[str, list[str]]:
     """Texts by language: the documents with the smallest hashes of id and length, in the order of the hash.
 
@@ -251,7 +272,7 @@ def _sequences(sample: dict[str, list[str]], rng: np.random.Generator, length: i
 def fit(
     sample: dict[str, list[str]],
     lexicon_size: int = 20_000,
-    rounds: int = 30,
+    rounds: int = 25,
     rate: float = 0.5,
     decay: float = 1e-6,
     seed: int = 42,
@@ -271,10 +292,7 @@ def fit(
     place = {word: i for i, word in enumerate(distinct)}
     rows = np.fromiter((place.get(w, -1) for w in words), np.int64, len(words))
     real = rows >= 0
-    numbers = [features(word, lexicon) for word in distinct]
-    sizes = np.array([len(n) for n in numbers])
-    flat = np.fromiter((i for n in numbers for i in n), np.int64, int(sizes.sum()))
-    cuts, owner = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(distinct)), sizes)
+    flat, owner = features(distinct, lexicon)
     lengths = np.full(len(words) // length, length)
     log_transition = np.zeros((n_labels, n_labels))
     steps = np.full(model.weights.shape, 1e-3), np.full(log_transition.shape, 1e-3)
@@ -284,7 +302,9 @@ def fit(
     seen_pairs = np.zeros((n_labels, n_labels))
     np.add.at(seen_pairs, (labels[np.flatnonzero(inner) - 1], labels[inner]), 1)
     for _ in range(rounds):
-        per_word = np.add.reduceat(model.weights[flat], cuts, axis=0)
+        per_word = np.stack(
+            [np.bincount(owner, model.weights[flat, k], len(distinct)) for k in range(n_labels)], axis=1
+        )
         score = np.where(real[:, None], per_word[rows], 0.0)
         potential = np.exp(score - score.max(axis=1, keepdims=True)) + 1e-12
         transition = np.exp(log_transition - log_transition.max())
@@ -336,7 +356,7 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit_documents(docs: DataFrame, per_language: int = 300, **settings) -> Model:
+def fit_documents(docs: DataFrame, per_language: int = 200, **settings) -> Model:
     """The model of the labelled documents that are not held out; ``docs(doc_id, text, lang)``."""
     return fit(training_sample(docs.filter(~held_out("doc_id")), per_language), **settings)
 
