@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -93,3 +94,14 @@ def test_splits(spark):
     assert 300 < test.count() < 500
     a, b = sampling.random_split(docs, 42)
     assert a.count() + b.count() == 2000 and 300 < b.count() < 500
+
+
+def test_only_the_lists_of_requested_users_are_shuffled(spark):
+    """Entries are cut to the touched lists by a broadcast before the first exchange."""
+    members = spark.createDataFrame([(i % 9, str(i % 9), str(i)) for i in range(90)], "list_id bigint, owner string, friend string")
+    users = spark.createDataFrame([("1",), ("2",)], "user string")
+    counts = social.mutual_friend_counts(members, users)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    below = re.split(r"Exchange hashpartitioning\(list_id#\w+, friend", plan)[1:]
+    assert below and all("LeftSemi" in part.split("Exchange")[0] for part in below)
+    assert {r.user for r in counts.collect()} == {"1", "2"}
