@@ -28,7 +28,7 @@ from weftline.llm.common import binary_texts, grouped, map_in_arrow, whole_row
 BUCKETS = 1 << 16
 STEP = 256  # words that are computed one after the other; longer texts are cut and joined exactly
 BATCH_BYTES = 2_500_000
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 250_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 UNKNOWN = "und"
 
@@ -217,11 +217,12 @@ def _label(memo: _Memo, texts: list[bytes], spans: bool) -> list[tuple]:
 
 
 def training_sample(
-    docs: DataFrame, per_language: int = 200, max_chars: int = 50_000, seed: int = 42
+    docs: DataFrame, per_language: int = 150, max_chars: int = 50_000, seed: int = 42
 ) -> dict[str, list[str]]:
     """Texts by language: the documents with the smallest hashes of id and length, in the order of the hash.
 
-    Only ids and lengths are ranked; the texts of the chosen ones, a bounded number, come to the driver.
+    Only ids and lengths are ranked.  The chosen ones, ``per_language`` of each language, are broadcast, so that no
+    text moves but theirs, which come to the driver.
     """
     length = F.length("text")
     keyed = docs.select(
@@ -229,7 +230,7 @@ def training_sample(
     ).filter(F.col("lang").isNotNull() & length.between(1, max_chars))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     ranked = keyed.select("lang", "draw").withColumn("rank", rank)
-    chosen = ranked.filter(F.col("rank") <= per_language).drop("rank").distinct()
+    chosen = F.broadcast(ranked.filter(F.col("rank") <= per_language).drop("rank").distinct())
     rows = keyed.join(chosen, ["lang", "draw"]).select("lang", "draw", "text").collect()
     out: dict[str, list[str]] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["draw"], r["text"])):
@@ -356,7 +357,7 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit_documents(docs: DataFrame, per_language: int = 200, **settings) -> Model:
+def fit_documents(docs: DataFrame, per_language: int = 150, **settings) -> Model:
     """The model of the labelled documents that are not held out; ``docs(doc_id, text, lang)``."""
     return fit(training_sample(docs.filter(~held_out("doc_id")), per_language), **settings)
 

@@ -28,7 +28,7 @@ from weftline.llm.pretokens import encode_keys, keys_of, special_strings
 
 SEGMENT_IDS = 1 << 18
 RANK_BLOCK = 512
-MEMO_KEYS = 1_000_000
+MEMO_KEYS = 250_000
 GROUP_BYTES = 4_000_000
 LEVELS = "array<struct<chunks:binary,more:binary,ranks:binary>>"
 SEGMENTS = f"part int, segment int, before bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, levels {LEVELS}"
@@ -84,23 +84,30 @@ def ids_at(levels: list[dict[str, bytes]], places: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of texts as little-endian 32-bit bytes; pre-tokens seen before are looked up."""
+    """Ids of texts as little-endian 32-bit bytes; pre-tokens seen before are looked up.
+
+    There are two generations of at most ``MEMO_KEYS`` pre-tokens.  When the young one is full it becomes the old
+    one; what is used again moves back, so frequent pre-tokens stay.
+    """
 
     def __init__(self, tokenizer_file: str):
         self.file, self.special = tokenizer_file, special_strings(tokenizer_file)
-        self.known: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         split = [keys_of(text.decode("utf-8", "replace"), self.special) for text in texts]
-        found = [list(map(self.known.get, keys)) for keys in split]
+        found = [list(map(self.young.get, keys)) for keys in split]
         pairs = (pair for keys, ids in zip(split, found, strict=True) for pair in zip(keys, ids, strict=True))
-        new = list({key for key, own in pairs if own is None})
-        if len(self.known) + len(new) > MEMO_KEYS:
-            self.known.clear()
-        self.known.update(zip(new, (array("I", ids).tobytes() for ids in encode_keys(self.file, new)), strict=True))
-        known = self.known
+        missed = {key for key, own in pairs if own is None}
+        added = {key: self.old[key] for key in missed if key in self.old}
+        new = [key for key in missed if key not in added]
+        added.update(zip(new, (array("I", ids).tobytes() for ids in encode_keys(self.file, new)), strict=True))
+        if len(self.young) + len(added) > MEMO_KEYS:
+            self.young, self.old = {}, self.young
+        self.young.update(added)
         return [
-            b"".join([known[key] if own is None else own for key, own in zip(keys, ids, strict=True)])
+            b"".join([added[key] if own is None else own for key, own in zip(keys, ids, strict=True)])
             for keys, ids in zip(split, found, strict=True)
         ]
 
