@@ -95,18 +95,18 @@ def encode_keys(path: str, keys: list[str]) -> list[list[int]]:
     rest = []
     model = own.model if is_byte_level(path) else None
     signs = {s: [token.id for token in model.tokenize(s.translate(_LETTERS))] for s in ("\n", ".", ",")} if model else {}
-    signs[""] = []
+    signs[""] = signs["\x00"] = []
+    space = _LETTERS[32]
     for i, key in enumerate(keys):
         plain = _PLAIN.fullmatch(key) if model else None
         if plain is None:
             rest.append(i)
             continue
         before, word, after = plain.groups()
-        word = word if before else " " + word
         if not word.isascii():
-            word = word.encode().decode("latin-1")
-        ids = [token.id for token in model.tokenize(word.translate(_LETTERS))]
-        out[i] = signs[before.strip("\x00")] + ids + signs[after] if before or after else ids
+            word = word.encode().decode("latin-1").translate(_LETTERS)
+        ids = [token.id for token in model.tokenize(word if before else space + word)]
+        out[i] = signs[before] + ids + signs[after] if before or after else ids
     if rest:
         texts = [written(keys[i]) for i in rest]
         for i, found in zip(rest, own.encode_batch_fast(texts, add_special_tokens=False), strict=True):

@@ -98,8 +98,9 @@ class Encoder:
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         split = [keys_of(text.decode("utf-8", "replace"), self.special) for text in texts]
         found = [list(map(self.young.get, keys)) for keys in split]
-        pairs = (pair for keys, ids in zip(split, found, strict=True) for pair in zip(keys, ids, strict=True))
-        missed = {key for key, own in pairs if own is None}
+        missed: set[str] = set()
+        for keys, ids in zip(split, found, strict=True):
+            missed.update([key for key, own in zip(keys, ids) if own is None])  # noqa: B905  equally long
         added = {key: self.old[key] for key in missed if key in self.old}
         new = [key for key in missed if key not in added]
         added.update(zip(new, (array("I", ids).tobytes() for ids in encode_keys(self.file, new)), strict=True))
@@ -107,7 +108,7 @@ class Encoder:
             self.young, self.old = {}, self.young
         self.young.update(added)
         return [
-            b"".join([added[key] if own is None else own for key, own in zip(keys, ids, strict=True)])
+            b"".join([added[key] if own is None else own for key, own in zip(keys, ids)])  # noqa: B905
             for keys, ids in zip(split, found, strict=True)
         ]
 
