@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
-from collections.abc import Callable, Iterable, Iterator, Sequence
-from pathlib import Path
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.session import scratch_path
+from weftline.session import ship_package
 
 #: A word of the contracts: no space and no code point from tab to carriage return.  ``bytes.split()``
 #: splits at exactly these bytes.
@@ -21,27 +18,9 @@ ASCII_PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 SPACES_FOR_PUNCTUATION = bytes.maketrans(ASCII_PUNCTUATION, b" " * len(ASCII_PUNCTUATION))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
-
-    It cuts the lineage like a checkpoint, but takes less disk: columns are compressed.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-_SHIPPED: set[str] = set()
-
-
 def map_in_arrow(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
-    """``df.mapInArrow`` with this package on the Python path of the workers, sent once per application."""
-    sc = df.sparkSession.sparkContext
-    if sc.applicationId not in _SHIPPED:
-        root = Path(__file__).parents[1]
-        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{root.name}", "zip", root.parent, root.name)
-        sc.addPyFile(archive)
-        _SHIPPED.add(sc.applicationId)
+    """``df.mapInArrow`` with this package on the Python path of the workers."""
+    ship_package(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 
@@ -89,17 +68,3 @@ def per_batch(function: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable:
                 yield function(batch)
 
     return apply
-
-
-def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    """Add ``name``: the place of each row in the whole order, from 1.
-
-    The rows are dealt by range and numbered within each part; only one row per part, its size, meets in
-    one task.  The dealt rows are stored so that parts keep their numbers.
-    """
-    parts = stored(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "numbered")
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = parts.groupBy("__part").agg(F.count("*").alias("__n"))
-    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    place = F.row_number().over(Window.partitionBy("__part").orderBy(*order)).cast("bigint") + F.col("__before")
-    return parts.join(offsets, "__part").withColumn(name, place).drop("__part", "__before")

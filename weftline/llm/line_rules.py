@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import binary_texts, map_in_arrow, stored, whole_row
+from weftline.llm.common import binary_texts, map_in_arrow, whole_row
+from weftline.session import stored
 
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"

@@ -18,7 +18,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.llm.common import WORD, numbered, stored, whole_row, word_count
+from weftline.llm.common import WORD, whole_row, word_count
+from weftline.operators.ranking import numbered
+from weftline.session import stored
 
 
 def source_targets(

@@ -21,8 +21,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import binary_texts, map_in_arrow, per_batch, stored
+from weftline.llm.common import binary_texts, map_in_arrow, per_batch
 from weftline.operators.graph import connected_components
+from weftline.session import stored
 
 SEED = 42
 SHINGLE = 3

@@ -21,8 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import ASCII_PUNCTUATION, binary_texts, map_in_arrow, stored, whole_row
+from weftline.llm.common import ASCII_PUNCTUATION, binary_texts, map_in_arrow, whole_row
 from weftline.llm.logistic import Sparse, fit_logistic
+from weftline.session import stored
 
 SHAPES = (
     "log_words", "mean_length", "symbols", "punctuation", "digits", "capitals", "distinct", "top_word",

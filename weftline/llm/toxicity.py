@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import binary_texts, map_in_arrow, plain_words, stored, whole_row
+from weftline.llm.common import binary_texts, map_in_arrow, plain_words, whole_row
 from weftline.llm.logistic import Sparse, fit_logistic, sigmoid
+from weftline.session import stored
 
 FOLDS = 5
 STEM = 4
