@@ -15,6 +15,7 @@ from weftline.functions.scalars import id_order
 from weftline.functions.text import search_tokens
 from weftline.functions.wordlists import BATCH_ENTITY_LABELS
 from weftline.operators import classify, entities, graph, sampling, search, social
+from weftline.operators.ranking import numbered
 from weftline.plans import tables
 from weftline.session import materialise, scratch_path
 from weftline.sources import directories, lines, sinks
@@ -168,6 +169,13 @@ def first_users(spark, sf_dir):
     return sampling.first_rows(users, 1000, id_order("user"))
 
 
+@query
+def user_positions(spark, sf_dir):
+    """The place of every user in id order, numbered by range and not in one group."""
+    users = friend_lists(spark, sf_dir).select(F.col("owner").alias("user")).distinct()
+    return numbered(users, id_order("user"), "position")
+
+
 @query
 def sampled_users(spark, sf_dir):
     return requested_users(spark, sf_dir)

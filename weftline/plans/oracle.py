@@ -140,6 +140,9 @@ IS_TEST = "substring(md5('42|' || doc_id), 1, 8) < '33333333'"
 ORACLE["first_users"] = f"""
 WITH {MEMBERS}, firsts AS (SELECT DISTINCT owner AS "user" FROM members ORDER BY owner::BIGINT LIMIT 1000)
 SELECT "user", (row_number() OVER (ORDER BY "user"::BIGINT) - 1)::INTEGER AS position FROM firsts"""
+ORACLE["user_positions"] = f"""
+WITH {MEMBERS}
+SELECT "user", row_number() OVER (ORDER BY "user"::BIGINT) AS position FROM (SELECT DISTINCT owner AS "user" FROM members)"""
 ORACLE["sampled_users"] = f"WITH {USERS} SELECT * FROM users"
 ORACLE["train_test_split"] = f"SELECT doc_id, {IS_TEST} AS is_test FROM documents"
 
