@@ -35,7 +35,7 @@ class Sparse:
         return np.concatenate([sparse, values @ self.dense])
 
 
-def fit_logistic(x: Sparse, y: np.ndarray, decay: float = 1e-6, rounds: int = 200, rate: float = 1.0) -> np.ndarray:
+def fit_logistic(x: Sparse, y: np.ndarray, decay: float = 1e-6, rounds: int = 120, rate: float = 1.0) -> np.ndarray:
     """Weights and, last, the bias, by AdaGrad on all rows with a little weight decay."""
     weights = np.zeros(x.n_features + x.dense.shape[1] + 1)
     steps = np.full(len(weights), 1e-6)

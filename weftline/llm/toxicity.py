@@ -64,12 +64,13 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_chain(
-    docs: DataFrame, labels: DataFrame, categories: Sequence[str], sample: int = 20_000, vocabulary: int = 2_000,
-    min_docs: int = 5, seed: int = 42,
+    docs: DataFrame, labels: DataFrame, categories: Sequence[str], sample: int = 20_000, vocabulary: int = 120,
+    min_docs: int = 5, min_gain: float = 25.0, seed: int = 42,
 ) -> Chain:
     """A chain for the 0/1 columns ``categories`` of ``labels(doc_id, ...)``, which is fitted in that order.
 
-    Labels that are null in a category are not used; a document that is labelled twice counts twice.
+    A term joins the vocabulary of a category when at least ``min_docs`` documents have it and its chi-square is
+    above ``min_gain``, so that rare terms do not enter by chance.  Labels that are null in a category are not used; a document that is labelled twice counts twice.
     """
     marks = F.array(*[F.col(c).cast("int") for c in categories])
     drawn = labels.select("doc_id", marks.alias("marks"), F.xxhash64(F.lit(seed), "doc_id", marks).alias("draw"))
@@ -89,8 +90,8 @@ def fit_chain(
     chosen: set[str] = set()
     for i in range(len(categories)):
         base = (totals[i] or 0) / n
-        gain = (F.col(f"n{i}") - F.col("n") * base) ** 2 / F.col("n")
-        best = counts.orderBy(F.desc(gain), "word").limit(vocabulary)
+        gain = (F.col(f"n{i}") - F.col("n") * base) ** 2 / (F.col("n") * max(base * (1 - base), 1e-9))
+        best = counts.filter(gain > min_gain).orderBy(F.desc(gain), "word").limit(vocabulary)
         chosen.update(row["word"] for row in best.select("word").collect())
     number = {word: i for i, word in enumerate(sorted(chosen))}
     shared = docs.sparkSession.sparkContext.broadcast(number)
