@@ -5,9 +5,9 @@ matrix over the block's own list of pre-tokens.  These lists, with every pre-tok
 the pre-token; there equal ones lie together, are given to the tokenizer once and the number of their pieces
 goes back to the blocks, where matrix times numbers gives the counts.
 
-The most frequent pre-tokens of the corpus, ``frequent`` of them, are counted beforehand and broadcast: a table
-bounded by that parameter.  A block sums them on the spot, so its matrix holds the rare ones only.  Which
-pre-tokens these are decides how much travels and never what comes out.
+Pre-tokens that make up one in ``one_in`` of the corpus or more are counted beforehand and broadcast: by
+arithmetic there are at most ``one_in`` of them.  A block sums them on the spot, so its matrix holds the rare ones
+only.  Which pre-tokens these are decides how much travels and never what comes out.
 
 A pre-token has one row per block, however many documents have it, so no key is hot.
 """
@@ -29,7 +29,8 @@ from weftline.session import stored
 
 BLOCK_BYTES = 32_000_000
 GROUP_BYTES = 1_000_000
-FREQUENT = 100_000
+ONE_IN = 1_000_000
+PLACE_BITS, BLOCK_BITS = 27, 15
 BLOCKS = (
     "block bigint, keys array<string>, doc_ids array<bigint>, n_bytes array<bigint>, "
     "known array<bigint>, ends array<bigint>, places binary, times binary"
@@ -37,14 +38,15 @@ BLOCKS = (
 COUNTS = "doc_id bigint, n_bytes bigint, n_tokens bigint"
 
 
-def _frequent_in_blocks(tokenizer_file: str, block_bytes: int, frequent: int):
-    """(key, n) of the most frequent pre-tokens of each block, ``frequent`` at most."""
+def _frequent_in_blocks(tokenizer_file: str, block_bytes: int, one_in: int):
+    """(key, n) of the pre-tokens that make up one in ``one_in`` of a block or more."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         special, counts, size = special_strings(tokenizer_file), Counter(), 0
 
         def most() -> pa.RecordBatch:
-            best = counts.most_common(frequent)
+            least = counts.total() / one_in
+            best = [(key, n) for key, n in counts.items() if n >= least]
             keys, times = [key for key, _ in best], [n for _, n in best]
             return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(times, pa.int64())], ["key", "n"])
 
@@ -61,13 +63,13 @@ def _frequent_in_blocks(tokenizer_file: str, block_bytes: int, frequent: int):
     return read
 
 
-def frequent_pieces(docs: DataFrame, tokenizer_file: str, block_bytes: int, frequent: int) -> dict[str, int]:
-    """Number of pieces of the ``frequent`` pre-tokens that the blocks have most often."""
-    found = map_in_arrow(
-        docs.select("text"), _frequent_in_blocks(tokenizer_file, block_bytes, frequent), "key string, n bigint"
-    )
-    found = found.groupBy("key").agg(F.sum("n").alias("n"))
-    keys = [row["key"] for row in found.orderBy(F.desc("n"), "key").limit(frequent).select("key").collect()]
+def frequent_pieces(docs: DataFrame, tokenizer_file: str, block_bytes: int, one_in: int) -> dict[str, int]:
+    """Number of pieces of the pre-tokens that make up one in ``one_in`` of what the blocks report or more."""
+    reader = _frequent_in_blocks(tokenizer_file, block_bytes, one_in)
+    found = map_in_arrow(docs.select("text"), reader, "key string, n bigint")
+    found = stored(found.groupBy("key").agg(F.sum("n").alias("n")), "frequent-pre-tokens")
+    total = found.agg(F.sum("n")).first()[0] or 0
+    keys = [row["key"] for row in found.filter(F.col("n") * one_in >= total).select("key").collect()]
     return dict(zip(keys, map(len, encode_keys(tokenizer_file, keys)), strict=True))
 
 
@@ -95,6 +97,8 @@ class _Block:
         self.size += len(text)
 
     def row(self) -> pa.RecordBatch:
+        if len(self.places) >> PLACE_BITS:
+            raise ValueError("too many different pre-tokens in a block")
         longs, at, times = pa.list_(pa.int64()), np.concatenate(self.at), np.concatenate(self.times)
         values = [
             ("block", [self.number], pa.int64()), ("keys", [list(self.places)], pa.list_(pa.string())),
@@ -107,7 +111,7 @@ class _Block:
 def _blocks(tokenizer_file: str, block_bytes: int, frequent: Broadcast):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, special = frequent.value, special_strings(tokenizer_file)
-        block = _Block(TaskContext.get().partitionId() << 32)
+        block = _Block(TaskContext.get().partitionId() << BLOCK_BITS)
         for batch in batches:
             doc_ids = iter(batch.column("doc_id").to_pylist())
             for group in grouped(binary_texts(batch.column("text")), GROUP_BYTES):
@@ -137,10 +141,7 @@ def _pieces(tokenizer_file: str):
             if len(at):
                 last = keys[at[-1]]
                 pieces = numbers[last]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("place"), pa.array(per_key[at], pa.int32())],
-                ["block", "place", "pieces"],
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("slot"), pa.array(per_key[at], pa.int32())], ["slot", "pieces"])
 
     return count
 
@@ -149,11 +150,10 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             row = {name: batch.column(name)[i] for name in batch.schema.names}
-            counted = row["counted"].values
+            counted = row["counted"].values.to_numpy(zero_copy_only=False)
             longs = {n: row[n].values.to_numpy(zero_copy_only=False) for n in ("n_bytes", "known", "ends")}
-            pieces = np.zeros(len(counted) if counted is not None else 0, np.int64)
-            if len(pieces):
-                pieces[counted.field("place").to_numpy()] = counted.field("pieces").to_numpy()
+            pieces = np.zeros(len(counted), np.int64)
+            pieces[counted >> 32] = counted & 0xFFFFFFFF
             at, times = (np.frombuffer(row[n].as_py(), "<u4") for n in ("places", "times"))
             total = np.concatenate([[0], np.cumsum(pieces[at] * times)])
             ends = np.concatenate([[0], longs["ends"]])
@@ -165,20 +165,23 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def count_tokens(
-    docs: DataFrame, tokenizer_file: str, block_bytes: int = BLOCK_BYTES, frequent: int = FREQUENT
+    docs: DataFrame, tokenizer_file: str, block_bytes: int = BLOCK_BYTES, one_in: int = ONE_IN
 ) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) for each row of ``docs(doc_id, text)``.
 
     Null texts are empty and have no tokens; rows with an equal id are counted one by one.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    pieces = frequent_pieces(texts, tokenizer_file, block_bytes, frequent)
+    pieces = frequent_pieces(texts, tokenizer_file, block_bytes, one_in)
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
     blocks = stored(map_in_arrow(texts, _blocks(tokenizer_file, block_bytes, shared), BLOCKS), "token-blocks")
     keys = blocks.select("block", F.posexplode("keys").alias("place", "key"))
-    dealt = keys.repartition("key").sortWithinPartitions("key")
-    counted = map_in_arrow(dealt, _pieces(tokenizer_file), "block bigint, place int, pieces int")
-    back = counted.groupBy("block").agg(F.collect_list(F.struct("place", "pieces")).alias("counted"))
+    slot = F.shiftleft("block", PLACE_BITS) + F.col("place")  # block and place in one number
+    dealt = keys.select(slot.alias("slot"), "key").repartition("key").sortWithinPartitions("key")
+    counted = map_in_arrow(dealt, _pieces(tokenizer_file), "slot bigint, pieces int")
+    place = F.col("slot").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    answer = (F.shiftleft(place, 32) + F.col("pieces")).alias("counted")
+    back = counted.groupBy(F.shiftright("slot", PLACE_BITS).alias("block")).agg(F.collect_list(answer).alias("counted"))
     whole = blocks.drop("keys").join(back, "block", "left")
-    whole = whole.withColumn("counted", F.coalesce("counted", F.array().cast("array<struct<place:int,pieces:int>>")))
+    whole = whole.withColumn("counted", F.coalesce("counted", F.array().cast("array<bigint>")))
     return map_in_arrow(whole, _sums, COUNTS)
