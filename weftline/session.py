@@ -64,7 +64,7 @@ def materialise(df: DataFrame) -> DataFrame:
 def write_stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet below the checkpoint folder; the table read back, and its path for ``drop_stored``."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
