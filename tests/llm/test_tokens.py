@@ -10,9 +10,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from weftline.llm import token_files
 from weftline.llm.pretokens import encode_keys, keys_of, special_strings
 from weftline.llm.token_counts import count_tokens
-from weftline.llm.token_files import decode_levels, encode_levels, ids_at, read_digests, read_tokens, write_token_files
+from weftline.llm.token_files import Encoder, decode_levels, encode_levels, ids_at, read_digests, read_tokens, write_token_files
 from weftline.session import scratch_path
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -40,6 +41,26 @@ def test_pre_tokens_of_any_text_add_up(text):
     assert sum(encode_keys(FILE, keys_of(text, SPECIAL)), []) == ids_of(text)
 
 
+ENCODER = Encoder(FILE)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.lists(st.sampled_from(PIECES), max_size=12).map("".join), st.text(max_size=20)), max_size=5))
+def test_encoder_equals_the_library(texts):
+    found = ENCODER([text.encode() for text in texts])
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [ids_of(text) for text in texts]
+
+
+def test_encoder_forgets_and_stands_broken_bytes(monkeypatch):
+    monkeypatch.setattr(token_files, "MEMO_KEYS", 3)
+    encoder = Encoder(FILE)
+    texts = ["one two three", "two four", "one two", "five  six", "", "one"] * 3
+    for group in (texts[:2], texts[2:5], texts, texts):
+        found = encoder([text.encode() for text in group])
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [ids_of(text) for text in group]
+    assert encoder([b"a \xff b"]) == [np.array(ids_of("a \ufffd b"), "<u4").tobytes()]
+
+
 def random_rows(n):
     rng = random.Random(3)
     return [(i * 7 % n, "".join(rng.choices(PIECES, k=rng.randint(0, 60)))) for i in range(n)]

@@ -13,12 +13,15 @@ rerun of a lost task safe.  A second table has the number of ids before each par
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,7 +32,12 @@ from weftline.llm.pretokens import encode_keys, keys_of, special_strings
 SEGMENT_IDS = 1 << 18
 RANK_BLOCK = 512
 MEMO_KEYS = 250_000
-GROUP_BYTES = 4_000_000
+GROUP_BYTES = 6_000_000
+#: What makes a text odd: empty, spaces at an end or side by side, spaces that are no space or line feed, NUL.
+ODD_SPACES = (
+    r"\A\z|\A[ \n]|[ \n]\z|[ \n][ \n]|[\x00\t\x0b\x0c\r\x1c-\x1f]|"
+    r"[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 LEVELS = "array<struct<chunks:binary,more:binary,ranks:binary>>"
 SEGMENTS = f"part int, segment int, before bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, levels {LEVELS}"
 _LEVELS = pa.list_(pa.struct([("chunks", pa.binary()), ("more", pa.binary()), ("ranks", pa.binary())]))
@@ -86,31 +94,64 @@ def ids_at(levels: list[dict[str, bytes]], places: np.ndarray) -> np.ndarray:
 class Encoder:
     """Ids of texts as little-endian 32-bit bytes; pre-tokens seen before are looked up.
 
+    Texts whose words stand between single spaces and line feeds are cut by Arrow, and only the different
+    pre-tokens of a group of texts are looked at one by one; other texts are cut by ``keys_of``.
+
     There are two generations of at most ``MEMO_KEYS`` pre-tokens.  When the young one is full it becomes the old
     one; what is used again moves back, so frequent pre-tokens stay.
     """
 
     def __init__(self, tokenizer_file: str):
         self.file, self.special = tokenizer_file, special_strings(tokenizer_file)
+        self.odd = "|".join([ODD_SPACES, *map(re.escape, self.special)])
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [keys_of(text.decode("utf-8", "replace"), self.special) for text in texts]
-        found = [list(map(self.young.get, keys)) for keys in split]
-        missed: set[str] = set()
-        for keys, ids in zip(split, found, strict=True):
-            missed.update([key for key, own in zip(keys, ids) if own is None])  # noqa: B905  equally long
+        try:
+            column = pa.array(texts, pa.binary()).cast(pa.string())
+            odd = pc.match_substring_regex(column, self.odd).to_numpy(zero_copy_only=False)
+            plain = iter(self.encode_plain(column.filter(pa.array(~odd))))
+        except pa.ArrowInvalid:  # not UTF-8
+            odd, plain = np.ones(len(texts), bool), iter(())
+        split = [keys_of(t.decode("utf-8", "replace"), self.special) for t, o in zip(texts, odd, strict=True) if o]
+        found = iter(self.lookup([key for keys in split for key in keys]))
+        rest = iter([b"".join([next(found) for _ in keys]) for keys in split])
+        return [next(rest) if o else next(plain) for o in odd]
+
+    def encode_plain(self, column: pa.Array) -> list[bytes]:
+        """Ids of texts without odd spaces, which are not empty."""
+        if not len(column):
+            return []
+        pieces = pc.split_pattern(pc.replace_substring(column, "\n", " \n"), " ")
+        ends = np.cumsum(pc.list_value_length(pieces).to_numpy())
+        first = np.concatenate([[0], ends[:-1]])
+        flat = pieces.flatten()
+        coded = flat.dictionary_encode()
+        keys = coded.dictionary.to_pylist()
+        index = coded.indices.to_numpy().astype(np.int64)
+        index[first] = len(keys) + np.arange(len(first))  # the first piece of a text has no space before it
+        keys += ["\x00" + key for key in flat.take(pa.array(first)).to_pylist()]
+        parts = self.lookup(keys)
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        pool = np.frombuffer(b"".join(parts), "<u4")
+        n = sizes[index]
+        stops = np.cumsum(n)
+        ids = pool[np.arange(stops[-1]) + np.repeat((np.cumsum(sizes) - sizes)[index] - (stops - n), n)].tobytes()
+        cuts = [0, *(4 * stops[ends - 1]).tolist()]
+        return [ids[i:j] for i, j in pairwise(cuts)]
+
+    def lookup(self, keys: list[str]) -> list[bytes]:
+        """The ids of each key."""
+        found = list(map(self.young.get, keys))
+        missed = {key for key, own in zip(keys, found) if own is None}  # noqa: B905  equally long
         added = {key: self.old[key] for key in missed if key in self.old}
         new = [key for key in missed if key not in added]
         added.update(zip(new, (array("I", ids).tobytes() for ids in encode_keys(self.file, new)), strict=True))
         if len(self.young) + len(added) > MEMO_KEYS:
             self.young, self.old = {}, self.young
         self.young.update(added)
-        return [
-            b"".join([added[key] if own is None else own for key, own in zip(keys, ids)])  # noqa: B905
-            for keys, ids in zip(split, found, strict=True)
-        ]
+        return [added[key] if own is None else own for key, own in zip(keys, found)]  # noqa: B905
 
 
 _ENCODERS: dict[str, Encoder] = {}
