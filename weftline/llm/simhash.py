@@ -163,7 +163,11 @@ def one_of_each_group(docs: DataFrame, shard_size: int = 512) -> DataFrame:
 
     Equal rows are one document.  All columns of ``docs`` are returned.
     """
-    marked = near_duplicates(docs, shard_size)
+    return first_of_each_group(docs, near_duplicates(docs, shard_size))
+
+
+def first_of_each_group(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are the first of their component in ``marked(doc_id, tie, component)``."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("tie"))
     first = marked.groupBy("component").agg(F.min(order).alias("first"))
     first = first.select(F.col("first.doc_id").alias("keep_id"), F.col("first.tie").alias("keep_tie"))
