@@ -66,6 +66,30 @@ def test_sources_come_near_their_targets(documents, settings):
     assert all(abs(taken[s] - target[s]) <= (min(blocks, settings.get("max_block", blocks)) + 1) * n_shards for s in target)
 
 
+def taken_by_source(rows, docs, **settings):
+    found = mix(docs, **settings).select("row.doc_id", "size", "target", "taken").collect()
+    source, taken, target = {r[0]: r[3] for r in rows}, {}, {}
+    for r in found:
+        assert 0 <= r.taken <= 2 * r["size"]
+        taken[source[r.doc_id]] = taken.get(source[r.doc_id], 0) + r.taken
+        target[source[r.doc_id]] = r.target
+    return taken, target
+
+
+def test_tiny_sources_beside_a_huge_one_meet_their_targets(documents):
+    rows = [(i, "w " * 20_000, "en", "a") for i in range(100)]
+    rows += [(1000 + i, "w " * (1 + i * 7), "en", f"tiny{i // 2:02}") for i in range(80)]
+    taken, target = taken_by_source(rows, documents(rows), seats=100)
+    assert all(abs(taken[s] - target[s]) <= max(1, target[s] / 64 + 1) for s in target if s != "a")
+    assert abs(taken["a"] - target["a"]) <= sum(target.values()) / 100
+
+
+def test_a_source_of_many_short_documents_meets_its_target(documents):
+    rows = [(i, "w " * 20_000, "en", "a") for i in range(100)] + [(1000 + i, "w", "en", "b") for i in range(400)]
+    taken, target = taken_by_source(rows, documents(rows), seats=10_000, shard_docs=4)
+    assert target["b"] == 800 and abs(taken["b"] - 800) <= 800 / 64
+
+
 def test_reruns_agree(documents):
     rows = corpus(4, 200, ["a", "b"])
     one = mix(documents(rows).repartition(7)).select("row.doc_id", "taken").collect()

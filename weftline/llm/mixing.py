@@ -7,7 +7,9 @@ dealt in blocks of equally many words: a shard with ``v`` words to give bids the
 blocks from a seeded place in its layout on, going round: whole rounds repeat every document, the rest is
 one run of blocks, so that at most two documents of a shard are cut.
 
-A block has ``1 / seats`` of the mix, ``max_block`` words at most.  No group has to fit into one task: shards
+A block has ``1 / seats`` of the mix, ``max_block`` words at most.  Where that is more than ``1 / least_blocks``
+of what a source has for each of its shards, the source leaves the common deal: its target is dealt among its own
+shards, in blocks of that size, so that it is met to ``1 / (2 * least_blocks)`` or half a word.  No group has to fit into one task: shards
 are bounded by ``shard_docs``, quotients are ranked by range.
 """
 
@@ -60,6 +62,7 @@ def mix(
     seats: int = 100_000,
     max_block: int = 65_536,
     shard_docs: int = 8_000,
+    least_blocks: int = 32,
     carry: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
     """The ``carry`` columns of every row of ``docs(doc_id, text, source)`` as the struct ``row``, with
@@ -89,18 +92,24 @@ def mix(
     block = int(min(max_block, max(1, -(-total // seats))))
 
     n_shards = F.ceil(F.col("n_docs") / F.lit(shard_docs))
+    own = F.greatest(F.lit(1), F.floor(F.col("target") / (n_shards * F.lit(least_blocks)))).cast("bigint")
+    sources = sources.withColumn("block", F.least(own, F.lit(block)))
+    shared = F.col("block") == F.lit(block)
+    n_own, shared_total = sources.agg(F.count_if(~shared), F.sum(F.when(shared, F.col("target")))).first()
+    seats_shared = int((shared_total or 0.0) / block + 0.5)
     number = F.conv(F.substring("key", 1, 8), 16, 10).cast("bigint")
     named = sources.withColumnRenamed("source", "name")
     dealt = sized.join(named, sized.source.eqNullSafe(named.name)).withColumn("shard", F.pmod(number, n_shards))
     shards = dealt.groupBy("source_no", "shard").agg(
-        F.sum("size").alias("shard_size"), F.first("source_size").alias("whole"), F.first("target").alias("goal")
-    )
-    quotas = _quotas(shards, total, block, max_repeats)
+        F.sum("size").alias("shard_size"), F.first("source_size").alias("whole"), F.first("target").alias("goal"),
+        F.first("block").alias("block"),
+    )
+    quotas = _quotas(shards, seats_shared, block, n_own > 0, max_repeats)
 
     ordered = Window.partitionBy("source_no", "shard").orderBy("key", "size", "tie")
     end = F.sum("size").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     laid = dealt.join(quotas, ["source_no", "shard"], "left").withColumn("end", end)
-    words = F.least(F.coalesce("quota", F.lit(0)) * F.lit(block), F.col("shard_size") * max_repeats)
+    words = F.least(F.coalesce("quota", F.lit(0)) * F.col("block"), F.col("shard_size") * max_repeats)
     place = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce("source", F.lit("null")), F.col("shard")))
     place = F.pmod(F.conv(F.substring(place, 1, 8), 16, 10).cast("bigint"), F.col("shard_size"))
     known = F.col("shard_size") > 0
@@ -109,7 +118,7 @@ def mix(
         (F.col("end") - F.col("size")).alias("start"), "end", "shard_size",
         F.when(known, F.floor(words / F.col("shard_size"))).otherwise(0).cast("int").alias("rounds"),
         F.when(known, words % F.col("shard_size")).otherwise(0).alias("rest"),
-        F.when(known, place - place % block).otherwise(0).alias("place"),
+        F.when(known, place - place % F.col("block")).otherwise(0).alias("place"),
     )
     whole = F.when(
         (F.col("rounds") > 0) & (F.col("size") > 0),
@@ -128,16 +137,30 @@ def mix(
     return laid.select("row", "size", "source_size", "target", copies.alias("copies")).withColumn("taken", taken)
 
 
-def _quotas(shards: DataFrame, total: float, block: int, max_repeats: int) -> DataFrame:
-    """(source_no, shard, shard_size, quota): the blocks that each shard wins."""
+def _quotas(shards: DataFrame, seats: int, block: int, some_own: bool, max_repeats: int) -> DataFrame:
+    """(source_no, shard, shard_size, quota): the blocks that each shard wins.
+
+    Sources with the common ``block`` are pool 0 and share ``seats``; one with smaller blocks, if there is
+    ``some_own``, is a pool of its own.
+    """
     votes = F.when(F.col("whole") > 0, F.col("goal") * F.col("shard_size") / F.col("whole")).otherwise(0.0)
-    most = F.ceil(F.col("shard_size") * max_repeats / F.lit(block)).cast("int")
-    bids = shards.select("source_no", "shard", votes.alias("votes"), most.alias("most")).filter("most > 0")
-    bids = bids.select("source_no", "shard", "votes", F.explode(F.sequence(F.lit(0), F.col("most") - 1)).alias("k"))
+    most = F.ceil(F.col("shard_size") * max_repeats / F.col("block")).cast("int")
+    pool = F.when(F.col("block") == F.lit(block), F.lit(0)).otherwise(F.col("source_no")).cast("bigint")
+    own_seats = F.floor(F.col("goal") / F.col("block") + 0.5).cast("bigint")
+    bids = shards.select(
+        pool.alias("pool"), own_seats.alias("seats"), "source_no", "shard", votes.alias("votes"), most.alias("most")
+    ).filter("most > 0")
+    bids = bids.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("most") - 1)))
     quotient = F.col("votes") / (2 * F.col("k") + 1)
-    bids = bids.select("source_no", "shard", "k", quotient.alias("quotient"))
-    order = [F.desc("quotient"), F.asc("source_no"), F.asc("shard"), F.asc("k")]
-    won = numbered(bids, order, "place").filter(F.col("place") <= F.lit(int(total / block + 0.5)))
+    bids = bids.select("pool", "seats", "source_no", "shard", "k", quotient.alias("quotient"))
+    order = [F.asc("pool"), F.desc("quotient"), F.asc("source_no"), F.asc("shard"), F.asc("k")]
+    placed = numbered(bids, order, "place")
+    won = placed.filter((F.col("pool") == 0) & (F.col("place") <= F.lit(seats))).select("source_no", "shard")
+    if some_own:
+        placed = placed.filter("pool > 0")
+        first = placed.groupBy("pool").agg(F.min("place").alias("first"))
+        own = placed.join(first, "pool").filter(F.col("place") - F.col("first") < F.col("seats"))
+        won = won.unionAll(own.select("source_no", "shard"))
     won = won.groupBy("source_no", "shard").agg(F.count("*").alias("quota"))
     return shards.select("source_no", "shard", "shard_size").join(won, ["source_no", "shard"], "left")
 
