@@ -2,9 +2,11 @@
 
 import random
 
+import corpus_pipeline
 import pytest
 
 from weftline.llm.decontamination import build_index, clean_documents, match_documents, tile
+from weftline.llm.queries import QUERIES
 
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon"
 
@@ -94,3 +96,16 @@ def test_awkward_rows(spark, awkward, no_documents):
     assert clean_documents(no_documents, benchmark(spark)).count() == 0
     nothing = benchmark(spark).filter("false")
     assert clean_documents(awkward, nothing).count() == awkward.count()
+
+
+def test_short_items_are_found_as_a_whole(spark, documents, tmp_path):
+    items = [(1, ITEM), (2, "one two"), (3, "日本語のテキスト"), (4, "three"), (5, None), (6, "?!")]
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, "zero One, two"), (2, "two one"), (3, "a 日本語のテキスト。 日本語のテキスト"), (4, "one three two"), (5, ITEM), (6, ""), (7, "? !")]
+    documents(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op10_benchmark_matches"](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.item_id, r.coverage, r.n_words, r.n_tiles) for r in found) == [
+        (1, 2, 1.0, 2, 1), (3, 3, 1.0, 1, 1), (4, 4, 1.0, 1, 1), (5, 1, 1.0, 20, 1)
+    ]
+    clean = dict(corpus_pipeline.STAGES)["decontamination"](spark, documents(rows), str(tmp_path))
+    assert sorted(r.doc_id for r in clean.collect()) == [2, 6, 7]

@@ -84,32 +84,34 @@ class Index:
 
     items: list[tuple[int | None, np.ndarray]]
     numbers: dict[bytes, int]
-    seeds: np.ndarray
-    places: list[list[tuple[int, int]]]
+    #: (words of a seed, the seeds' hashes, the places of each seed)
+    seeds: list[tuple[int, np.ndarray, list[list[tuple[int, int]]]]]
     seed_words: int
 
     def matches(self, text: bytes | None, least: float) -> list[dict]:
         """The items that the text covers to ``least`` or more."""
         number = self.numbers.get
         words = np.array([number(word, 0) for word in plain_words(text or b"")], np.uint64)
-        hashes = rolling_hashes(words, self.seed_words)
-        if not len(hashes) or not len(self.seeds):
-            return []
-        at = np.minimum(np.searchsorted(self.seeds, hashes), len(self.seeds) - 1)
-        hits = np.flatnonzero(self.seeds[at] == hashes)
         diagonals: dict[tuple[int, int], list[int]] = defaultdict(list)
-        for p, seed in zip(hits.tolist(), at[hits].tolist(), strict=True):
-            for item, q in self.places[seed]:
-                if (words[p : p + self.seed_words] == self.items[item][1][q : q + self.seed_words]).all():
-                    diagonals[item, p - q].append(p)
+        for length, seeds, places in self.seeds:
+            hashes = rolling_hashes(words, length)
+            if not len(hashes):
+                continue
+            at = np.minimum(np.searchsorted(seeds, hashes), len(seeds) - 1)
+            hits = np.flatnonzero(seeds[at] == hashes)
+            for p, seed in zip(hits.tolist(), at[hits].tolist(), strict=True):
+                for item, q in places[seed]:
+                    if (words[p : p + length] == self.items[item][1][q : q + length]).all():
+                        diagonals[item, p - q].append(p)
         runs = defaultdict(list)
         for (item, shift), places in diagonals.items():
+            length = min(self.seed_words, len(self.items[item][1]))
             first = last = places[0]
             for p in [*places[1:], None]:
                 if p is not None and p == last + 1:
                     last = p
                     continue
-                runs[item].append((first, first - shift, last - first + self.seed_words))
+                runs[item].append((first, first - shift, last - first + length))
                 first = last = p
         out = []
         for item in sorted(runs):
@@ -119,7 +121,7 @@ class Index:
                 reach.update(range(q, q + length))
             if len(reach) < least * len(own):
                 continue  # tiles cover no more than all matches together
-            tiles = tile(runs[item], self.seed_words)
+            tiles = tile(runs[item], min(self.seed_words, len(own)))
             coverage = sum(length for _, _, length in tiles) / len(own)
             if coverage >= least:
                 named = [{"doc_first": p, "item_first": q, "length": n} for p, q, n in sorted(tiles)]
@@ -127,20 +129,27 @@ class Index:
         return out
 
 
-def build_index(items: Iterable[tuple[int | None, str | None]], seed_words: int = 5) -> Index:
-    """An index of (item_id, text); items of fewer than ``seed_words`` words cannot be matched."""
+def build_index(
+    items: Iterable[tuple[int | None, str | None]], seed_words: int = 5, short_items: bool = False
+) -> Index:
+    """An index of (item_id, text).  An item of fewer than ``seed_words`` words is its own seed with
+    ``short_items``, else it cannot be matched."""
     numbers: dict[bytes, int] = {}
-    kept, places = [], defaultdict(list)
+    kept, places = [], defaultdict(lambda: defaultdict(list))
     for item_id, text in items:
         words = plain_words((text or "").encode())
         own = np.array([numbers.setdefault(word, len(numbers) + 1) for word in words], np.uint64)
-        if len(own) < seed_words:
+        length = min(seed_words, len(own)) if short_items else seed_words
+        if not 0 < length <= len(own):
             continue
-        for q, value in enumerate(rolling_hashes(own, seed_words).tolist()):
-            places[value].append((len(kept), q))
+        for q, value in enumerate(rolling_hashes(own, length).tolist()):
+            places[length][value].append((len(kept), q))
         kept.append((item_id, own))
-    seeds = np.array(sorted(places), np.uint64)
-    return Index(kept, numbers, seeds, [places[value] for value in seeds.tolist()], seed_words)
+    seeds = []
+    for length, at in sorted(places.items()):
+        values = sorted(at)
+        seeds.append((length, np.array(values, np.uint64), [at[value] for value in values]))
+    return Index(kept, numbers, seeds, seed_words)
 
 
 def benchmark_blocks(benchmark: DataFrame, block_words: int = 2_000_000) -> Iterator[list]:
@@ -163,11 +172,16 @@ def match_documents(
     seed_words: int = 5,
     block_words: int = 2_000_000,
     carry: Sequence[str] | None = None,
+    short_items: bool = False,
 ) -> DataFrame:
     """The ``carry`` columns of ``docs(text, ...)``, all by default, as the struct ``row`` with ``matches``: the
     benchmark items of ``benchmark(item_id, text)`` that the text covers to ``min_coverage`` or more, with
     their tiles in words.
 
+    An item of fewer than ``seed_words`` words is matched as a whole with ``short_items`` (its one tile covers it),
+    else not at all.  Words are cut at white space and ASCII punctuation: in a script without spaces each run
+    between them is one word, so that such an item is found only where the text has the same whole runs.
+
     Null and empty texts and items match nothing; repeated rows and ids are looked at one by one.
     """
     sc = docs.sparkSession.sparkContext
@@ -175,7 +189,7 @@ def match_documents(
     rows = docs.select(carried, F.col("text").alias("seen"))
     schema = T.StructType([*rows.schema.fields, MATCHES])
     for block in benchmark_blocks(benchmark, block_words):
-        shared = sc.broadcast(build_index(block, seed_words))
+        shared = sc.broadcast(build_index(block, seed_words, short_items))
         rows = map_in_arrow(rows, _matcher(shared, min_coverage, "matches" in rows.columns), schema)
     return rows.select("row", "matches")
 

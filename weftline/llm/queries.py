@@ -108,7 +108,7 @@ def op9_mixing(spark, sf_dir):
 def op10_benchmark_matches(spark, sf_dir):
     """One row for each document and benchmark item that it covers."""
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    found = decontamination.match_documents(docs, benchmark, carry=["doc_id"])
+    found = decontamination.match_documents(docs, benchmark, carry=["doc_id"], short_items=True)
     found = found.select("row.doc_id", F.explode("matches").alias("m"))
     return found.select(
         "doc_id", "m.item_id", "m.coverage", "m.n_words", F.size("m.tiles").alias("n_tiles"),
