@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import decontamination, jaccard, language, mixing, token_files
+from weftline.llm import decontamination, language, mixing, simhash, token_files
 from weftline.llm.queries import END_ID, byte_bpe, table
 from weftline.session import scratch_path, stored
 
@@ -19,8 +19,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near-duplicates: five-word shingles, Jaccard 0.8."""
-    return jaccard.one_of_each_group(docs)
+    """Keeps the document with the smallest id of each group whose fingerprints link at two bits or fewer."""
+    return simhash.one_of_each_group(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
