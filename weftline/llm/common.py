@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -29,6 +29,17 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{name}`") for name in df.columns])
 
 
+def without_text(docs: DataFrame, carry: Sequence[str]) -> tuple[DataFrame, Column]:
+    """(rest, seen): the ``carry`` columns without the text, and the text; and the column that puts both together again.
+
+    A text goes to a Python function once and comes back as the column ``seen``, if it is carried at all.
+    """
+    others = [name for name in carry if name != "text"]
+    rest = whole_row(docs.select(*others)) if others else F.struct(F.lit(0).alias("nothing"))
+    again = F.struct(*[(F.col("seen") if c == "text" else F.col(f"rest.`{c}`")).alias(c) for c in carry])
+    return docs.select(rest.alias("rest"), F.col("text").alias("seen")), again.alias("row")
+
+
 def binary_texts(column: pa.Array) -> Iterator[bytes | None]:
     """The texts of a string column as UTF-8 bytes, one at a time."""
     for value in column.cast(pa.binary()):

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from weftline.llm.common import binary_texts, map_in_arrow, plain_words, whole_row, word_count
+from weftline.llm.common import binary_texts, map_in_arrow, plain_words, without_text, word_count
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 TILE = T.StructType([T.StructField(name, T.LongType()) for name in ("doc_first", "item_first", "length")])
@@ -185,13 +185,13 @@ def match_documents(
     Null and empty texts and items match nothing; repeated rows and ids are looked at one by one.
     """
     sc = docs.sparkSession.sparkContext
-    carried = whole_row(docs.select(*(carry or docs.columns))).alias("row")
-    rows = docs.select(carried, F.col("text").alias("seen"))
+    carry = list(carry or docs.columns)
+    rows, again = without_text(docs, carry)
     schema = T.StructType([*rows.schema.fields, MATCHES])
     for block in benchmark_blocks(benchmark, block_words):
         shared = sc.broadcast(build_index(block, seed_words, short_items))
         rows = map_in_arrow(rows, _matcher(shared, min_coverage, "matches" in rows.columns), schema)
-    return rows.select("row", "matches")
+    return rows.select(again, "matches")
 
 
 def _matcher(shared, least: float, has_matches: bool):
@@ -204,7 +204,7 @@ def _matcher(shared, least: float, has_matches: bool):
                 found = [a + b for a, b in zip(batch.column("matches").to_pylist(), found, strict=True)]
             matches = pa.array(found, to_arrow_type(MATCHES.dataType))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("seen"), matches], ["row", "seen", "matches"]
+                [batch.column("rest"), batch.column("seen"), matches], ["rest", "seen", "matches"]
             )
 
     return match

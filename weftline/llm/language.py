@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import binary_texts, grouped, map_in_arrow, whole_row
+from weftline.llm.common import binary_texts, grouped, map_in_arrow, without_text
 
 BUCKETS = 1 << 16
 STEP = 256  # words that are computed one after the other; longer texts are cut and joined exactly
@@ -222,21 +222,21 @@ def training_sample(
     """Texts by language: the documents with the smallest hashes of id and length, in the order of the hash.
 
     Only ids and lengths are ranked.  The chosen ones, ``per_language`` of each language, are broadcast, so that no
-    text moves but theirs, which come to the driver.
+    text moves but theirs; one text for each comes to the driver, however often its row repeats.  Of a text above
+    ``max_chars`` the sample takes that many characters from a seeded place on.
     """
     length = F.length("text")
-    keyed = docs.select(
-        "doc_id", "lang", "text", F.xxhash64(F.lit(seed), "doc_id", length).alias("draw")
-    ).filter(F.col("lang").isNotNull() & length.between(1, max_chars))
+    draw = F.xxhash64(F.lit(seed), "doc_id", length)
+    keyed = docs.select("lang", "text", draw.alias("draw")).filter(F.col("lang").isNotNull() & (length >= 1))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
-    ranked = keyed.select("lang", "draw").withColumn("rank", rank)
-    chosen = F.broadcast(ranked.filter(F.col("rank") <= per_language).drop("rank").distinct())
-    rows = keyed.join(chosen, ["lang", "draw"]).select("lang", "draw", "text").collect()
+    ranked = keyed.select("lang", "draw").distinct().withColumn("rank", rank)
+    chosen = F.broadcast(ranked.filter(F.col("rank") <= per_language).drop("rank"))
+    place = F.pmod(F.col("draw"), F.greatest(length - max_chars, F.lit(0)) + 1).cast("int") + 1
+    piece = F.substring("text", place, F.lit(max_chars))
+    drawn = keyed.join(chosen, ["lang", "draw"]).groupBy("lang", "draw").agg(F.min(piece).alias("text"))
     out: dict[str, list[str]] = {}
-    for row in sorted(rows, key=lambda r: (r["lang"], r["draw"], r["text"])):
-        texts = out.setdefault(row["lang"], [])
-        if len(texts) < per_language:
-            texts.append(row["text"])
+    for row in sorted(drawn.collect(), key=lambda r: (r["lang"], r["draw"])):
+        out.setdefault(row["lang"], []).append(row["text"])
     return out
 
 
@@ -370,9 +370,11 @@ def identify(docs: DataFrame, model: Model, spans: bool = False, carry: Sequence
     Null texts, texts without a letter and a model without languages give ``und`` with score 0.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    carry = list(carry or docs.columns)
     kinds = [("lang_pred", pa.string()), ("score", pa.float64())]
     if spans:
         kinds.append(("spans", pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))))
+    kept = ["rest", "seen"] if "text" in carry else ["rest"]
 
     def label(batches):
         memo = _Memo(shared.value)
@@ -380,16 +382,23 @@ def identify(docs: DataFrame, model: Model, spans: bool = False, carry: Sequence
             found = []
             for group in grouped(binary_texts(batch.column("seen")), BATCH_BYTES):
                 found += _label(memo, group, spans) if memo.model.languages else [(UNKNOWN, 0.0, [])] * len(group)
-            columns = [pa.array([f[i] for f in found], kind) for i, (_, kind) in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), *columns], ["row", *(name for name, _ in kinds)])
+            columns = [batch.column(name) for name in kept]
+            columns += [pa.array([f[i] for f in found], kind) for i, (_, kind) in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, [*kept, *(name for name, _ in kinds)])
 
-    rows = docs.select(whole_row(docs.select(*(carry or docs.columns))).alias("row"), F.col("text").alias("seen"))
+    rows, again = without_text(docs, carry)
     found = "lang_pred string, score double" + ", spans array<struct<first bigint, end bigint, lang string>>" * spans
-    schema = T.StructType([rows.schema["row"], *T.StructType.fromDDL(found)])
-    return map_in_arrow(rows, label, schema)
+    schema = T.StructType([*(rows.schema[name] for name in kept), *T.StructType.fromDDL(found)])
+    return map_in_arrow(rows, label, schema).select(again, *(name for name, _ in kinds))
 
 
-def in_a_language(docs: DataFrame, model: Model, min_score: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` with a language: not ``und``, the words agree on it by more than ``min_score``."""
-    found = identify(docs, model).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") > min_score))
+def in_a_language(docs: DataFrame, model: Model, agreement: float = 1 / 15) -> DataFrame:
+    """The rows of ``docs`` with a language: not ``und``, and the words agree on it.
+
+    ``agreement`` is the part of the way from what a guess among the learned languages scores, 1 / L, to 1 that the
+    score has to cover: 0.3 for four languages.
+    """
+    guess = 1.0 / max(1, len(model.languages))
+    least = guess + agreement * (1.0 - guess)
+    found = identify(docs, model).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
     return found.select("row.*")
