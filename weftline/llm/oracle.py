@@ -108,4 +108,87 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
 FROM placed
 """
 
-ORACLE = {"op1_line_rules": OP1, "op8_repeated_passages": OP8, "op9_mixing": OP9}
+
+
+def _way(state: str, cost: str, edits: str, out: str) -> str:
+    """One more step on the path of a state: its cost, its edits and what it writes."""
+    return (
+        f"CASE WHEN {state} IS NOT NULL THEN "
+        f"struct_pack(c := {state}.c + {cost}, a := {state}.a || {edits}, o := {state}.o || {out}) END"
+    )
+
+
+def _best(*ways: str) -> str:
+    return f"list_sort(list_filter([{', '.join(ways)}], lambda w: w IS NOT NULL))[1]"
+
+
+_NEW_USER, _NEW_ASSISTANT = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+_CHANGED = "CASE WHEN initial = {0} THEN 0 ELSE 2 END + late"
+_EDIT = "CASE WHEN initial = {0} THEN 'K' ELSE 'R' END"
+_OUT = "chr(10) || CASE WHEN initial = {0} THEN role ELSE {1} END || ':' || text"
+
+
+def _said(state: str, initial: str, role: str) -> str:
+    """Keep or Rerole as ``role``, where the turn may stay."""
+    way = _way(state, _CHANGED.format(initial), _EDIT.format(initial), _OUT.format(initial, role))
+    return f"CASE WHEN NOT forced THEN {way} END"
+
+
+#: crc32 goes over the bytes of the id and turn, each followed by eight shifts.
+OP11 = rf"""
+WITH RECURSIVE shown AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(
+            list_prepend(4294967295::BIGINT, flatten(list_transform(
+                string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda crc, b: CASE WHEN b >= 0 THEN xor(crc, b) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END)) % 20 AS kind
+    FROM conversations),
+damaged AS (
+    SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM shown WHERE kind <> 0),
+judged AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+            WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 THEN 'duplicate'
+            WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault
+    FROM damaged),
+convs AS (SELECT conv_id, row_number() OVER () AS conv FROM (SELECT DISTINCT conv_id FROM conversations)),
+turns AS (
+    SELECT conv, turn, role, text, fault, left(role, 1) AS initial, fault IN ('blank', 'duplicate') AS forced,
+        (fault = 'truncated')::INT AS late,
+        row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text, copy) AS seq
+    FROM judged JOIN convs ON judged.conv_id IS NOT DISTINCT FROM convs.conv_id),
+paths AS (
+    SELECT conv, 0::BIGINT AS seq, struct_pack(c := 0, a := '', o := '') AS s0,
+        NULL::STRUCT(c INT, a VARCHAR, o VARCHAR) AS s1, NULL::STRUCT(c INT, a VARCHAR, o VARCHAR) AS s2,
+        NULL::STRUCT(c INT, a VARCHAR, o VARCHAR) AS s3
+    FROM convs
+    UNION ALL
+    SELECT conv, seq, {_way("s0", "3", "'D'", "''")},
+        {_best(_way("s1", "3", "'D'", "''"), "CASE WHEN initial = 's' THEN " + _said("s0", "'s'", "role") + " END")},
+        {_best(_way("t2", "3", "'D'", "''"), _said("s0", "'u'", "'user'"), _said("s1", "'u'", "'user'"), _said("t3", "'u'", "'user'"))},
+        {_best(_way("t3", "3", "'D'", "''"), _said("t2", "'a'", "'assistant'"))}
+    FROM (
+        SELECT p.conv, t.seq, t.role, t.text, t.initial, t.forced, t.late, s0, s1,
+            {_best("s2", *(_way(s, "2", "'I'", _NEW_USER) for s in ("s0", "s1", "s3")))} AS t2,
+            {_best("s3", _way("s2", "2", "'I'", _NEW_ASSISTANT),
+                   *(_way(s, "4", "'II'", _NEW_USER + " || " + _NEW_ASSISTANT) for s in ("s0", "s1")))} AS t3
+        FROM paths p JOIN turns t ON p.conv = t.conv AND p.seq + 1 = t.seq)),
+ends AS (
+    SELECT conv, {_best("s0", "s3", _way("s2", "2", "'I'", _NEW_ASSISTANT),
+                        _way("s1", "4", "'II'", _NEW_USER + " || " + _NEW_ASSISTANT))} AS best
+    FROM paths p WHERE seq = (SELECT count(*) FROM turns t WHERE t.conv = p.conv)),
+counts AS (
+    SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM (SELECT *, lag(initial) OVER (PARTITION BY conv ORDER BY seq) || initial AS pair FROM turns) GROUP BY conv)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+    coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+    coalesce(illegal, 0)::BIGINT AS illegal, best.c::BIGINT AS cost, best.a AS audit,
+    sha256(substr(best.o, 2)) AS repaired_sha256
+FROM convs JOIN ends USING (conv) LEFT JOIN counts USING (conv)
+"""
+
+ORACLE = {"op1_line_rules": OP1, "op8_repeated_passages": OP8, "op9_mixing": OP9, "op11_conversation_repair": OP11}

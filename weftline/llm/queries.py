@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import (
-    decontamination, language, line_rules, mixing, simhash, sites, substrings, token_counts, token_files, toxicity,
+    conversations, decontamination, language, line_rules, mixing, sharding, simhash, sites, substrings, token_counts,
+    token_files, toxicity, whitening,
 )
 from weftline.llm.oracle import ORACLE  # noqa: F401  the SQL beside the queries
 from weftline.session import scratch_path
@@ -114,3 +115,24 @@ def op10_benchmark_matches(spark, sf_dir):
         "doc_id", "m.item_id", "m.coverage", "m.n_words", F.size("m.tiles").alias("n_tiles"),
         F.lit(True).alias("contaminated"),
     )
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    return conversations.repair_digests(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op12_embedding_whitening(spark, sf_dir):
+    found = whitening.whitened_components(table(spark, sf_dir, "embeddings"), "embedding", carry=["vec_id"])
+    return found.select("row.vec_id", *[c for c in found.columns if c != "row"])
+
+
+@query
+def op13_uniform_shards(spark, sf_dir):
+    """Only ids, sizes and hashes are shuffled."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", *sharding.sizes_and_hashes("text"))
+    found = sharding.shuffle_into_shards(docs)
+    return found.select(
+        "row.*", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
