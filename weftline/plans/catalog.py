@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from weftline.functions.scalars import id_order
 from weftline.functions.text import search_tokens
 from weftline.functions.wordlists import BATCH_ENTITY_LABELS
-from weftline.operators import classify, entities, graph, sampling, search, social
+from weftline.operators import classify, entities, graph, names, sampling, search, social
 from weftline.operators.ranking import numbered
 from weftline.plans import tables
 from weftline.session import materialise, scratch_path
@@ -150,6 +150,22 @@ def entity_counts_model(spark, sf_dir):
     return entities.entity_counts(tables.documents(spark, sf_dir), entities.model_extractor(load_model))
 
 
+def found_names(spark, sf_dir) -> DataFrame:
+    gazetteer = tables.name_gazetteer(spark, sf_dir)
+    return names.find_names(tables.documents(spark, sf_dir), gazetteer, BATCH_ENTITY_LABELS)
+
+
+@query
+def name_mentions(spark, sf_dir):
+    """Where names of one to four words stand in the texts."""
+    return found_names(spark, sf_dir)
+
+
+@query
+def name_counts(spark, sf_dir):
+    return names.name_counts(found_names(spark, sf_dir))
+
+
 # --- sampling and splitting -------------------------------------------------------------------------
 
 

@@ -122,6 +122,40 @@ gazetteer AS (
          WHEN length(entity) <= 7 THEN 'ORG' WHEN length(entity) <= 9 THEN 'LOC' ELSE 'EVENT' END AS label
   FROM (SELECT unnest({capitalised('text')}) AS entity FROM benchmark))
 SELECT entity, label, count FROM entities JOIN gazetteer USING (entity) WHERE label IN ({sql_list(BATCH_ENTITY_LABELS)})"""
+NAMES = f"""
+RECURSIVE words AS (SELECT doc_id, regexp_extract_all(text, '{WORD}') AS w FROM documents),
+asked AS (SELECT regexp_extract_all(text, '{WORD}') AS w FROM benchmark),
+name_list AS (
+  SELECT DISTINCT array_to_string(w[i + 1:i + 1 + i % 4], ' ') AS entity FROM (SELECT w, unnest(range(len(w))) AS i FROM asked)
+  WHERE regexp_full_match(w[i + 1], '[A-Z][a-z]+')),
+labelled AS (
+  SELECT entity, CASE WHEN length(entity) <= 6 THEN 'PERSON' WHEN length(entity) <= 12 THEN 'GPE'
+                      WHEN length(entity) <= 18 THEN 'ORG' ELSE 'EVENT' END AS label
+  FROM name_list),
+places AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM words),
+ahead AS (
+  SELECT doc_id, i, word AS r1, word || ' ' || lead(word, 1) OVER w AS r2,
+    word || ' ' || lead(word, 1) OVER w || ' ' || lead(word, 2) OVER w AS r3,
+    word || ' ' || lead(word, 1) OVER w || ' ' || lead(word, 2) OVER w || ' ' || lead(word, 3) OVER w AS r4
+  FROM places WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+runs AS (
+  SELECT doc_id, i, 1 AS k, r1 AS entity FROM ahead UNION ALL SELECT doc_id, i, 2, r2 FROM ahead
+  UNION ALL SELECT doc_id, i, 3, r3 FROM ahead UNION ALL SELECT doc_id, i, 4, r4 FROM ahead),
+best AS MATERIALIZED (
+  SELECT doc_id, i AS place, max(k) AS n_words, arg_max(entity, k) AS entity, arg_max(label, k) AS label
+  FROM runs JOIN labelled USING (entity) GROUP BY doc_id, i),
+following AS MATERIALIZED (
+  SELECT a.doc_id, a.place, b.place AS next
+  FROM best a ASOF JOIN best b ON a.doc_id = b.doc_id AND a.place + a.n_words <= b.place),
+walk AS (
+  SELECT doc_id, min(place) AS place FROM best GROUP BY doc_id
+  UNION ALL
+  SELECT doc_id, next FROM walk JOIN following USING (doc_id, place)),
+mentions AS (
+  SELECT doc_id, place::INTEGER AS place, n_words::INTEGER AS n_words, entity, label FROM walk JOIN best USING (doc_id, place)
+  WHERE label IN ({sql_list(BATCH_ENTITY_LABELS)}))"""
+ORACLE["name_mentions"] = f"WITH {NAMES} SELECT * FROM mentions"
+ORACLE["name_counts"] = f"WITH {NAMES} SELECT entity, label, count(*) AS count FROM mentions GROUP BY ALL"
 ORACLE["entity_counts_model"] = f"""
 WITH {ENTITIES} SELECT * FROM entities WHERE entity[-1] IN ('e', 'n', 'r', 's')
 ORDER BY count DESC, entity LIMIT 20"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions.text import is_search_term, words
 from weftline.operators.entities import capitalised_words
+from weftline.operators.names import name_words
 from weftline.operators.rows import spread_rows
 
 
@@ -74,6 +75,18 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("m.text").alias("entity")).distinct().withColumn("label", label)
 
 
+def name_gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(entity, label): runs of one to four words of the benchmark texts that begin with a capitalised word."""
+    texts = table(spark, sf_dir, "benchmark").select(name_words("text").alias("words"))
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).rlike("^[A-Z][a-z]+$")
+    )
+    names = F.transform(starts, lambda i: F.array_join(F.slice("words", i + 1, i % 4 + 1), " "))
+    found = texts.filter(F.size("words") > 0).select(F.explode(names).alias("entity")).distinct()
+    n = F.length("entity")
+    return found.withColumn("label", F.when(n <= 6, "PERSON").when(n <= 12, "GPE").when(n <= 18, "ORG").otherwise("EVENT"))
+
+
 def supply_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Directed graph (src, dst): one edge per order line from the part to its supplier.
 
