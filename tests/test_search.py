@@ -126,15 +126,42 @@ def test_equal_looking_cosines_are_ranked_by_the_cosine(spark):
     assert rows[0].score == pytest.approx(1.0, abs=1e-12) and 0.9999998 < rows[1].score < 0.9999999
 
 
-def test_a_saved_index_is_read_by_buckets(spark, tmp_path):
+@pytest.mark.parametrize("buckets", [None, 1, 64, 256])
+def test_a_saved_index_knows_its_buckets(spark, tmp_path, buckets):
     index = search.build_index(spark.createDataFrame(DOCS, "doc_id string, text string"))
-    index.save(str(tmp_path), buckets=8)
-    loaded = search.SearchIndex.load(spark, str(tmp_path), buckets=8)
-    asked = spark.createDataFrame([("q", "war comedy")], "query_id string, text string")
-    found = search.search_cosine(asked, loaded)
-    plan = found._jdf.queryExecution().executedPlan().toString()
+    index.save(str(tmp_path), buckets=buckets)
+    loaded = search.SearchIndex.load(spark, str(tmp_path))
+    assert loaded.buckets == (buckets or 1)
+    asked = spark.createDataFrame([("q", "war comedy"), ("p", "romantic vampire war"), ("s", "war")], "query_id string, text string")
+    assert sorted(search.search(asked, loaded).collect()) == sorted(search.search(asked, index).collect())
+
+
+def scanned(df, metric):
+    """A metric of the first scan of a query that has run."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    return next(
+        leaves.apply(i).metrics().apply(metric).value() for i in range(leaves.size()) if "bucket" in leaves.apply(i).toString()
+    )
+
+
+def test_a_search_reads_the_files_of_its_terms(spark, tmp_path):
+    docs = [(str(i), " ".join(f"w{chr(97 + (i * j) % 26)}{chr(97 + j)}" for j in range(26))) for i in range(60)]
+    index = search.build_index(spark.createDataFrame(docs, "doc_id string, text string"), stop_words=())
+    index.save(str(tmp_path), buckets=32)
+    loaded = search.SearchIndex.load(spark, str(tmp_path))
+    of = lambda *terms: loaded.of_terms(spark.createDataFrame([(t,) for t in terms], "term string"))
+    one, many = of("wab"), of(*[f"w{chr(97 + i)}b" for i in range(26)])
+    plan = one._jdf.queryExecution().executedPlan().toString()
     assert "bucket" in plan[plan.index("PartitionFilters: ["):].split("]")[0]
-    assert found.count() == search.search_cosine(asked, index).count() > 0
+    assert "EqualTo(term,wab)" in plan[plan.index("PushedFilters: ["):]
+    assert scanned(one, "numFiles") == 1 < 5 < scanned(many, "numFiles")
+    assert one.count() > 0
+
+
+def test_buckets_follow_the_size():
+    assert [search.buckets_for(n) for n in (0, 1, 1_000_000, 1_000_001, 5_000_000, 10**13)] == [1, 1, 1, 2, 8, 4096]
 
 
 def test_the_last_title_of_an_id_wins(spark):

@@ -22,6 +22,9 @@ from weftline.operators.rows import computed_once
 from weftline.operators.skew import MIN_HOT_ROWS, key_counts, salted_join
 from weftline.session import materialise
 
+#: Postings in a bucket of a saved index, buckets at most, and asked terms that are pushed into the scan at most.
+BUCKET_ROWS, MAX_BUCKETS, MAX_PUSHED = 1_000_000, 4096, 10_000
+
 
 def term_frequency(docs: DataFrame, stop_words: Sequence[str] = SEARCH_STOP_WORDS) -> DataFrame:
     """(doc_id, term, tf) of ``docs(doc_id, text)``; rows with the same doc_id count as one document.
@@ -90,6 +93,48 @@ def term_bucket(term: Column | str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def buckets_for(n_rows: int) -> int:
+    """A power of two with about ``BUCKET_ROWS`` rows a bucket, 1 to ``MAX_BUCKETS``."""
+    return min(MAX_BUCKETS, 1 << max(0, -(-n_rows // BUCKET_ROWS) - 1).bit_length())
+
+
+def write_by_term(rows: DataFrame, path: str, order: Sequence[str], buckets: int) -> None:
+    """Write ``rows(term, ...)`` as Parquet, in ``buckets`` folders by term and sorted by ``order`` inside.
+
+    The range partitioning is over the bucket and the order, so a term of many rows spans several files.
+    """
+    placed = rows.withColumn("bucket", term_bucket("term", buckets)).repartitionByRange("bucket", *order)
+    placed.sortWithinPartitions("bucket", *order).write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def write_buckets(spark: SparkSession, path: str, buckets: int) -> None:
+    """Keep the number of buckets beside the rows, so that a reader need not know how they were written."""
+    spark.range(1).select(F.lit(buckets).alias("buckets")).write.mode("overwrite").parquet(f"{path}/layout")
+
+
+def read_buckets(spark: SparkSession, path: str) -> int:
+    return spark.read.parquet(f"{path}/layout").first()["buckets"]
+
+
+def rows_of_terms(rows: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
+    """The rows of a table of ``write_by_term`` that can match ``asked(term)``.
+
+    Up to ``MAX_PUSHED`` different terms are looked up first.  Their buckets become a partition filter and the terms
+    a filter of the scan, which skips the files, row groups and pages of a sorted file that have none of them.  More
+    terms than that leave the choice of their buckets.
+    """
+    if not buckets:
+        return rows
+    terms = [row["term"] for row in asked.select("term").distinct().limit(MAX_PUSHED + 1).collect()]
+    if len(terms) <= MAX_PUSHED:
+        known = asked.sparkSession.createDataFrame([(t,) for t in terms], "term string")
+        rows = rows.filter(F.col("term").isin(terms))
+    else:
+        known = asked
+    found = known.select(term_bucket("term", buckets).alias("bucket")).distinct().collect()
+    return rows.filter(F.col("bucket").isin(sorted(row["bucket"] for row in found)))
+
+
 @dataclass(frozen=True)
 class SearchIndex:
     """``postings(doc_id, term, tf, tfidf, weight)`` and ``terms(term, df, idf)``.
@@ -110,32 +155,27 @@ class SearchIndex:
         postings = materialise(self.postings)
         return SearchIndex(postings, _terms_of(postings))
 
-    def save(self, path: str, buckets: int = 64) -> None:
-        """Write the index as Parquet, in ``buckets`` folders by term and sorted by term inside.
+    def save(self, path: str, buckets: int | None = None) -> None:
+        """Write the index as Parquet, by term, in as many ``buckets`` as its size asks for.
 
-        The range partitioning is over (bucket, term, doc_id): a term of many documents spans several files.  The
-        terms are made from the postings just written, so the texts are split once.
+        The terms are made from the postings just written, so the texts are split once, and twice where the number of
+        buckets has to be found first.
         """
-        order = ["bucket", "term", "doc_id"]
-        placed = self.postings.withColumn("bucket", term_bucket("term", buckets))
-        placed = placed.repartitionByRange(*order).sortWithinPartitions(*order)
-        placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
-        read = self.postings.sparkSession.read
-        _terms_of(read.parquet(f"{path}/postings")).write.mode("overwrite").parquet(f"{path}/terms")
+        spark = self.postings.sparkSession
+        buckets = buckets or buckets_for(self.postings.count())
+        write_by_term(self.postings, f"{path}/postings", ["term", "doc_id"], buckets)
+        _terms_of(spark.read.parquet(f"{path}/postings")).write.mode("overwrite").parquet(f"{path}/terms")
+        write_buckets(spark, path, buckets)
 
     @staticmethod
-    def load(spark: SparkSession, path: str, buckets: int = 64) -> SearchIndex:
-        return SearchIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/terms"), buckets)
+    def load(spark: SparkSession, path: str) -> SearchIndex:
+        """The index that ``save`` has written to ``path``."""
+        postings, terms = spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/terms")
+        return SearchIndex(postings, terms, read_buckets(spark, path))
 
     def of_terms(self, asked: DataFrame) -> DataFrame:
-        """The postings that can match ``asked(term)``.
-
-        The buckets asked for, at most ``buckets`` numbers, are looked up first and become a partition filter.
-        """
-        if not self.buckets:
-            return self.postings
-        found = asked.select(term_bucket("term", self.buckets).alias("bucket")).distinct().collect()
-        return self.postings.filter(F.col("bucket").isin(sorted(row["bucket"] for row in found)))
+        """The postings that can match ``asked(term)``."""
+        return rows_of_terms(self.postings, asked, self.buckets)
 
 
 def _terms_of(postings: DataFrame) -> DataFrame:
@@ -143,6 +183,12 @@ def _terms_of(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count("*").alias("df"), F.max(F.col("tfidf") / F.col("tf")).alias("idf"))
 
 
+def index_of_counts(tf: DataFrame, docs: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> SearchIndex:
+    """Index of counts ``tf(doc_id, term, tf)`` over the rows of ``docs``, not yet computed."""
+    terms = inverse_document_frequency(document_frequency(tf), docs)
+    return SearchIndex(with_weights(tfidf(tf, terms, min_hot_rows)), terms)
+
+
 def build_index(
     docs: DataFrame, stop_words: Sequence[str] = SEARCH_STOP_WORDS, min_hot_rows: int = MIN_HOT_ROWS
 ) -> SearchIndex:
@@ -150,9 +196,7 @@ def build_index(
 
     Take it ``checkpointed`` for several searches in one job; ``save`` and ``load`` it across jobs.
     """
-    tf = term_frequency(docs, stop_words)
-    terms = inverse_document_frequency(document_frequency(tf), docs)
-    return SearchIndex(with_weights(tfidf(tf, terms, min_hot_rows)), terms)
+    return index_of_counts(term_frequency(docs, stop_words), docs, min_hot_rows)
 
 
 def query_terms(queries: DataFrame, stop_words: Sequence[str] = SEARCH_STOP_WORDS) -> DataFrame:
@@ -166,6 +210,16 @@ def query_terms(queries: DataFrame, stop_words: Sequence[str] = SEARCH_STOP_WORD
     )
 
 
+def query_weights(queries: DataFrame, terms: DataFrame, stop_words: Sequence[str] = SEARCH_STOP_WORDS) -> DataFrame:
+    """(query_id, term, share) of the queries of several tokens: count times idf, divided by the norm of the query."""
+    asked = query_terms(queries, stop_words).filter("n_tokens > 1").select("query_id", "term", "qtf")
+    known = asked.join(terms.select("term", "idf"), "term").withColumn("query_weight", F.col("qtf") * F.col("idf"))
+    square = F.col("query_weight") * F.col("query_weight")
+    norm = F.sqrt(F.sum(square).over(Window.partitionBy("query_id")))
+    share = F.when(norm > 0, F.col("query_weight") / norm)
+    return known.withColumn("share", share).select("query_id", "term", "share")
+
+
 def search_term(queries: DataFrame, index: SearchIndex, k: int = 10, stop_words=SEARCH_STOP_WORDS) -> DataFrame:
     """(query_id, doc_id, score, rank) of the queries that are exactly one token, ranked by TF-IDF.
 
@@ -173,7 +227,7 @@ def search_term(queries: DataFrame, index: SearchIndex, k: int = 10, stop_words=
     """
     single = query_terms(queries, stop_words).filter("n_tokens = 1").select("query_id", "term")
     postings = index.of_terms(single).select("term", "doc_id", F.col("tfidf").alias("score"))
-    return _ranked(postings.join(single, "term"), k)
+    return ranked(postings.join(single, "term"), k)
 
 
 def search_cosine(queries: DataFrame, index: SearchIndex, k: int = 10, stop_words=SEARCH_STOP_WORDS) -> DataFrame:
@@ -183,20 +237,15 @@ def search_cosine(queries: DataFrame, index: SearchIndex, k: int = 10, stop_word
     its terms.  Only documents that share a term can score above 0, and only those are listed.  Both sides are
     normed before the sum, so what is ranked is the cosine itself.
     """
-    asked = query_terms(queries, stop_words).filter("n_tokens > 1").select("query_id", "term", "qtf")
-    known = asked.join(index.terms.select("term", "idf"), "term").withColumn("query_weight", F.col("qtf") * F.col("idf"))
-    square = F.col("query_weight") * F.col("query_weight")
-    norm = F.sqrt(F.sum(square).over(Window.partitionBy("query_id")))
-    share = F.when(norm > 0, F.col("query_weight") / norm)
-    weighed = known.withColumn("share", share).select("query_id", "term", "share")
+    weighed = query_weights(queries, index.terms, stop_words)
     scores = (
-        index.of_terms(asked)
+        index.of_terms(weighed)
         .select("doc_id", "term", "weight")
         .join(weighed, "term")
         .groupBy("query_id", "doc_id")
         .agg(F.sum(F.col("share") * F.col("weight")).alias("score"))
     )
-    return _ranked(scores.filter("score > 0"), k)
+    return ranked(scores.filter("score > 0"), k)
 
 
 def search(queries: DataFrame, index: SearchIndex, k: int = 10, stop_words=SEARCH_STOP_WORDS) -> DataFrame:
@@ -204,9 +253,10 @@ def search(queries: DataFrame, index: SearchIndex, k: int = 10, stop_words=SEARC
     return search_term(queries, index, k, stop_words).unionByName(search_cosine(queries, index, k, stop_words))
 
 
-def _ranked(scores: DataFrame, k: int) -> DataFrame:
-    ranked = top_k_per_group(scores, "query_id", k, [rank_value("score").desc(), F.col("doc_id").asc()])
-    return ranked.select("query_id", "doc_id", "score", "rank")
+def ranked(scores: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best of ``scores(query_id, doc_id, score)`` for each query, with their rank."""
+    best = top_k_per_group(scores, "query_id", k, [rank_value("score").desc(), F.col("doc_id").asc()])
+    return best.select("query_id", "doc_id", "score", "rank")
 
 
 def with_titles(

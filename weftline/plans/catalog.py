@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from weftline.functions.scalars import id_order
 from weftline.functions.text import search_tokens
 from weftline.functions.wordlists import BATCH_ENTITY_LABELS
-from weftline.operators import classify, entities, graph, names, sampling, search, social
+from weftline.operators import blocks, classify, entities, graph, names, sampling, search, segments, social
 from weftline.operators.ranking import numbered
 from weftline.plans import tables
 from weftline.session import materialise, scratch_path
@@ -108,6 +108,28 @@ def search_saved_index(spark, sf_dir):
     return rounded(search.search_cosine(tables.phrase_queries(spark, sf_dir), index), "score")
 
 
+@query
+def search_blockmax_topk(spark, sf_dir):
+    """The same search, but blocks of postings whose largest weights cannot reach the ten best are not read."""
+    path = scratch_path(spark, "block-index")
+    blocks.BlockIndex.save(search.build_index(tables.documents(spark, sf_dir)), path)
+    index = blocks.BlockIndex.load(spark, path)
+    return rounded(blocks.search_blocks(tables.phrase_queries(spark, sf_dir), index), "score")
+
+
+@query
+def search_growing_index(spark, sf_dir):
+    """The documents come in three parts and every seventh goes again, half of those come back; then the search."""
+    docs, part = tables.documents(spark, sf_dir), F.col("doc_id") % 3
+    index = segments.SegmentedIndex(spark, scratch_path(spark, "segments"), fanout=3)
+    index.append(docs.filter(part == 0))
+    index.append(docs.filter(part == 1))
+    index.delete(docs.filter("doc_id % 7 = 0").select("doc_id"))
+    index.append(docs.filter((part == 2) | (F.col("doc_id") % 14 == 0)).filter("doc_id % 7 <> 0 or doc_id % 14 = 0"))
+    snapshot = index.snapshot().checkpointed()
+    return rounded(search.search_cosine(tables.phrase_queries(spark, sf_dir), snapshot), "score")
+
+
 @query
 def query_file(spark, sf_dir):
     """The benchmark texts twice, as lines with a number of their own."""

@@ -93,6 +93,8 @@ ORACLE["search_single_term"] = (
 )
 ORACLE["search_cosine_topk"] = COSINE
 ORACLE["search_saved_index"] = COSINE
+ORACLE["search_blockmax_topk"] = COSINE
+ORACLE["search_growing_index"] = COSINE.replace("FROM documents", "FROM (SELECT * FROM documents WHERE doc_id % 7 <> 0 OR doc_id % 14 = 0)")
 ORACLE["search_with_titles"] = f"""
 WITH {search_ctes(f'{PHRASES} UNION ALL {WORDS}')}
 SELECT query_id, doc_id, round(score, 6) AS score, rank, coalesce(title, 'Unknown') AS title

@@ -90,6 +90,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(where)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none where there is no such folder."""
+    files, where = _file_system(spark, path)
+    if not files.exists(where):
+        return []
+    return [entry.getPath().getName() for entry in files.listStatus(where) if entry.isDirectory()]
+
+
 def drop_stored(spark: SparkSession, path: str) -> None:
     """Delete a table of ``write_stored`` that nothing reads any more."""
     files, where = _file_system(spark, path)
