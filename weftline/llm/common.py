@@ -19,9 +19,17 @@ SPACES_FOR_PUNCTUATION = bytes.maketrans(ASCII_PUNCTUATION, b" " * len(ASCII_PUN
 
 
 def map_in_arrow(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
-    """``df.mapInArrow`` with this package on the Python path of the workers."""
+    """``df.mapInArrow`` with this package on the Python path of the workers.
+
+    A worker process serves many tasks, so what Arrow holds in reserve is given back at the end of each.
+    """
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(apply, schema)
 
 
 def whole_row(df: DataFrame) -> Column:

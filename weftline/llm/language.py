@@ -27,7 +27,7 @@ from weftline.llm.common import binary_texts, grouped, map_in_arrow, without_tex
 
 BUCKETS = 1 << 16
 STEP = 256  # words that are computed one after the other; longer texts are cut and joined exactly
-BATCH_BYTES = 2_500_000
+BATCH_BYTES = 1_000_000
 MEMO_WORDS = 250_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 UNKNOWN = "und"

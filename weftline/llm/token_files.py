@@ -32,14 +32,17 @@ from weftline.llm.pretokens import encode_keys, keys_of, special_strings
 SEGMENT_IDS = 1 << 18
 RANK_BLOCK = 512
 MEMO_KEYS = 250_000
-GROUP_BYTES = 6_000_000
+GROUP_BYTES = 4_000_000
 #: What makes a text odd: empty, spaces at an end or side by side, spaces that are no space or line feed, NUL.
 ODD_SPACES = (
     r"\A\z|\A[ \n]|[ \n]\z|[ \n][ \n]|[\x00\t\x0b\x0c\r\x1c-\x1f]|"
     r"[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 LEVELS = "array<struct<chunks:binary,more:binary,ranks:binary>>"
-SEGMENTS = f"part int, segment int, before bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, levels {LEVELS}"
+SEGMENTS = (
+    "part int, segment int, before bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, "
+    f"starts array<bigint>, levels {LEVELS}"
+)
 _LEVELS = pa.list_(pa.struct([("chunks", pa.binary()), ("more", pa.binary()), ("ranks", pa.binary())]))
 
 
@@ -174,11 +177,13 @@ def _segments(tokenizer_file: str, end_id: int, segment_ids: int):
         def segment() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(parts), "<u4")
             lengths = [len(p) // 4 for p in parts]
+            starts = (np.cumsum(lengths) - lengths).tolist()
             values = [
                 ([part], pa.int32()), ([number], pa.int32()), ([before], pa.int64()), ([len(ids)], pa.int64()),
-                ([names], pa.list_(pa.int64())), ([lengths], pa.list_(pa.int64())), ([encode_levels(ids)], _LEVELS),
+                ([names], pa.list_(pa.int64())), ([lengths], pa.list_(pa.int64())), ([starts], pa.list_(pa.int64())),
+                ([encode_levels(ids)], _LEVELS),
             ]
-            columns = ["part", "segment", "before", "n_ids", "doc_ids", "lengths", "levels"]
+            columns = ["part", "segment", "before", "n_ids", "doc_ids", "lengths", "starts", "levels"]
             return pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in values], columns)
 
         for batch in batches:
@@ -267,12 +272,8 @@ def read_tokens(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
     a document and unknown documents give no row.
     """
     segments, _ = _tables(spark, path)
-    starts = F.transform(
-        F.sequence(F.lit(1), F.size("lengths")),
-        lambda i: F.aggregate(F.slice("lengths", 1, i - 1), F.lit(0).cast("bigint"), lambda a, x: a + x),
-    )
     index = segments.select(
-        "part", "segment", F.explode(F.arrays_zip("doc_ids", "lengths", starts.alias("starts"))).alias("d")
+        "part", "segment", F.explode(F.arrays_zip("doc_ids", "lengths", "starts")).alias("d")
     ).select("part", "segment", F.col("d.doc_ids").alias("doc_id"), F.col("d.lengths").alias("n"), F.col("d.starts").alias("first"))
     found = wanted.select("doc_id", "k").join(index, "doc_id").filter("k >= 0 and k < n")
     places = F.struct("doc_id", F.col("k").cast("bigint").alias("k"), (F.col("first") + F.col("k")).alias("at"))
