@@ -1,6 +1,7 @@
 """Greedy string tiling next to the quadratic algorithm, and passages in another order."""
 
 import random
+import time
 
 import corpus_pipeline
 import pytest
@@ -108,4 +109,17 @@ def test_short_items_are_found_as_a_whole(spark, documents, tmp_path):
         (1, 2, 1.0, 2, 1), (3, 3, 1.0, 1, 1), (4, 4, 1.0, 1, 1), (5, 1, 1.0, 20, 1)
     ]
     clean = dict(corpus_pipeline.STAGES)["decontamination"](spark, documents(rows), str(tmp_path))
-    assert sorted(r.doc_id for r in clean.collect()) == [2, 6, 7]
+    assert sorted(r.doc_id for r in clean.collect()) == [1, 2, 4, 6, 7]  # two short words are reported, not dropped
+
+
+def test_common_seeds_cost_little():
+    prompt = "please answer the following question in one word only"
+    index = build_index((i, f"{prompt} " + " ".join(f"q{i}w{j}" for j in range(22))) for i in range(20_000))
+    text = f"{prompt} {' '.join(f'x{j}' for j in range(50))}".encode()
+    start = time.process_time()
+    assert index.matches(text, 0.6) == []
+    assert time.process_time() - start < 0.2  # a loop over the places takes above 0.4
+    index = build_index([(1, "a " * 100)])
+    start = time.process_time()
+    assert [m["coverage"] for m in index.matches(b"a " * 20_000, 0.6)] == [1.0]
+    assert time.process_time() - start < 2  # a loop over the places takes above 4

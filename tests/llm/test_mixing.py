@@ -84,6 +84,25 @@ def test_tiny_sources_beside_a_huge_one_meet_their_targets(documents):
     assert abs(taken["a"] - target["a"]) <= sum(target.values()) / 100
 
 
+@pytest.mark.parametrize("tiny", [5, 60, 3_000, 300_000])
+def test_small_sources_equal_sql(documents, tiny):
+    """On both sides of the limit below which a source is dealt in blocks of its own."""
+    rows = [(i, "w " * 700, "en", "big") for i in range(1_500)]
+    rows += [(10_000 + i, "v " * max(1, tiny // 4), "en", "small") for i in range(4)] + [(20_000, "", "en", "none")]
+    docs = documents(rows)
+    got = {(r.row.doc_id, r["size"], r.source_size, round(r.target, 6), r.taken) for r in mix(docs).collect()}
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text", "source").toPandas())
+    assert got == set(con.sql(ORACLE["op9_mixing"]).fetchall())
+
+
+def test_rows_without_an_id_spread_over_shards(documents):
+    rows = [(None, f"w{i} x y z", "en", "a") for i in range(400)]
+    got = mix(documents(rows), shard_docs=20, carry=["doc_id", "text"]).collect()
+    assert len(got) == 400 and 0 < sum(r.taken for r in got) <= 2 * 4 * 400
+    assert abs(sum(r.taken for r in got) - got[0].target) <= 32
+
+
 def test_a_source_of_many_short_documents_meets_its_target(documents):
     rows = [(i, "w " * 20_000, "en", "a") for i in range(100)] + [(1000 + i, "w", "en", "b") for i in range(400)]
     taken, target = taken_by_source(rows, documents(rows), seats=10_000, shard_docs=4)

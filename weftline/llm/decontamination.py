@@ -33,6 +33,7 @@ MATCH = T.StructType(
         T.StructField("item_id", T.LongType()),
         T.StructField("coverage", T.DoubleType()),
         T.StructField("n_words", T.LongType()),
+        T.StructField("n_chars", T.LongType()),
         T.StructField("tiles", T.ArrayType(TILE)),
     ]
 )
@@ -50,13 +51,16 @@ def rolling_hashes(words: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def tile(runs: Iterable[tuple[int, int, int]], least: int) -> list[tuple[int, int, int]]:
+def tile(
+    runs: Iterable[tuple[int, int, int]], least: int, item_words: int | None = None
+) -> list[tuple[int, int, int]]:
     """Greedy tiling of matches (document place, item place, length): the longest first, ties by place; what
-    is left of a match that meets a marked word competes on with its unmarked pieces."""
+    is left of a match that meets a marked word competes on with its unmarked pieces.  Of an item of ``item_words``
+    words nothing more can be marked when fewer than ``least`` of them are left."""
     waiting = [(-length, q, p) for p, q, length in runs if length >= least]
     heapq.heapify(waiting)
     marked_doc, marked_item, tiles = set(), set(), []
-    while waiting:
+    while waiting and (item_words is None or item_words - len(marked_item) >= least):
         length, q, p = heapq.heappop(waiting)
         free, pieces = 0, []
         for i in range(-length):
@@ -83,50 +87,89 @@ class Index:
     """Words and seeds of a block of benchmark items."""
 
     items: list[tuple[int | None, np.ndarray]]
+    chars: list[int]
     numbers: dict[bytes, int]
-    #: (words of a seed, the seeds' hashes, the places of each seed)
-    seeds: list[tuple[int, np.ndarray, list[list[tuple[int, int]]]]]
+    seeds: list[Seeds]
     seed_words: int
 
     def matches(self, text: bytes | None, least: float) -> list[dict]:
         """The items that the text covers to ``least`` or more."""
         number = self.numbers.get
         words = np.array([number(word, 0) for word in plain_words(text or b"")], np.uint64)
-        diagonals: dict[tuple[int, int], list[int]] = defaultdict(list)
-        for length, seeds, places in self.seeds:
-            hashes = rolling_hashes(words, length)
-            if not len(hashes):
-                continue
-            at = np.minimum(np.searchsorted(seeds, hashes), len(seeds) - 1)
-            hits = np.flatnonzero(seeds[at] == hashes)
-            for p, seed in zip(hits.tolist(), at[hits].tolist(), strict=True):
-                for item, q in places[seed]:
-                    if (words[p : p + length] == self.items[item][1][q : q + length]).all():
-                        diagonals[item, p - q].append(p)
-        runs = defaultdict(list)
-        for (item, shift), places in diagonals.items():
-            length = min(self.seed_words, len(self.items[item][1]))
-            first = last = places[0]
-            for p in [*places[1:], None]:
-                if p is not None and p == last + 1:
-                    last = p
-                    continue
-                runs[item].append((first, first - shift, last - first + length))
-                first = last = p
         out = []
-        for item in sorted(runs):
-            item_id, own = self.items[item]
-            reach = set()
-            for _, q, length in runs[item]:
-                reach.update(range(q, q + length))
-            if len(reach) < least * len(own):
-                continue  # tiles cover no more than all matches together
-            tiles = tile(runs[item], min(self.seed_words, len(own)))
-            coverage = sum(length for _, _, length in tiles) / len(own)
-            if coverage >= least:
-                named = [{"doc_first": p, "item_first": q, "length": n} for p, q, n in sorted(tiles)]
-                out.append({"item_id": item_id, "coverage": coverage, "n_words": len(own), "tiles": named})
-        return out
+        for seeds in self.seeds:
+            for item, runs in seeds.runs(words, self.items, least):
+                item_id, own = self.items[item]
+                tiles = tile(runs, seeds.length, len(own))
+                coverage = sum(length for _, _, length in tiles) / len(own)
+                if coverage >= least:
+                    named = [{"doc_first": p, "item_first": q, "length": n} for p, q, n in sorted(tiles)]
+                    sizes = {"n_words": len(own), "n_chars": self.chars[item]}
+                    out.append((item, {"item_id": item_id, "coverage": coverage, **sizes, "tiles": named}))
+        return [match for _, match in sorted(out, key=lambda m: m[0])]
+
+
+@dataclass
+class Seeds:
+    """The seeds of ``length`` words: their hashes in order, and the items and places of each, one after the other."""
+
+    length: int
+    hashes: np.ndarray
+    first: np.ndarray
+    item: np.ndarray
+    place: np.ndarray
+    item_words: np.ndarray
+
+    def runs(self, words: np.ndarray, items: list, least: float) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
+        """(item, maximal matches) of the items that all matches together could cover.
+
+        Places of different seeds are counted first, without the places in the text: an item whose seeds in the text reach
+        less than ``least`` of its words is out, however often its seeds occur.
+        """
+        hashes = rolling_hashes(words, self.length)
+        if not len(hashes):
+            return
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        hits = np.flatnonzero(self.hashes[at] == hashes)
+        if not len(hits):
+            return
+        found = _spans(self.first, np.unique(at[hits]))
+        item, place = self.item[found], self.place[found]
+        order = np.lexsort((place, item))
+        item, place = item[order], place[order]
+        same = np.append(item[1:] == item[:-1], False)
+        step = np.where(same, np.minimum(np.append(place[1:] - place[:-1], 0), self.length), self.length)
+        reach = np.bincount(item, weights=step, minlength=len(self.item_words))
+        able = reach >= least * self.item_words - 1e-9
+        if not able[item].any():
+            return
+        sizes = self.first[at[hits] + 1] - self.first[at[hits]]
+        pairs = _spans(self.first, at[hits])
+        text_place = np.repeat(hits, sizes)
+        wanted = able[self.item[pairs]]
+        pairs, text_place = pairs[wanted], text_place[wanted]
+        item, place = self.item[pairs], self.place[pairs]
+        for one in np.unique(item):
+            own = items[one][1]
+            p, q = text_place[item == one], place[item == one]
+            good = np.ones(len(p), bool)
+            for k in range(self.length):  # equal hashes, equal words
+                good &= words[p + k] == own[q + k]
+            p, q = p[good], q[good]
+            if not len(p):
+                continue
+            order = np.lexsort((p, p - q))
+            p, q = p[order], q[order]
+            new = np.flatnonzero(np.append(True, (np.diff(p) != 1) | (np.diff(q) != 1)))
+            lengths = np.diff(np.append(new, len(p))) + self.length - 1
+            yield int(one), list(zip(p[new].tolist(), q[new].tolist(), lengths.tolist(), strict=True))
+
+
+def _spans(first: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """All numbers from ``first[c]`` to ``first[c + 1]`` for each of ``chosen``, one span after the other."""
+    sizes = first[chosen + 1] - first[chosen]
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1]) + np.repeat(first[chosen] - (ends - sizes), sizes)
 
 
 def build_index(
@@ -135,21 +178,26 @@ def build_index(
     """An index of (item_id, text).  An item of fewer than ``seed_words`` words is its own seed with
     ``short_items``, else it cannot be matched."""
     numbers: dict[bytes, int] = {}
-    kept, places = [], defaultdict(lambda: defaultdict(list))
+    kept, chars, places = [], [], defaultdict(list)
     for item_id, text in items:
         words = plain_words((text or "").encode())
         own = np.array([numbers.setdefault(word, len(numbers) + 1) for word in words], np.uint64)
         length = min(seed_words, len(own)) if short_items else seed_words
         if not 0 < length <= len(own):
             continue
-        for q, value in enumerate(rolling_hashes(own, length).tolist()):
-            places[length][value].append((len(kept), q))
+        places[length].append((len(kept), rolling_hashes(own, length)))
         kept.append((item_id, own))
+        chars.append(sum(len(word.decode()) for word in words))
+    item_words = np.array([len(own) for _, own in kept], np.int64)
     seeds = []
-    for length, at in sorted(places.items()):
-        values = sorted(at)
-        seeds.append((length, np.array(values, np.uint64), [at[value] for value in values]))
-    return Index(kept, numbers, seeds, seed_words)
+    for length, of_items in sorted(places.items()):
+        hashes = np.concatenate([found for _, found in of_items])
+        item = np.concatenate([np.full(len(found), i, np.int64) for i, found in of_items])
+        place = np.concatenate([np.arange(len(found)) for _, found in of_items])
+        order = np.argsort(hashes, kind="stable")
+        values, first = np.unique(hashes[order], return_index=True)
+        seeds.append(Seeds(length, values, np.append(first, len(hashes)), item[order], place[order], item_words))
+    return Index(kept, chars, numbers, seeds, seed_words)
 
 
 def benchmark_blocks(benchmark: DataFrame, block_words: int = 2_000_000) -> Iterator[list]:
@@ -210,6 +258,11 @@ def _matcher(shared, least: float, has_matches: bool):
     return match
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` that cover no benchmark item, with all their columns."""
-    return match_documents(docs, benchmark, **settings).filter(F.size("matches") == 0).select("row.*")
+def clean_documents(docs: DataFrame, benchmark: DataFrame, min_item_chars: int = 8, **settings) -> DataFrame:
+    """The rows of ``docs`` that cover no benchmark item of ``min_item_chars`` letters or more, with all their columns.
+
+    Shorter items, as a plain ``yes``, are in texts of every kind; ``match_documents`` reports them, but no text is
+    dropped for them.
+    """
+    found = match_documents(docs, benchmark, **settings)
+    return found.filter(~F.exists("matches", lambda m: m["n_chars"] >= min_item_chars)).select("row.*")

@@ -10,7 +10,8 @@ one run of blocks, so that at most two documents of a shard are cut.
 A block has ``1 / seats`` of the mix, ``max_block`` words at most.  Where that is more than ``1 / least_blocks``
 of what a source has for each of its shards, the source leaves the common deal: its target is dealt among its own
 shards, in blocks of that size, so that it is met to ``1 / (2 * least_blocks)`` or half a word.  No group has to fit into one task: shards
-are bounded by ``shard_docs``, quotients are ranked by range.
+hold about ``shard_docs`` documents, by id or, without one, by text, and quotients are ranked by range.  Only rows that
+are equal in every way, or repeat an id, share a shard.
 """
 
 from __future__ import annotations
@@ -75,7 +76,8 @@ def mix(
     Rows with an equal id are kept apart by size and text; equal rows take places next to each other.  An
     empty table gives an empty one, empty texts take nothing.
     """
-    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    none = F.concat(F.lit("null|"), F.coalesce("text", F.lit("")))  # rows without an id are dealt by their text
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), none)))
     sized = stored(
         docs.select(
             whole_row(docs.select(*carry)).alias("row"),

@@ -74,32 +74,39 @@ levels AS (
     FROM levels l WHERE n < (SELECT count(*) + 1 FROM ranked)),
 targets AS (
     SELECT ranked.*, least(weight * (SELECT max(level) FROM levels), 2.0::DOUBLE * source_size) AS target FROM ranked),
-total AS (
-    SELECT sum(target) AS words, least(65536, greatest(1, ceil(sum(target) / 100000)))::BIGINT AS block FROM targets),
+total AS (SELECT least(65536, greatest(1, ceil(sum(target) / 100000)))::BIGINT AS common FROM targets),
+blocks AS (
+    SELECT *, least(common, greatest(1, floor(target / (ceil(n_docs / 8000.0) * 32))))::BIGINT AS block
+    FROM targets, total),
+pools AS (
+    SELECT *, CASE WHEN block = common THEN 0 ELSE source_no END AS pool,
+        CASE WHEN block = common THEN floor(sum(target) OVER (PARTITION BY block = common) / block + 0.5)
+            ELSE floor(target / block + 0.5) END AS seats
+    FROM blocks),
 dealt AS (
-    SELECT docs.*, source_no, source_size, target,
+    SELECT docs.*, source_no, source_size, target, block, pool, seats,
         ('0x' || substr(key, 1, 8))::BIGINT % ceil(n_docs / 8000.0)::BIGINT AS shard
-    FROM docs JOIN targets ON docs.source IS NOT DISTINCT FROM targets.source),
+    FROM docs JOIN pools ON docs.source IS NOT DISTINCT FROM pools.source),
 shards AS (
-    SELECT source_no, shard, sum(size)::BIGINT AS shard_size,
+    SELECT source_no, shard, block, pool, seats, sum(size)::BIGINT AS shard_size,
         CASE WHEN any_value(source_size) > 0 THEN any_value(target) * sum(size) / any_value(source_size) ELSE 0 END AS votes
-    FROM dealt GROUP BY source_no, shard),
+    FROM dealt GROUP BY ALL),
 bids AS (
-    SELECT source_no, shard, votes, unnest(range(0, ceil(2.0 * shard_size / (SELECT block FROM total))::BIGINT)) AS k
-    FROM shards),
+    SELECT source_no, shard, pool, seats, votes, unnest(range(0, ceil(2.0 * shard_size / block)::BIGINT)) AS k FROM shards),
 won AS (
     SELECT source_no, shard, count(*) AS quota FROM (
-        SELECT *, row_number() OVER (ORDER BY votes / (2 * k + 1) DESC, source_no, shard, k) AS place FROM bids)
-    WHERE place <= floor((SELECT words / block FROM total) + 0.5) GROUP BY source_no, shard),
+        SELECT *, row_number() OVER (PARTITION BY pool ORDER BY votes / (2 * k + 1) DESC, source_no, shard, k) AS place
+        FROM bids)
+    WHERE place <= seats GROUP BY source_no, shard),
 laid AS (
-    SELECT dealt.*, shard_size, least(coalesce(quota, 0) * (SELECT block FROM total), 2 * shard_size)::BIGINT AS words,
+    SELECT dealt.*, shard_size, least(coalesce(quota, 0) * dealt.block, 2 * shard_size)::BIGINT AS words,
         sum(size) OVER (PARTITION BY dealt.source_no, dealt.shard ORDER BY key, size)::BIGINT AS stop_at,
         ('0x' || substr(md5('42|' || coalesce(source, 'null') || '|' || dealt.shard), 1, 8))::BIGINT AS draw
-    FROM dealt JOIN shards USING (source_no, shard) LEFT JOIN won USING (source_no, shard)),
+    FROM dealt JOIN (SELECT source_no, shard, shard_size FROM shards) USING (source_no, shard) LEFT JOIN won USING (source_no, shard)),
 placed AS (
     SELECT *, CASE WHEN shard_size > 0 THEN words // shard_size ELSE 0 END AS rounds,
         CASE WHEN shard_size > 0 THEN words % shard_size ELSE 0 END AS rest,
-        CASE WHEN shard_size > 0 THEN draw % shard_size - (draw % shard_size) % (SELECT block FROM total) ELSE 0 END AS place
+        CASE WHEN shard_size > 0 THEN draw % shard_size - (draw % shard_size) % block ELSE 0 END AS place
     FROM laid)
 SELECT doc_id, size, source_size, round(target, 6) AS target,
     (rounds * size
@@ -149,9 +156,11 @@ damaged AS (
         unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
     FROM shown WHERE kind <> 0),
 judged AS (
-    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
             WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 THEN 'duplicate'
-            WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault
+            WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE '' END AS fault
     FROM damaged),
 convs AS (SELECT conv_id, row_number() OVER () AS conv FROM (SELECT DISTINCT conv_id FROM conversations)),
 turns AS (

@@ -17,7 +17,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,8 +67,10 @@ def fit_weights(seen: DataFrame, labels: DataFrame, sample: int, seed: int = 42)
     """
     marks = labels.select(F.col("doc_id").alias("doc"), F.col("quality").cast("double").alias("good")).dropna()
     draw = F.xxhash64(F.lit(seed), "doc", "good")
-    drawn = marks.withColumn("draw", draw).orderBy("draw").limit(sample)
-    rows = seen.join(drawn, "doc").select("draw", "good", "shape").collect()
+    number = F.row_number().over(Window.orderBy("draw"))  # of at most ``sample`` rows
+    drawn = marks.withColumn("draw", draw).orderBy("draw").limit(sample).withColumn("number", number)
+    each = seen.join(F.broadcast(drawn), "doc").groupBy("number", "draw", "good").agg(F.min("shape").alias("shape"))
+    rows = each.select("draw", "good", "shape").collect()
     rows.sort(key=lambda r: (r["draw"], r["shape"]))
     if not rows:
         return [0.0] * (2 * len(SHAPES) + 1), 0.5

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,13 +70,16 @@ def fit_chain(
     """A chain for the 0/1 columns ``categories`` of ``labels(doc_id, ...)``, which is fitted in that order.
 
     A term joins the vocabulary of a category when at least ``min_docs`` documents have it and its chi-square is
-    above ``min_gain``, so that rare terms do not enter by chance.  Labels that are null in a category are not used; a document that is labelled twice counts twice.
+    above ``min_gain``, so that rare terms do not enter by chance.  Labels that are null in a category are not used; a document that is labelled twice counts
+    twice, one of several rows with an id is taken: the driver gets at most ``sample`` rows.
     """
     marks = F.array(*[F.col(c).cast("int") for c in categories])
     drawn = labels.select("doc_id", marks.alias("marks"), F.xxhash64(F.lit(seed), "doc_id", marks).alias("draw"))
     drawn = drawn.filter(~F.exists("marks", lambda m: m.isNull())).filter(F.col("doc_id").isNotNull())
-    drawn = stored(drawn.orderBy("draw").limit(sample), "drawn-labels")
-    texts = docs.select("doc_id", "text").join(drawn, "doc_id").select("draw", "marks", "text")
+    number = F.row_number().over(Window.orderBy("draw"))  # of at most ``sample`` rows
+    drawn = stored(drawn.orderBy("draw").limit(sample).withColumn("number", number), "drawn-labels")
+    texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").groupBy("number", "draw", "marks")
+    texts = texts.agg(F.min_by("text", F.xxhash64("text")).alias("text")).drop("number")
     seen = stored(map_in_arrow(texts, _words, "draw bigint, marks array<int>, words array<string>"), "label-words")
 
     n = seen.count()
