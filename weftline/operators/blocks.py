@@ -25,7 +25,7 @@ from weftline.operators.ranking import numbered, top_k_per_group
 from weftline.operators.search import (
     SearchIndex, buckets_for, doc_norms, query_weights, ranked, read_buckets, rows_of_terms, write_buckets, write_by_term,
 )
-from weftline.session import drop_stored, write_stored
+from weftline.session import drop_stored, store_counted, write_stored
 
 #: Scores that agree to nine decimals are ties, so a block that comes this near is read.
 NEAR = 1e-8
@@ -43,18 +43,14 @@ class BlockIndex:
     def save(index: SearchIndex, path: str, block_docs: int = 8, buckets: int | None = None) -> None:
         """Write ``index`` in blocks of ``block_docs`` documents.  Weights of 0 add nothing and are not written."""
         spark = index.postings.sparkSession
-        postings, stored_at = write_stored(index.postings, "postings")
+        postings, stored_at, seen = store_counted(index.postings.select("doc_id", "term", "tf", "tfidf"), "postings")
+        buckets = buckets or buckets_for(-(-seen["n"] // 8))
         places = numbered(doc_norms(postings), [F.col("norm"), F.col("doc_id")], "place")
         block = F.floor((F.col("place") - 1) / block_docs).cast("bigint").alias("block")
-        entry = F.struct("doc_id", "weight")
-        blocks = (
-            postings.filter("weight > 0")
-            .join(places.select("doc_id", block), "doc_id")
-            .groupBy("term", "block")
-            .agg(F.count("*").alias("n"), F.max("weight").alias("top"), F.array_sort(F.collect_list(entry)).alias("entries"))
-        )
-        buckets = buckets or buckets_for(-(-postings.count() // 8))
-        write_by_term(blocks, f"{path}/blocks", ["term", "block"], buckets)
+        weight = (F.col("tfidf") / F.col("norm")).alias("weight")
+        entries = postings.filter("tfidf > 0").join(places.select("doc_id", "norm", block), "doc_id")
+        dealt = entries.select("term", "block", F.struct("doc_id", weight).alias("entry"))
+        write_by_term(dealt, f"{path}/blocks", ["term", "block"], buckets, grouped=_as_blocks)
         terms = postings.groupBy("term").agg(F.count("*").alias("df"), F.max(F.col("tfidf") / F.col("tf")).alias("idf"))
         terms.write.mode("overwrite").parquet(f"{path}/terms")
         write_buckets(spark, path, buckets)
@@ -67,6 +63,12 @@ class BlockIndex:
         return BlockIndex(blocks, terms, read_buckets(spark, path))
 
 
+def _as_blocks(dealt: DataFrame) -> DataFrame:
+    """One row for a term and block, made where the range partitioning has put its entries: no further shuffle."""
+    entries = F.array_sort(F.collect_list("entry")).alias("entries")
+    return dealt.groupBy("bucket", "term", "block").agg(F.count("*").alias("n"), F.max("entry.weight").alias("top"), entries)
+
+
 def block_bounds(weighed: DataFrame, blocks: DataFrame) -> DataFrame:
     """(query_id, block, bound): no document of the block scores more for the query.  Only largest weights are read."""
     met = blocks.select("term", "block", "top").join(weighed, "term")

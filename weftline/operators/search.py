@@ -8,7 +8,7 @@ skewed partitions otherwise.  A saved index lies in buckets of terms; a search r
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -98,12 +98,16 @@ def buckets_for(n_rows: int) -> int:
     return min(MAX_BUCKETS, 1 << max(0, -(-n_rows // BUCKET_ROWS) - 1).bit_length())
 
 
-def write_by_term(rows: DataFrame, path: str, order: Sequence[str], buckets: int) -> None:
+def write_by_term(
+    rows: DataFrame, path: str, order: Sequence[str], buckets: int, grouped: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
     """Write ``rows(term, ...)`` as Parquet, in ``buckets`` folders by term and sorted by ``order`` inside.
 
-    The range partitioning is over the bucket and the order, so a term of many rows spans several files.
+    The range partitioning is over the bucket and the order, so a term of many rows spans several files.  ``grouped`` may
+    group the rows by bucket and order once they are dealt.
     """
     placed = rows.withColumn("bucket", term_bucket("term", buckets)).repartitionByRange("bucket", *order)
+    placed = grouped(placed) if grouped else placed
     placed.sortWithinPartitions("bucket", *order).write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 

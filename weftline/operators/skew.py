@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 100_000
 MIN_HOT_ROWS = 1_000_000
-MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 16 << 20
 SALT = "__salt"
 SALTS = "__salts"
 
@@ -38,12 +38,14 @@ def hot_keys(counts: DataFrame, key: str, min_hot_rows: int = MIN_HOT_ROWS) -> D
     return hot.select(key, F.ceil(F.col("n_rows") / min_hot_rows).cast("int").alias(SALTS))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if a count finds it small; a larger table is left to an ordinary join.
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` if its rows add up to few bytes; a larger table is left to an ordinary join.
 
-    Meant for materialised tables of a few short columns, where counting costs little.
+    Strings count by their length, however long they are.  Meant for materialised tables, where adding up costs little.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    size = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
+    total = df.agg(F.sum(sum(size, F.lit(16)).cast("bigint"))).first()[0] or 0
+    return F.broadcast(df) if total <= max_bytes else df
 
 
 def salt_rows(df: DataFrame, hot: DataFrame, key: str, spread: Sequence[str]) -> DataFrame:

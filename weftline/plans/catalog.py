@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from weftline.functions.scalars import id_order
 from weftline.functions.text import search_tokens
 from weftline.functions.wordlists import BATCH_ENTITY_LABELS
-from weftline.operators import blocks, classify, entities, graph, names, sampling, search, segments, social
+from weftline.operators import blocks, classify, entities, everyone, graph, names, sampling, search, segments, social
 from weftline.operators.ranking import numbered
 from weftline.plans import tables
 from weftline.session import materialise, scratch_path
@@ -255,6 +255,12 @@ def recommend_topk(spark, sf_dir):
     return social.recommend(friend_lists(spark, sf_dir), requested_users(spark, sf_dir))
 
 
+@query
+def recommend_all(spark, sf_dir):
+    """The ten best candidates of every user."""
+    return everyone.recommend_everyone(friend_lists(spark, sf_dir))
+
+
 @query
 def recommend_lines(spark, sf_dir):
     lists = social.recommendation_lists(recommend_topk(spark, sf_dir)).orderBy(*id_order("user"))

@@ -211,6 +211,7 @@ ORACLE["existing_friendships"] = f"WITH {EXISTING} SELECT * FROM existing"
 ORACLE["mutual_friend_counts"] = f"WITH {MUTUAL} SELECT * FROM mutual"
 ORACLE["candidate_counts"] = f"WITH {CANDIDATES} SELECT * FROM candidates"
 ORACLE["recommend_topk"] = f"WITH {RECOMMENDED} SELECT * FROM recommended"
+ORACLE["recommend_all"] = ORACLE["recommend_topk"].replace("""ORDER BY md5('42|' || "user"), "user" LIMIT 10""", "")
 ORACLE["recommend_lines"] = LINES
 ORACLE["recommendation_file"] = LINES
 ORACLE["recommend_from_lines"] = """
