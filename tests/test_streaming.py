@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from weftline.operators.entities import capitalised_words, entity_counts, entity_mentions, model_extractor
 from weftline.streaming import counts as C
+from weftline.streaming.batch_log import BatchLog
 from weftline.streaming import messages as M
 
 
@@ -42,7 +43,7 @@ def test_update_mode_sends_changed_totals_only(spark, tmp_path):
     run(spark, source, tmp_path)
     put(source, "2", message("Rome"))
     run(spark, source, tmp_path)
-    log = spark.read.schema(C.COUNT_LOG_SCHEMA).parquet(str(tmp_path / "counts"))
+    log = BatchLog(spark, str(tmp_path / "counts")).read("counts", C.COUNT_SCHEMA)
     assert sorted(map(tuple, log.collect())) == [("Paris", 1, 0), ("Rome", 1, 0), ("Rome", 2, 1)]
 
 
@@ -149,12 +150,91 @@ def test_a_model_is_loaded_once_per_worker(spark, tmp_path):
 def test_a_log_without_batches_is_empty_and_a_folded_one_the_same(spark, tmp_path):
     path = str(tmp_path / "log")
     assert C.latest_counts(spark, path).collect() == []
+    log = BatchLog(spark, path)
     for i, rows in enumerate([[("a", 1), ("b", 1)], [("a", 2)], [("c", 1), ("b", 3)], [("a", 7)]]):
-        spark.createDataFrame(rows, "entity string, count bigint").write.parquet(f"{path}/batch_id={i}")
+        assert log.write(i, {"counts": spark.createDataFrame(rows, "entity string, count bigint")})
     before = sorted(C.latest_counts(spark, path).collect())
+    early = C.latest_counts(spark, path)  # a reader that has looked before the fold
     C.fold_counts(spark, path, upto=2)
-    assert sorted(os.listdir(path)) == ["batch_id=2", "batch_id=3"]
+    assert sorted(C.latest_counts(spark, path).collect()) == sorted(early.collect()) == before
+    log.vacuum()
+    assert sorted(os.listdir(f"{path}/counts/batch")) == ["3"] and os.listdir(f"{path}/counts/base") == ["2"]
     assert sorted(C.latest_counts(spark, path).collect()) == before
+    C.fold_counts(spark, path, upto=3)
+    C.fold_counts(spark, path, upto=1)  # covered already
+    assert sorted(C.latest_counts(spark, path).collect()) == before
+
+
+def test_a_fold_that_fails_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "log")
+    log = BatchLog(spark, path)
+    for i in range(3):
+        log.write(i, {"counts": spark.createDataFrame([("a", i)], "entity string, count bigint")})
+    monkeypatch.setattr("weftline.streaming.batch_log.make_folder", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        C.fold_counts(spark, path, upto=1)
+    assert log.base() == -1 and C.latest_counts(spark, path).collect() == [("a", 2)]
+
+
+SENT = "id string, created_utc double, text string"
+
+
+def sent_stream(spark, folder, batches):
+    """Messages in one file per batch, taken one file at a time in order of time."""
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, SENT).coalesce(1).write.mode("append").parquet(f"{folder}/{i:03}")
+    return spark.readStream.schema(SENT).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(folder)
+
+
+def test_repeated_messages_count_once_and_state_stays_bounded(spark, tmp_path):
+    start = 1_700_000_000.0
+    batches = []
+    for i in range(10):  # each batch sends the one before again
+        rows = [(f"{i}-{j}", start + 3600 * i + j, "Anna met Ben") for j in range(20)]
+        batches.append(rows + (batches[-1][:20] if batches else []))
+    stream = sent_stream(spark, str(tmp_path / "in"), batches)
+    once = C.without_repeats(stream, late="2 hours")
+    query = C.delta_writer(once, str(tmp_path / "log"), str(tmp_path / "c"), labels=None).trigger(availableNow=True).start()
+    query.awaitTermination()
+    rows = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert len(rows) >= 10 and max(rows) <= 100 < 200
+    totals = C.window_totals(spark, str(tmp_path / "log")).groupBy("entity").agg(F.sum("count").alias("n"))
+    assert {tuple(r) for r in totals.collect()} == {("Anna", 200), ("Ben", 200)}
+    log = BatchLog(spark, str(tmp_path / "log"))
+    assert log.read("accepted", C.ACCEPTED_SCHEMA).count() == 200
+    C.fold_deltas(spark, str(tmp_path / "log"), upto=log.committed()[5])
+    log.vacuum()
+    assert log.read("accepted", C.ACCEPTED_SCHEMA).select("id").distinct().count() == 200
+    again = C.window_totals(spark, str(tmp_path / "log"))
+    assert again.agg(F.sum("count")).first()[0] == 400 and again.count() == 20
+
+
+def test_a_failure_between_two_sinks_leaves_no_doubles(spark, tmp_path, monkeypatch):
+    batches = [[(f"{i}-{j}", 1.7e9 + i, "Anna met Ben") for j in range(5)] for i in range(3)]
+    stream = sent_stream(spark, str(tmp_path / "in"), batches)
+    path, checkpoint = str(tmp_path / "log"), str(tmp_path / "c")
+
+    def run():
+        C.run_available(C.delta_writer(C.without_repeats(stream), path, checkpoint, labels=None))
+
+    real = BatchLog.write
+
+    def breaks(self, batch_id, tables):
+        if batch_id == 1:
+            tables["deltas"].write.parquet(f"{self.path}/deltas/batch/1")
+            raise OSError("disk full")
+        return real(self, batch_id, tables)
+
+    monkeypatch.setattr(BatchLog, "write", breaks)
+    with pytest.raises(Exception, match="disk full"):
+        run()
+    log = BatchLog(spark, path)
+    assert log.committed() == [0] and C.window_totals(spark, path).agg(F.sum("count")).first()[0] == 10
+    monkeypatch.setattr(BatchLog, "write", real)
+    run()
+    assert C.window_totals(spark, path).agg(F.sum("count")).first()[0] == 30
+    assert sorted(r.id for r in log.read("accepted", C.ACCEPTED_SCHEMA).collect()) == sorted(r[0] for b in batches for r in b)
+    assert not log.write(1, {"deltas": None, "accepted": None})  # delivered again after its commit
 
 
 def test_await_first_raises_the_error_of_a_failed_query(spark, tmp_path):

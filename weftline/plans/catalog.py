@@ -562,6 +562,37 @@ def stream_in_batches(spark, sf_dir):
     return streamed_counts(spark, stream.parquet(f"{path}/documents"), path)
 
 
+def sent_messages(docs: DataFrame) -> DataFrame:
+    """Documents as messages of the same hour."""
+    seconds = (F.lit(1.7e9) + F.col("doc_id") % 600).alias("created_utc")
+    return docs.select(F.col("doc_id").cast("string").alias("id"), seconds, "text")
+
+
+def sent_twice(spark, sf_dir) -> str:
+    """The log of a stream in which every message is delivered twice; each batch is in both sinks once."""
+    path = scratch_path(spark, "deltas")
+    sent = sent_messages(tables.documents(spark, sf_dir))
+    for _ in range(2):
+        sent.repartition(2, "id").write.mode("append").parquet(f"{path}/messages")
+        stream = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/messages")
+        once = stream_counts.without_repeats(stream)
+        stream_counts.run_available(stream_counts.delta_writer(once, f"{path}/log", f"{path}/checkpoint", labels=None))
+    stream_counts.fold_deltas(spark, f"{path}/log", upto=1)
+    return f"{path}/log"
+
+
+@query
+def stream_counts_once(spark, sf_dir):
+    totals = stream_counts.window_totals(spark, sent_twice(spark, sf_dir))
+    return totals.groupBy("entity").agg(F.sum("count").alias("count"))
+
+
+@query
+def stream_accepted_ids(spark, sf_dir):
+    log = stream_counts.BatchLog(spark, sent_twice(spark, sf_dir))
+    return log.read(stream_counts.ACCEPTED, stream_counts.ACCEPTED_SCHEMA).select("id", F.unix_timestamp("event_time").alias("seconds"))
+
+
 # --- folders ----------------------------------------------------------------------------------------
 
 

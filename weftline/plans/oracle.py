@@ -420,6 +420,8 @@ FROM (
 WHERE length(text) >= 10"""
 ORACLE["stream_entity_counts"] = f"WITH {ENTITIES} SELECT * FROM entities"
 ORACLE["stream_in_batches"] = f"WITH {ENTITIES} SELECT entity, 2 * count AS count FROM entities"
+ORACLE["stream_counts_once"] = ORACLE["stream_entity_counts"]
+ORACLE["stream_accepted_ids"] = "SELECT doc_id::VARCHAR AS id, 1700000000 + doc_id % 600 AS seconds FROM documents"
 ORACLE["timed_count_messages"] = f"""
 WITH {ENTITIES} SELECT entity AS entity_name, count AS entity_count, '2024-01-02 03:04:05' AS ts FROM entities"""
 ORACLE["search_hot_terms"] = ORACLE["tfidf"]

@@ -90,6 +90,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(where)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    files.mkdirs(where)
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in a folder; none where there is no such folder."""
     files, where = _file_system(spark, path)
