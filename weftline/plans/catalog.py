@@ -14,10 +14,12 @@ from pyspark.sql import types as T
 from weftline.functions.scalars import id_order
 from weftline.functions.text import search_tokens
 from weftline.functions.wordlists import BATCH_ENTITY_LABELS
-from weftline.operators import blocks, classify, entities, everyone, graph, names, sampling, search, segments, social
+from weftline.operators import (
+    blocks, classify, entities, everyone, graph, growing_graph, names, sampling, search, segments, sketches, social, top_counts,
+)
 from weftline.operators.ranking import numbered
 from weftline.plans import tables
-from weftline.session import materialise, scratch_path
+from weftline.session import materialise, scratch_path, stored
 from weftline.sources import directories, lines, sinks
 from weftline.streaming import counts as stream_counts
 from weftline.streaming import messages
@@ -188,6 +190,17 @@ def name_counts(spark, sf_dir):
     return names.name_counts(found_names(spark, sf_dir))
 
 
+@query
+def entity_counts_of_parts(spark, sf_dir):
+    """The 20 most frequent entities from stored counts of each source."""
+    docs = tables.table(spark, sf_dir, "documents")
+    found = docs.select("source", F.explode(entities.capitalised_words("text")).alias("mention"))
+    path = scratch_path(spark, "partial-counts")
+    top_counts.write_partial_counts(found.select("source", F.col("mention.text").alias("entity")), path, "source", "entity")
+    partials = spark.read.schema("key string, count bigint, part string").parquet(path)
+    return top_counts.top_counts(partials, 20).withColumnRenamed("key", "entity")
+
+
 # --- sampling and splitting -------------------------------------------------------------------------
 
 
@@ -325,6 +338,17 @@ def vocabulary_size(spark, sf_dir):
     return words.agg(F.count("*").alias("n_vocabulary"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_words"))
 
 
+@query
+def vocabulary_sketches(spark, sf_dir):
+    """The vocabulary from united sketches of the classes, against the exact number: off by five standard errors at most."""
+    words = news_train(spark, sf_dir).select("label", F.explode("tokens").alias("word"))
+    stored_sketches = stored(sketches.distinct_sketches(words, "label", "word"), "word-sketches")
+    estimate = sketches.distinct_estimate(stored_sketches).scalar()
+    exact = vocabulary_size(spark, sf_dir).select("n_vocabulary")
+    off = F.abs(estimate - F.col("n_vocabulary")) / F.col("n_vocabulary")
+    return exact.withColumn("near", off <= 5 * sketches.standard_error())
+
+
 @query
 def nb_predict(spark, sf_dir):
     return rounded(predictions(spark, sf_dir), "score", digits=4)
@@ -413,6 +437,16 @@ def component_sizes_top5(spark, sf_dir):
     return graph.top_by(component_sizes(spark, sf_dir), "count", id_col="component")
 
 
+@query
+def components_growing(spark, sf_dir):
+    """The components of the order graph, whose edges come in four parts."""
+    edges = tables.order_edges(spark, sf_dir)
+    growing = growing_graph.GrowingComponents(spark, scratch_path(spark, "components"))
+    for part in range(4):
+        growing.append(edges.filter(F.col("src") % 4 == part))
+    return growing.labels()
+
+
 @query
 def triangle_counts(spark, sf_dir):
     return graph.triangle_count(*supply_graph(spark, sf_dir))
@@ -504,6 +538,30 @@ def message_round_trip(spark, sf_dir):
     return messages.decode_messages(document_messages(tables.table(spark, sf_dir, "documents")))
 
 
+def judged_documents(spark, sf_dir) -> DataFrame:
+    """Documents as messages of which four in seven are cut off, a list, mistyped or longer by a field."""
+    docs, kind = tables.table(spark, sf_dir, "documents"), F.col("doc_id") % 7
+    fields = [F.col("doc_id").cast("string").alias("id"), F.col("source").alias("author"), "text", F.col("lang").alias("subreddit")]
+    good = F.to_json(F.struct(*fields, F.lit(0.5).alias("created_utc")))
+    value = (
+        F.when(kind == 0, F.substring(good, 1, 12)).when(kind == 1, F.concat(F.lit("["), good, F.lit("]")))
+        .when(kind == 2, F.to_json(F.struct(*fields, F.lit("soon").alias("created_utc"))))
+        .when(kind == 3, F.to_json(F.struct(*fields, F.lit(0.5).alias("created_utc"), F.lit(1).alias("likes"))))
+        .otherwise(good)
+    )
+    return messages.judged_messages(docs.select(value.alias("value")))
+
+
+@query
+def messages_accepted(spark, sf_dir):
+    return messages.accepted_messages(judged_documents(spark, sf_dir))
+
+
+@query
+def messages_rejected(spark, sf_dir):
+    return messages.rejected_messages(judged_documents(spark, sf_dir)).groupBy("reason").agg(F.count("*").alias("n"))
+
+
 @query
 def json_encode(spark, sf_dir):
     counts = entities.count_entities(entities.entity_mentions(tables.documents(spark, sf_dir)))

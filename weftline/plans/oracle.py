@@ -116,6 +116,7 @@ entities AS (
   SELECT entity, count(*) AS count FROM (SELECT unnest({capitalised('text')}) AS entity FROM documents) GROUP BY entity)"""
 
 ORACLE["entity_counts_top20"] = f"WITH {ENTITIES} SELECT * FROM entities ORDER BY count DESC, entity LIMIT 20"
+ORACLE["entity_counts_of_parts"] = ORACLE["entity_counts_top20"]
 ORACLE["entity_counts_labelled"] = f"""
 WITH {ENTITIES},
 gazetteer AS (
@@ -307,6 +308,7 @@ ORACLE["word_class_counts"] = f"WITH {NEWS} SELECT * FROM counts"
 ORACLE["class_word_totals"] = f"WITH {NEWS} SELECT * FROM totals"
 ORACLE["vocabulary_size"] = f"""
 WITH {NEWS} SELECT count(DISTINCT word) AS n_vocabulary, sum(n)::BIGINT AS n_words FROM counts"""
+ORACLE["vocabulary_sketches"] = f"SELECT n_vocabulary, true AS near FROM ({ORACLE['vocabulary_size']})"
 ORACLE["nb_predict"] = f"WITH {PREDICTED} SELECT doc_id, label, predicted, round(score, 4) AS score FROM predictions"
 ORACLE["nb_quality_predict"] = f"""
 WITH {predicted(BY_QUALITY)} SELECT doc_id, label, predicted, round(score, 4) AS score FROM predictions"""
@@ -382,6 +384,7 @@ ORACLE["csv_out_degrees"] = OUT_DEGREES
 ORACLE["pagerank"] = PAGERANK
 ORACLE["pagerank_top5"] = f"{PAGERANK} ORDER BY pagerank DESC, id LIMIT 5"
 ORACLE["components"] = COMPONENTS
+ORACLE["components_growing"] = COMPONENTS
 ORACLE["component_sizes"] = COMPONENT_SIZES
 ORACLE["component_sizes_top5"] = f"{COMPONENT_SIZES} ORDER BY count DESC, component LIMIT 5"
 ORACLE["triangle_counts"] = TRIANGLES
@@ -408,6 +411,10 @@ FROM lineitem WHERE l_linenumber > 3"""
 ORACLE["json_decode"] = "SELECT (props::JSON->>'k')::BIGINT AS k, count(*) AS n FROM events GROUP BY 1"
 ORACLE["message_round_trip"] = """
 SELECT doc_id::VARCHAR AS id, source AS author, 0.5::DOUBLE AS created_utc, text, lang AS subreddit FROM documents"""
+ORACLE["messages_accepted"] = ORACLE["message_round_trip"] + " WHERE doc_id % 7 > 2"
+ORACLE["messages_rejected"] = """
+SELECT CASE doc_id % 7 WHEN 0 THEN 'no JSON' WHEN 1 THEN 'no object' ELSE 'type of created_utc' END AS reason, count(*) AS n
+FROM documents WHERE doc_id % 7 <= 2 GROUP BY 1"""
 ORACLE["json_encode"] = f"""
 WITH {ENTITIES} SELECT entity AS key, to_json({{'entity': entity, 'count': count}})::VARCHAR AS value FROM entities"""
 ORACLE["index_records"] = f"WITH {ENTITIES} SELECT entity AS entity_name, count AS entity_count FROM entities"

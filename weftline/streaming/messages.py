@@ -28,6 +28,36 @@ def decode_messages(raw: DataFrame, schema: T.StructType = MESSAGE_SCHEMA, value
     return raw.select(F.from_json(F.col(value).cast("string"), schema).alias("j")).select("j.*")
 
 
+def judged_messages(raw: DataFrame, schema: T.StructType = MESSAGE_SCHEMA, value: str = "value") -> DataFrame:
+    """``raw`` with the fields of ``schema`` and ``reason``: why a message is rejected, NULL for one that is accepted.
+
+    A message is rejected when it is missing, is no JSON, is no object, or has a value of a field that is none of the
+    field's type.  Fields that are not there are NULL, fields beyond the schema do no harm.  Every message is one row.
+    """
+    text = F.col(value).cast("string")
+    parsed = raw.withColumn("__json", F.try_parse_json(text))
+    fields = {f.name: F.try_variant_get("__json", f"$.{f.name}", f.dataType.simpleString()) for f in schema.fields}
+    reason = (
+        F.when(text.isNull(), "missing")
+        .when(F.col("__json").isNull(), "no JSON")
+        .when(~F.startswith(F.schema_of_variant("__json"), F.lit("OBJECT")), "no object")
+    )
+    for name, found in fields.items():
+        given = F.try_variant_get("__json", f"$.{name}", "variant")
+        reason = reason.when(found.isNull() & given.isNotNull() & ~F.is_variant_null(given), f"type of {name}")
+    return parsed.select(*raw.columns, *[found.alias(name) for name, found in fields.items()], reason.alias("reason"))
+
+
+def accepted_messages(judged: DataFrame, schema: T.StructType = MESSAGE_SCHEMA) -> DataFrame:
+    """The fields of the accepted ones of ``judged_messages``."""
+    return judged.filter("reason is null").select(*schema.names)
+
+
+def rejected_messages(judged: DataFrame, value: str = "value") -> DataFrame:
+    """(value, reason) of the rejected ones of ``judged_messages``."""
+    return judged.filter("reason is not null").select(F.col(value).cast("string").alias("value"), "reason")
+
+
 def encode_messages(df: DataFrame, key: str | None = None) -> DataFrame:
     """``value``: each row as JSON; ``key`` names a column to send as the message key."""
     value = F.to_json(F.struct(*df.columns)).alias("value")
