@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from weftline.llm import decontamination, language, mixing, simhash, token_files
 from weftline.llm.queries import END_ID, byte_bpe, table
-from weftline.session import scratch_path, stored
+from weftline.session import drop_stored, freed_afterwards, scratch_path
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +54,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table of documents."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with freed_afterwards(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.option("compression", "zstd").parquet(path)
+        if before:
+            drop_stored(spark, before)
+        docs, before = spark.read.schema(kept.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,12 +6,15 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
+_SCOPES: list[list[str]] = []
 
 
 def build_session(app_name: str = "weftline", master: str | None = None, **conf: object) -> SparkSession:
@@ -52,7 +55,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the checkpoint folder, for tables written between two jobs."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def freed_afterwards(spark: SparkSession) -> Iterator[None]:
+    """Whatever operators store inside is deleted at the end.
+
+    Results are read from such tables, so write or collect them inside, to a path that is from outside.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            drop_stored(spark, path)
 
 
 def materialise(df: DataFrame) -> DataFrame:
