@@ -3,9 +3,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
-from weftline.llm.substrings import WINDOW, remove_repeats, runs_of, windows_of
+from weftline.llm.substrings import PIECE, WINDOW, pieces_of, remove_repeats, runs_of, windows_of
+from weftline.session import checkpoint_dir, folder_names, freed_afterwards
 
 
 def plain_removal(rows):
@@ -49,16 +51,16 @@ def passages(seed, n, small=False):
     return rows
 
 
-@pytest.mark.parametrize("bucket_runs", [1, 2_000])
-def test_removal_equals_the_dictionary(documents, bucket_runs):
+@pytest.mark.parametrize("bucket_windows", [1, 40_000])
+def test_removal_equals_the_dictionary(documents, bucket_windows):
     rows = passages(1, 60)
-    assert results(remove_repeats(documents(rows), bucket_runs)) == plain_removal(rows)
+    assert results(remove_repeats(documents(rows), bucket_windows)) == plain_removal(rows)
 
 
-@pytest.mark.parametrize("bucket_runs", [3, 2_000])
-def test_few_different_words(documents, bucket_runs):
+@pytest.mark.parametrize("bucket_windows", [3, 40_000])
+def test_few_different_words(documents, bucket_windows):
     rows = [*passages(2, 25, small=True), (3, "a " * 300), (9, "a " * 120), (1, "a " * 49), (2, "a b " * 60)]
-    assert results(remove_repeats(documents(rows), bucket_runs)) == plain_removal(rows)
+    assert results(remove_repeats(documents(rows), bucket_windows)) == plain_removal(rows)
 
 
 def test_awkward_rows(awkward, no_documents):
@@ -74,3 +76,30 @@ def test_runs_hold_every_window_once():
     assert (mins[1:] != mins[:-1]).all()
     joined = b" ".join(words[:60])
     assert windows_of(joined) == [b" ".join(words[i : i + WINDOW]) for i in range(11)]
+
+
+def test_one_word_again_and_again(documents):
+    """Long runs are cut into equal pieces: the memory of a bucket follows its windows, which are few different ones."""
+    word = "word" + "x" * 20
+    long = " ".join([word] * 200_000)
+    found = remove_repeats(documents([(1, long), (2, long + " end"), (3, "start " + long)])).collect()
+    counts = {r["row"]["doc_id"]: (r.n_words, r.n_removed) for r in found}
+    assert counts == {1: (200_000, 0), 2: (200_001, 200_000), 3: (200_001, 200_000)}
+
+
+def test_pieces_cover_a_run_once():
+    mins, firsts, counts = pieces_of(np.array([7, 8, 9]), np.array([0, 5000, 5001]), np.array([5000, 1, PIECE]))
+    assert mins.tolist() == [7, 7, 7, 8, 9] and firsts.tolist() == [0, 2000, 4000, 5000, 5001]
+    assert counts.tolist() == [2000, 2000, 1000, 1, 2000]
+
+
+def test_no_tables_are_left_over(spark, documents, tmp_path):
+    text = " ".join(f"w{i}" for i in range(80))
+    tables = lambda: {n for n in folder_names(spark, checkpoint_dir(spark)) if "-" in n}
+    before = tables()
+    with freed_afterwards(spark):
+        cut = remove_repeats(documents([(1, text), (2, text + " end")]), carry=["doc_id"])
+        assert tables() > before
+        cut.select("row.doc_id", "n_removed").write.parquet(str(tmp_path / "cut"))
+    assert tables() == before
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "cut")).collect())) == [(1, 0), (2, 80)]

@@ -9,7 +9,7 @@ equal windows have equal minimisers, so they lie in runs of the same bucket.
    the run start first in the smallest document that has the run: later documents lose them.
 3. Where the runs of a bucket differ, every distinct run travels once, packed as one string, and the bucket
    sorts the windows of its strings: the first document of each window follows exactly.  A bucket of more than
-   ``bucket_runs`` strings is not brought together; its windows are dealt by their own digest instead.
+   ``bucket_windows`` windows is not brought together; its windows are dealt by their own digest instead.
 4. The windows that are to go meet their document again, which is cut.
 
 Copies of a document have the same runs and are pre-aggregated by digest, so a group of any size costs one
@@ -35,6 +35,8 @@ from weftline.session import stored
 
 WINDOW = 50
 MINIMISER = 5
+#: Windows of a run at most; a longer one is cut.
+PIECE = 2_000
 NO_ID = (1 << 63) - 1
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 RUNS = "order_id bigint, tie bigint, mins array<bigint>, digests array<bigint>, firsts array<int>, counts array<int>"
@@ -62,6 +64,17 @@ def runs_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return low[first], first, np.diff(np.append(first, n))
 
 
+def pieces_of(mins: np.ndarray, firsts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same runs, those of more than ``PIECE`` windows in pieces; the words of two pieces overlap by a window less one.
+
+    A text that repeats one word is a single run of any length, and its pieces are equal and counted once.
+    """
+    n = -(-counts // PIECE)
+    place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    pieces = np.minimum(np.repeat(counts, n) - place * PIECE, PIECE)
+    return np.repeat(mins, n), np.repeat(firsts, n) + place * PIECE, pieces
+
+
 def packed(words: list[bytes], first: int, count: int) -> bytes:
     """The words of a run of windows as one string."""
     return b" ".join(words[first : first + count + WINDOW - 1])
@@ -72,7 +85,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [[], [], [], []]
         for text in binary_texts(batch.column("text")):
             words = [] if text is None else text.split()
-            mins, firsts, counts = runs_of(words)
+            mins, firsts, counts = pieces_of(*runs_of(words))
             pairs = zip(firsts.tolist(), counts.tolist(), strict=True)
             digests = [xxhash.xxh64_intdigest(packed(words, first, count)) for first, count in pairs]
             for column, values in zip(columns, (mins, np.array(digests, np.uint64), firsts, counts), strict=True):
@@ -178,7 +191,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def removable(docs: DataFrame, texts: DataFrame, bucket_runs: int) -> DataFrame:
+def removable(docs: DataFrame, texts: DataFrame, bucket_windows: int) -> DataFrame:
     """(order_id, tie, first, n): runs of ``n`` windows from word ``first`` on that start in an earlier document."""
     runs = stored(map_in_arrow(docs.select("order_id", "tie", "text"), _runs, RUNS), "runs")
     names = {"mins": "min", "digests": "digest", "firsts": "first", "counts": "n"}
@@ -202,12 +215,12 @@ def removable(docs: DataFrame, texts: DataFrame, bucket_runs: int) -> DataFrame:
     asked = lowest.groupBy("order_id", "tie").agg(F.collect_list(F.struct("min", "digest", "first", "n")).alias("wanted"))
     asked = texts.join(asked, ["order_id", "tie"]).select("row", "order_id", "text", "wanted")
     strings = map_in_arrow(asked, _strings, "min bigint, digest bigint, owner bigint, packed binary")
-    sizes = lowest.groupBy("min").agg(F.count("*").alias("n_runs"))
+    sizes = lowest.groupBy("min").agg(F.sum("n").alias("n_windows"))
     strings = stored(strings.join(sizes, "min"), "packed-runs")
-    normal = strings.filter(F.col("n_runs") <= bucket_runs).groupBy("min")
+    normal = strings.filter(F.col("n_windows") <= bucket_windows).groupBy("min")
     normal = normal.agg(F.collect_list(F.struct("digest", "owner", "packed")).alias("strings"))
     bad = map_in_arrow(normal, _sort_buckets, BAD)
-    crowded = strings.filter(F.col("n_runs") > bucket_runs).select("min", "digest", "owner", "packed")
+    crowded = strings.filter(F.col("n_windows") > bucket_windows).select("min", "digest", "owner", "packed")
     window = map_in_arrow(crowded, _window_digests, "min bigint, digest bigint, owner bigint, at int, window binary")
     earliest = window.groupBy("window").agg(F.min("owner").alias("earliest"))
     late = window.join(earliest, "window").filter("owner > earliest")
@@ -217,7 +230,7 @@ def removable(docs: DataFrame, texts: DataFrame, bucket_runs: int) -> DataFrame:
     return equal.unionAll(copies).unionAll(own)
 
 
-def remove_repeats(docs: DataFrame, bucket_runs: int = 2_000, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+def remove_repeats(docs: DataFrame, bucket_windows: int = 40_000, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
     """The ``carry`` columns of every row of ``docs(doc_id, text)`` as the struct ``row``, with ``n_words``,
     ``n_removed`` and ``kept``, the words that stay, joined by a space.
 
@@ -232,7 +245,7 @@ def remove_repeats(docs: DataFrame, bucket_runs: int = 2_000, carry: Sequence[st
         "text",
     )
     texts = docs.repartition("order_id", "tie")
-    spans = removable(docs, texts, bucket_runs).groupBy("order_id", "tie")
+    spans = removable(docs, texts, bucket_windows).groupBy("order_id", "tie")
     spans = spans.agg(F.collect_list(F.struct("first", "n")).alias("spans"))
     laid = texts.join(spans, ["order_id", "tie"], "left").select("row", "text", "spans")
     kind = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
