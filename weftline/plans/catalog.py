@@ -5,6 +5,7 @@ A query is a function (spark, sf_dir) -> DataFrame.  Doubles are rounded here, n
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,6 +102,16 @@ def search_with_titles(spark, sf_dir):
     return rounded(search.with_titles(found, tables.page_titles(spark, sf_dir)), "score")
 
 
+@query
+def search_last_title(spark, sf_dir):
+    """Titles as numbered lines, each page with an older line before; the last line of a page is its title."""
+    index = search.build_index(tables.documents(spark, sf_dir)).checkpointed()
+    found = search.search_cosine(tables.phrase_queries(spark, sf_dir), index)
+    titles = tables.page_titles(spark, sf_dir).withColumn("line", 2 * F.col("doc_id") + 1)
+    older = titles.select("doc_id", F.concat(F.lit("zz "), "title").alias("title"), (F.col("line") - 1).alias("line"))
+    return rounded(search.with_titles(found, older.unionByName(titles), line="line"), "score")
+
+
 @query
 def search_saved_index(spark, sf_dir):
     """The same search over an index written to the shared folder and read back."""
@@ -589,6 +600,18 @@ def timed_count_messages(spark, sf_dir):
     return decoded.select("entity_name", "entity_count", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
 
 
+@query
+def clock_columns(spark, sf_dir):
+    """Messages and headlines that take the time of the run: there, and no earlier than the call."""
+    began = F.lit(time.time() - 1)
+    counts = entities.count_entities(entities.entity_mentions(tables.documents(spark, sf_dir)))
+    sent = messages.index_records(messages.count_messages(counts)).select(F.unix_timestamp("ts").alias("at"))
+    headlines = messages.normalise_headlines(tables.articles(spark, sf_dir)).select(F.col("created_utc").alias("at"))
+    fresh = F.coalesce(F.col("at") >= began, F.lit(False)) & (F.col("at") <= F.unix_timestamp(F.current_timestamp()))
+    kinds = [df.select(F.lit(kind).alias("kind"), fresh.alias("fresh")) for kind, df in (("count", sent), ("headline", headlines))]
+    return kinds[0].unionAll(kinds[1]).groupBy("kind", "fresh").agg(F.count("*").alias("n"))
+
+
 def streamed_counts(spark, docs: DataFrame, path: str) -> DataFrame:
     decoded = messages.decode_messages(document_messages(docs))
     counts = stream_counts.stream_entity_counts(decoded, labels=None)
@@ -608,6 +631,25 @@ def stream_entity_counts(spark, sf_dir):
     return streamed_counts(spark, docs, scratch_path(spark, "stream"))
 
 
+@query
+def stream_two_queries(spark, sf_dir):
+    """Two queries over one plan: both sinks have the last totals of all entities."""
+    path = scratch_path(spark, "two")
+    schema = tables.table(spark, sf_dir, "documents").schema
+    docs = spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.parque[t]")
+    counts = stream_counts.stream_entity_counts(docs.select("text"), labels=None)
+    sinks_of = ("first", "second")
+    started = [
+        stream_counts.table_writer(counts, f"{path}/{s}", f"{path}/{s}-checkpoint").trigger(availableNow=True).start()
+        for s in sinks_of
+    ]
+    stream_counts.await_first(started)
+    for running in started:
+        running.awaitTermination()
+    both = [stream_counts.latest_counts(spark, f"{path}/{s}").withColumn("sink", F.lit(s)) for s in sinks_of]
+    return both[0].unionByName(both[1])
+
+
 @query
 def stream_in_batches(spark, sf_dir):
     """The same stream from a folder of several files, one file per micro-batch, stopped and started again."""
@@ -662,3 +704,16 @@ def labelled_folders(spark, sf_dir):
     docs.write.option("maxRecordsPerFile", 1).option("lineSep", "\f").partitionBy("lang").text(path)
     found = directories.read_labelled_directory(spark, path, charset="UTF-8")
     return found.select("label", F.md5("text").alias("text"))
+
+
+@query
+def labelled_two_folders(spark, sf_dir):
+    """Documents with an odd and an even number in a root of their own each, read as one collection."""
+    path = scratch_path(spark, "roots")
+    docs = tables.table(spark, sf_dir, "documents")
+    for root, odd in (("train", 1), ("test", 0)):
+        part = docs.filter(F.col("doc_id") % 2 == odd).select("lang", "text")
+        part.write.option("maxRecordsPerFile", 1).option("lineSep", "\f").partitionBy("lang").text(f"{path}/{root}")
+    found = directories.read_labelled_directory(spark, [f"{path}/train", f"{path}/test"], charset="UTF-8")
+    root = F.regexp_extract("path", "/(train|test)/lang=[^/]*/[^/]+$", 1)
+    return found.select(root.alias("root"), "label", F.md5("text").alias("text"))

@@ -99,6 +99,8 @@ ORACLE["search_with_titles"] = f"""
 WITH {search_ctes(f'{PHRASES} UNION ALL {WORDS}')}
 SELECT query_id, doc_id, round(score, 6) AS score, rank, coalesce(title, 'Unknown') AS title
 FROM ({ranked('(SELECT * FROM single UNION ALL SELECT * FROM several)')}) LEFT JOIN {TITLES} USING (doc_id)"""
+ORACLE["search_last_title"] = f"""
+SELECT f.*, coalesce(title, 'Unknown') AS title FROM ({COSINE}) f LEFT JOIN {TITLES} USING (doc_id)"""
 ORACLE["query_file"] = f"""
 SELECT line AS query_id, t AS text
 FROM (SELECT 2 * item_id + n AS line, regexp_replace(text, '^[{WHITE}]+|[{WHITE}]+$', '', 'g') AS t
@@ -435,3 +437,13 @@ ORACLE["search_hot_terms"] = ORACLE["tfidf"]
 ORACLE["labelled_folders"] = """
 SELECT 'lang=' || coalesce(lang, '__HIVE_DEFAULT_PARTITION__') AS label, md5(text || chr(12)) AS text
 FROM documents WHERE length(text) >= 50"""
+ORACLE["labelled_two_folders"] = """
+SELECT CASE doc_id % 2 WHEN 1 THEN 'train' ELSE 'test' END AS root, 'lang=' || coalesce(lang, '__HIVE_DEFAULT_PARTITION__') AS label,
+    md5(text || chr(12)) AS text
+FROM documents WHERE length(text) >= 50"""
+ORACLE["stream_two_queries"] = f"""
+WITH {ENTITIES} SELECT entity, count, unnest(['first', 'second']) AS sink FROM entities"""
+ORACLE["clock_columns"] = f"""
+WITH {ENTITIES}
+SELECT 'count' AS kind, true AS fresh, count(*) AS n FROM entities
+UNION ALL SELECT 'headline', true, count(*) FROM ({ORACLE["normalise_headlines"]})"""
