@@ -6,7 +6,7 @@ import pytest
 
 from weftline.operators import graph
 from weftline.operators.skew import salted_join
-from weftline.session import checkpoint_dir
+from weftline.session import bucketed, checkpoint_dir
 
 SMALL = [(1, 2), (1, 2), (2, 3), (3, 1), (1, 4), (5, 5), (6, 7)]
 
@@ -133,3 +133,17 @@ def test_rounds_leave_one_table(spark):
     before = set(os.listdir(folder))
     graph.connected_components(*frames(spark, SHUFFLED_PATH)).collect()
     assert len([name for name in set(os.listdir(folder)) - before if name.startswith("links-")]) == 1
+
+
+def test_edges_in_buckets_are_not_shuffled_again(spark):
+    """The join of a PageRank round: an exchange on the side of the ranks, none above the scan of the edges."""
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    edges, drop = bucketed(spark.createDataFrame([(1, 2, 0), (2, 1, 0)], "src bigint, dst bigint, salt int"), "edges", ["src", "salt"], width)
+    shares = spark.createDataFrame([(1, 0, 1.0)], "src bigint, salt int, share double")
+    joined = edges.join(shares.hint("shuffle_hash"), ["src", "salt"])
+    assert joined.count() == 1
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    edge_side = plan[plan.index("weftline_edges") - 400 : plan.index("weftline_edges")].rsplit("ShuffledHashJoin", 1)[-1]
+    assert "Exchange" not in edge_side and "Bucketed: true" in plan and "Cached" not in plan
+    drop()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("weftline_edges")]

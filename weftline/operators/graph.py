@@ -1,6 +1,6 @@
 """Network analysis on ``edges(src, dst)``: degrees, PageRank, components and triangles.
 
-Vertices of social graphs differ widely in degree.  PageRank places its edges once and salts them by degree; the
+Vertices of social graphs differ widely in degree.  PageRank lays its edges out once, salted by degree; the
 other joins are left to Spark, which splits skewed partitions while it runs.  Every sum is combined before its
 shuffle.  The two iterative operators store every round and drop the round before it; only counts reach the
 driver.
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from weftline.operators.ranking import top_k
 from weftline.operators.skew import MIN_HOT_ROWS, SALT, SALTS, hot_keys, salt_rows
-from weftline.session import drop_stored, materialise, store_counted, stored
+from weftline.session import bucketed, drop_stored, materialise, store_counted, stored, write_stored
 
 EDGES_PER_PARTITION = 1_000_000
 LIST_BLOCK = 1_000
@@ -58,32 +58,26 @@ def pagerank(
     Every vertex starts at 1.0; a round gives it ``reset + (1 - reset) * sum(rank / out-degree)`` over its
     incoming edges.  Repeated edges send once each: they are kept as one row with a weight.
 
-    The edges are placed and sorted by (src, salt) once, and the vertices by id; both stay cached where they
-    are, so a round moves one row per vertex to the edges and the sums per target back.  What is cached can
-    be rebuilt from the stored edge table if an executor is lost.  There are as many parts as the edges need.
+    The edges are written once as a table in buckets of (src, salt), the vertices in buckets of id.  A round reads
+    both where they lie: only one row per vertex goes to the edges and the sums per target back, no edge is
+    shuffled again and none is kept in the memory of executors, so a lost one costs what it was doing and no more.
+    There are as many buckets as the edges need.
     """
+    spark = edges.sparkSession
     weighted = edges.groupBy("src", "dst").agg(F.count("*").alias("weight"))
-    weighted, _, seen = store_counted(weighted, "weighted-edges")
+    weighted, weighted_at, seen = store_counted(weighted, "weighted-edges")
     sources = weighted.groupBy("src").agg(F.sum("weight").alias("out_degree"), F.count("*").alias("n_rows"))
-    hot = hot_keys(sources.select("src", "n_rows"), "src", min_hot_rows)
-    width = max(edges.sparkSession.sparkContext.defaultParallelism, -(-seen["n"] // EDGES_PER_PARTITION))
-    placed = (
-        salt_rows(weighted, hot, "src", spread=["dst"])
-        .repartition(width, "src", SALT)
-        .sortWithinPartitions("src", SALT)
-        .persist()
-    )
+    hot, hot_at = write_stored(hot_keys(sources.select("src", "n_rows"), "src", min_hot_rows), "hot-vertices")
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-seen["n"] // EDGES_PER_PARTITION))
+    placed, drop_edges = bucketed(salt_rows(weighted, hot, "src", spread=["dst"]), "edges", ["src", SALT], width)
     base = (
         vertices.select("id")
         .distinct()
         .join(sources.select(F.col("src").alias("id"), "out_degree"), "id", "left")
         .join(F.broadcast(hot.withColumnRenamed("src", "id")), "id", "left")
         .select("id", "out_degree", F.coalesce(SALTS, F.lit(1)).alias(SALTS))
-        .repartition(width, "id")
-        .sortWithinPartitions("id")
-        .persist()
     )
-    placed.count(), base.count()  # fill the caches first: the rounds are then planned on their real layout
+    base, drop_vertices = bucketed(base, "vertices", ["id"], width)
     state = base.withColumn("rank", F.lit(1.0))
     for done in range(1, iterations + 1):
         shares = state.filter(F.col("out_degree").isNotNull()).select(
@@ -92,17 +86,20 @@ def pagerank(
             F.explode(F.sequence(F.lit(0), F.col(SALTS) - 1)).alias(SALT),
         )
         received = (
-            placed.join(shares, ["src", SALT])
+            placed.join(shares.hint("shuffle_hash"), ["src", SALT])
             .groupBy(F.col("dst").alias("id"))
             .agg(F.sum(F.col("share") * F.col("weight")).alias("received"))
         )
-        state = base.join(received, "id", "left").withColumn(
+        state = base.join(received.hint("shuffle_hash"), "id", "left").withColumn(
             "rank", F.lit(reset) + F.lit(1.0 - reset) * F.coalesce("received", F.lit(0.0))
         ).drop("received")
         if done == iterations or done % checkpoint_every == 0:
             state = materialise(state)
-    placed.unpersist()
-    base.unpersist()
+    state = state if iterations else materialise(state)
+    drop_edges()
+    drop_vertices()
+    for path in (weighted_at, hot_at):
+        drop_stored(spark, path)
     scale = state.agg(F.count("*") / F.sum("rank")).scalar()
     return state.select("id", (F.col("rank") * scale).alias("pagerank"))
 

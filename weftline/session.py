@@ -6,7 +6,7 @@ import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -100,6 +100,23 @@ def store_counted(df: DataFrame, name: str, **sums) -> tuple[DataFrame, str, dic
     return *write_stored(counted, name), seen.get
 
 
+def bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> tuple[DataFrame, Callable[[], None]]:
+    """``df`` as a table in ``buckets`` by the hash of ``keys``, one file each, and what deletes it.
+
+    Joins and aggregations on the keys with that many partitions need no shuffle of it.
+    """
+    spark = df.sparkSession
+    path, table = scratch_path(spark, name), f"weftline_{name}_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", path)
+    dealt.option("compression", "zstd").saveAsTable(table)
+
+    def drop() -> None:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        drop_stored(spark, path)
+
+    return spark.table(table), drop
+
+
 def _file_system(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
