@@ -91,3 +91,12 @@ def test_held_out_accuracy(spark):
     found = identify(docs, fit_documents(docs)).select("row.doc_id", "row.lang", "lang_pred")
     rows = found.filter(held_out("doc_id")).collect()
     assert len(rows) > 100 and sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.97
+
+
+def test_repeated_rows_stay_out_of_the_driver(documents):
+    """A document that is there thousands of times is one text of the sample, and a long one gives a piece."""
+    rows = [(1, "the same words again", "en", "a")] * 3_000 + [(i, f"other words {i}", "en", "a") for i in range(2, 40)]
+    rows += [(50, "lang " * 30_000, "xx", "a")]
+    sample = language.training_sample(documents(rows), per_language=20, max_chars=1_000)
+    assert len(sample["en"]) == 20 and sample["en"].count("the same words again") <= 1
+    assert len(sample["xx"]) == 1 and len(sample["xx"][0]) == 1_000

@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from weftline.llm import sites
 from weftline.llm.sites import SHAPES, shape, site_quality
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -85,3 +86,14 @@ def test_held_out_labels(spark):
     found = site_quality(docs, labels.filter("doc_id % 4 > 0")).select("row.doc_id", "quality")
     rows = found.join(labels.filter("doc_id % 4 = 0").select("doc_id", F.col("quality").alias("truth")), "doc_id").collect()
     assert len(rows) > 50 and sum((r.quality >= 0.5) == bool(r.truth) for r in rows) / len(rows) > 0.95
+
+
+def test_repeated_rows_stay_out_of_the_driver(spark, documents, monkeypatch):
+    """A labelled document that is there thousands of times is one row of the fit."""
+    fitted = []
+    real = sites.fit_logistic
+    monkeypatch.setattr(sites, "fit_logistic", lambda x, y, **k: fitted.append(len(y)) or real(x, y, **k))
+    docs = documents([(1, "Again. And again.")] * 3_000 + [(i, f"word{i % 3} here.") for i in range(2, 60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 60)], "doc_id bigint, quality int")
+    assert site_quality(docs, labels, sample=40).count() == 3_058
+    assert fitted == [40]

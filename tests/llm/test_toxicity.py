@@ -72,3 +72,14 @@ def test_held_out_documents(spark):
     rows = found.join(labels.filter("doc_id % 4 = 0"), "doc_id").collect()
     assert len(rows) > 50 and np.mean([r.found == bool(r.toxic) for r in rows]) > 0.9
     assert not any(r.found for r in rows if not r.toxic)
+
+
+def test_repeated_rows_stay_out_of_the_driver(spark, documents, monkeypatch):
+    """A labelled document that is there thousands of times is one row of the fit."""
+    fitted = []
+    real = toxicity._fit
+    monkeypatch.setattr(toxicity, "_fit", lambda c, n, rows: fitted.append(len(rows)) or real(c, n, rows))
+    docs = documents([(1, "Fool! again")] * 3_000 + [(i, f"word{i % 3} here") for i in range(2, 60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 60)], "doc_id bigint, toxic int")
+    fit_chain(docs, labels, ["toxic"], sample=40)
+    assert fitted == [40]
