@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import zlib
 
 import duckdb
 import pytest
@@ -88,13 +89,26 @@ MANY = [(10 + i, t, random.Random(i * 31 + t).choice(["user", "assistant", "syst
         for i in range(80) for t in range(i % 9)]
 
 
+def kind_of(conv_id, turn):
+    return zlib.crc32(f"{conv_id}:{turn}".encode()) % 20
+
+
+#: Turns that the damage repeats, cut off, sound and of another role.
+REPEATED = [
+    (conv_id, turn, role, text)
+    for conv_id in range(200, 260) for turn in range(4) if any(kind_of(conv_id, t) == 3 for t in range(4))
+    for role, text in [(("user", "assistant", "tool")[(conv_id + turn) % 3], f"turn {turn} of {conv_id}" + ("." if conv_id % 2 else ""))]
+]
+
+
 def test_digests_equal_sql(spark, talks):
-    turns = talks(TALKS + MANY)
+    assert sum(kind_of(c, t) == 3 for c, t, _, _ in REPEATED) > 8
+    turns = talks(TALKS + MANY + REPEATED)
     got = {tuple(r) for r in repair_digests(damaged(turns)).collect()}
     con = duckdb.connect()
     con.register("conversations", turns.select("conv_id", "turn", "role", "text").toPandas().astype({"conv_id": "Int64", "turn": "Int64"}))
     expected = set(con.sql(OP11).fetchall())
-    assert got == expected and len(got) == len({r[0] for r in TALKS + MANY})
+    assert got == expected and len(got) == len({r[0] for r in TALKS + MANY + REPEATED})
 
 
 def test_edits_give_the_repaired_conversation(spark, talks):

@@ -194,7 +194,8 @@ def _ordered(turns: DataFrame) -> DataFrame:
         .otherwise(SOUND)
     )
     rows = rows.withColumn("fault", fault)
-    return rows.sortWithinPartitions("conv_id", F.col("turn").asc_nulls_first(), "role", "text", "fault")
+    order = [F.col("conv_id"), F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
+    return rows.sortWithinPartitions(*order, F.col("fault") == DUPLICATE)  # of equal turns the repeated one comes later
 
 
 def _edits(turns: Iterable[tuple], repair: Repair) -> Iterator[tuple[str, tuple | None, str, str]]:
