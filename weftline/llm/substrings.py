@@ -191,6 +191,19 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _joined_places(late: DataFrame) -> DataFrame:
+    """(min, digest, at, n): the places of each run, at most ``PIECE``, as stretches of neighbours."""
+    places = late.groupBy("min", "digest").agg(F.array_sort(F.collect_list("at")).alias("p"))
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size("p") - 1), lambda i: (i == 0) | (F.get("p", i) != F.get("p", i - 1) + 1)
+    )
+    cut = places.select("min", "digest", "p", starts.alias("s"))
+    stretches = F.transform(
+        "s", lambda i, k: F.struct(F.get("p", i).alias("at"), (F.coalesce(F.get("s", k + 1), F.size("p")) - i).alias("n"))
+    )
+    return cut.select("min", "digest", F.inline(stretches))
+
+
 def removable(docs: DataFrame, texts: DataFrame, bucket_windows: int) -> DataFrame:
     """(order_id, tie, first, n): runs of ``n`` windows from word ``first`` on that start in an earlier document."""
     runs = stored(map_in_arrow(docs.select("order_id", "tie", "text"), _runs, RUNS), "runs")
@@ -224,7 +237,7 @@ def removable(docs: DataFrame, texts: DataFrame, bucket_windows: int) -> DataFra
     window = map_in_arrow(crowded, _window_digests, "min bigint, digest bigint, owner bigint, at int, window binary")
     earliest = window.groupBy("window").agg(F.min("owner").alias("earliest"))
     late = window.join(earliest, "window").filter("owner > earliest")
-    bad = bad.unionAll(late.select("min", "digest", "at", F.lit(1).alias("n")))
+    bad = bad.unionAll(_joined_places(late.select("min", "digest", "at")))
     own = owned.filter("order_id = owner").drop("n").join(bad, ["min", "digest"])
     own = own.select("order_id", "tie", (F.col("first") + F.col("at")).alias("first"), "n")
     return equal.unionAll(copies).unionAll(own)
