@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftline.sources import lines as L
-from weftline.sources import sinks
+from weftline.sources import directories, sinks
 from weftline.sources.directories import read_labelled_directory
 
 
@@ -78,3 +78,21 @@ def test_kafka_needs_the_connector(spark):
 
     with pytest.raises(AnalysisException, match="kafka"):
         read_topic(spark, "localhost:9092", "topic")
+
+
+def test_a_file_for_each_row_is_written_by_all_cores_and_read_in_few_tasks(spark, tmp_path, monkeypatch):
+    rows = [("en" if i % 3 else None, f"text number {i} " + "x" * 60) for i in range(300)]
+    docs = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    sinks.write_file_each(docs, f"{tmp_path}/each", "lang")
+    files = [path.name for path in (tmp_path / "each").rglob("*") if path.is_file() and path.name != "_SUCCESS"]
+    assert len(files) == 300 and not [name for name in files if name.endswith(".crc")]
+    assert len({name.split("-")[1] for name in files}) > 1
+    found = directories.read_labelled_directory(spark, f"{tmp_path}/each", charset="UTF-8")
+    assert sorted(row.text.rstrip("\f") for row in found.collect()) == sorted(text for _, text in rows)
+    monkeypatch.setattr(directories, "PARTS_PER_TASK", 10_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4100000")  # one file a part
+    try:
+        found = directories.read_labelled_directory(spark, f"{tmp_path}/each", charset="UTF-8")
+        assert found.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -701,7 +701,7 @@ def labelled_folders(spark, sf_dir):
     """Documents written as a file each, in a folder per language, and read back with their labels."""
     path = scratch_path(spark, "folders")
     docs = tables.table(spark, sf_dir, "documents").select("lang", "text")
-    docs.write.option("maxRecordsPerFile", 1).option("lineSep", "\f").partitionBy("lang").text(path)
+    sinks.write_file_each(docs, path, "lang")
     found = directories.read_labelled_directory(spark, path, charset="UTF-8")
     return found.select("label", F.md5("text").alias("text"))
 
@@ -713,7 +713,7 @@ def labelled_two_folders(spark, sf_dir):
     docs = tables.table(spark, sf_dir, "documents")
     for root, odd in (("train", 1), ("test", 0)):
         part = docs.filter(F.col("doc_id") % 2 == odd).select("lang", "text")
-        part.write.option("maxRecordsPerFile", 1).option("lineSep", "\f").partitionBy("lang").text(f"{path}/{root}")
+        sinks.write_file_each(part, f"{path}/{root}", "lang")
     found = directories.read_labelled_directory(spark, [f"{path}/train", f"{path}/test"], charset="UTF-8")
     root = F.regexp_extract("path", "/(train|test)/lang=[^/]*/[^/]+$", 1)
     return found.select(root.alias("root"), "label", F.md5("text").alias("text"))

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Spark counts a small file as 4 MB and plans few of them for a task; a task takes this many of these parts.
+PARTS_PER_TASK = 16
 SCHEME_AND_HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:(?://[^/]*)?)?"
 
 
@@ -31,6 +33,7 @@ def read_labelled_directory(
         .option("ignoreMissingFiles", skip_unreadable)
         .load(roots)
     )
+    files = _fewer_tasks(files)
     for root in roots:
         bare = re.sub(SCHEME_AND_HOST, "", root).rstrip("/")
         files = files.filter(~F.col("path").rlike(f"{SCHEME_AND_HOST}{re.escape(bare)}/[^/]+$"))
@@ -40,3 +43,10 @@ def read_labelled_directory(
         F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("label"),
         text.alias("text"),
     ).filter(F.length("text") >= min_chars)
+
+
+def _fewer_tasks(files: DataFrame) -> DataFrame:
+    """``files`` in fewer tasks where there are many times more than cores."""
+    cores, parts = files.sparkSession.sparkContext.defaultParallelism, files.rdd.getNumPartitions()
+    wanted = max(2 * cores, -(-parts // PARTS_PER_TASK))
+    return files.coalesce(wanted) if wanted < parts else files

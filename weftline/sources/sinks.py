@@ -5,6 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.operators.rows import spread_rows
+
+#: For writes of very many small files.  Local ones get no checksum file beside them, which costs several processes a file;
+#: each task moves its own files when it commits, so that the driver does not move all of them one by one at the end.
+SMALL_FILES = {
+    "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
+    "fs.file.impl.disable.cache": "true",
+    "mapreduce.fileoutputcommitter.algorithm.version": "2",
+}
+
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Headerless CSV files, replacing what is there."""
@@ -20,3 +30,9 @@ def recommendation_lines(recommendations: DataFrame) -> DataFrame:
 
 def write_lines(lines: DataFrame, path: str) -> None:
     lines.write.mode("overwrite").text(path)
+
+
+def write_file_each(df: DataFrame, path: str, folder: str) -> None:
+    """A text file for each row of ``df(folder, text)``, in a folder per value of ``folder``; all cores write."""
+    each = spread_rows(df).write.options(**SMALL_FILES).option("maxRecordsPerFile", 1)
+    each.option("lineSep", "\f").partitionBy(folder).text(path)
