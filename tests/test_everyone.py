@@ -52,3 +52,18 @@ def test_a_list_of_everybody_makes_no_square(spark):
     made = everyone.planned_pairs(needed, 64).first()
     assert made.all_pairs > 1500 * 1500 and made.pairs < made.all_pairs / 10
     assert run(spark, lists) == brute_force(lists, people(lists))
+
+
+def test_lists_of_one_length_are_joined_whole_and_counted_in_blocks(spark, monkeypatch):
+    """Where every list is needed but for the last ones, leaving these out kept every pair for a second look."""
+    monkeypatch.setattr(everyone, "BLOCK", 7)
+    rng = random.Random(1)
+    names = [str(i) for i in range(80)]
+    lists = [(rng.choice(names), rng.sample(names, 20)) for _ in range(40)]
+    members = members_of(spark, lists)
+    entries = members.groupBy("list_id", "friend").agg(F.count("*").alias("times"))
+    others = entries.select("list_id", F.col("friend").alias("candidate"), F.col("times").alias("their_times"))
+    heads = top_k_per_group(others, "list_id", 4, id_order("candidate")).drop("rank")
+    needed = everyone.needed_lists(entries, heads, everyone._both_ways(members), 3)
+    assert [row["use"] for row in needed.select("use").distinct().collect()] == ["whole"]
+    assert run(spark, lists, k=3, head=4) == brute_force(lists, people(lists), 3)

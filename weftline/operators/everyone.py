@@ -10,17 +10,29 @@ not on the lists before has a count of at most that reach.
    which its head mostly settles, and one below is not joined: its pairs are never made.
 3. The candidates found so, cut by what they can reach, are looked up in the lists that were not joined.
 
-So a list is expanded only for the users who need it, and long lists are needed by few.
+So a list is expanded only for the users who need it, and long lists are needed by few.  A user for whom that leaves out
+less than half of the pairs has all lists joined whole, which leaves nothing to look up.
+
+Pairs are counted in blocks of ``BLOCK`` users by ``BLOCK`` candidates.  A row holds the people of one list in two blocks,
+rows are dealt and sorted by blocks, and a task adds one row after the other to the counts of its block; so no row is made
+for a pair.  Of each user a block gives back only the candidates that can be among the best.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.scalars import id_order, numeric_id
-from weftline.operators.ranking import top_k_per_group
-from weftline.session import drop_stored, write_stored
+from weftline.operators.ranking import numbered, top_k_per_group
+from weftline.session import drop_stored, ship_package, write_stored
+
+#: People on either side of a block of counts.
+BLOCK = 2048
 
 
 def id_key(col: Column | str) -> Column:
@@ -40,17 +52,20 @@ def needed_lists(entries: DataFrame, heads: DataFrame, friends: DataFrame, k: in
         F.col("friend").alias("user"), "list_id", "times", "n", (F.col("times") * F.col("most")).alias("gain")
     )
     own = own.withColumn("reach", F.sum("gain").over(ordered))
-    seen = _product(own, heads).join(friends, ["user", "candidate"], "left_anti")
+    seen = block_products(own, heads, friends, k)
     kth = top_k_per_group(seen, "user", k, [F.desc("mutual"), *id_order("candidate")]).filter(F.col("rank") == k)
     kth = kth.select("user", F.col("mutual").alias("least"), id_key("candidate").alias("beaten"))
     ends = heads.groupBy("list_id").agg(F.max(id_key("candidate")).alias("end"))
     least = F.coalesce("least", F.lit(0))
     use = F.when((F.col("reach") > least) | ((F.col("reach") == least) & (F.col("beaten") > F.col("end"))), "whole")
     use = use.when(F.col("reach") == least, "head").otherwise("none")
-    return (
+    needed = (
         own.join(kth, "user", "left").join(ends, "list_id")
         .select("user", "list_id", "times", "n", "gain", least.alias("least"), use.alias("use"))
     )
+    whole = F.sum(F.when(F.col("use") == "whole", F.col("n")).otherwise(0)).over(Window.partitionBy("user"))
+    pays = 2 * whole < F.sum("n").over(Window.partitionBy("user"))
+    return needed.withColumn("use", F.when(pays, F.col("use")).otherwise("whole"))
 
 
 def planned_pairs(needed: DataFrame, head: int) -> DataFrame:
@@ -59,11 +74,114 @@ def planned_pairs(needed: DataFrame, head: int) -> DataFrame:
     return needed.agg(F.sum(made).alias("pairs"), F.sum("n").alias("all_pairs"))
 
 
-def _product(own: DataFrame, others: DataFrame, counted: bool = True) -> DataFrame:
-    """(user, candidate, mutual) over the lists that both sides have."""
-    each = F.col("times") * F.col("their_times") if counted else F.lit(0).cast("bigint")
-    met = own.select("user", "list_id", "times").join(others, "list_id").filter("user <> candidate")
-    return met.groupBy("user", "candidate").agg(F.sum(each).alias("mutual"))
+def _pieces(entries: DataFrame, side: str, *values: str) -> DataFrame:
+    """(list_id, <side>_block, <side>s) of ``entries(list_id, place, ...)``: the people of a list in a block, with ``values``."""
+    inside = F.struct((F.col("place") % BLOCK).cast("int").alias("place"), *values)
+    block = F.floor(F.col("place") / BLOCK).cast("int").alias(f"{side}_block")
+    return entries.groupBy("list_id", block).agg(F.collect_list(inside).alias(f"{side}s"))
+
+
+def block_products(own: DataFrame, others: DataFrame, friends: DataFrame, k: int) -> DataFrame:
+    """(user, candidate, mutual): the candidates of each user over the lists that both sides have, friends left out,
+    who can be among the ``k`` best.
+
+    ``own(user, list_id, times)`` may say how much ``more`` the user's candidates can gain elsewhere and the ``least`` count
+    of the k-th; who cannot reach the k-th with it is left out.  ``others`` is (list_id, candidate, their_times).
+    """
+    spark, nothing = own.sparkSession, F.lit(0).cast("bigint")
+    more, least = (F.col(c) if c in own.columns else nothing.alias(c) for c in ("more", "least"))
+    people = own.select("user").unionAll(others.select(F.col("candidate").alias("user"))).filter("user is not null").distinct()
+    places, places_at = write_stored(numbered(people, id_order("user"), "place").withColumn("place", F.col("place") - 1), "places")
+    users = own.join(places, "user").select("list_id", "place", "times", more, least).filter("list_id is not null")
+    theirs = others.withColumnRenamed("candidate", "user").join(places, "user").filter("list_id is not null")
+    theirs = theirs.select("list_id", "place", F.col("their_times").alias("times"))
+    met = _pieces(users, "user", "times", "more", "least").join(_pieces(theirs, "candidate", "times"), "list_id")
+    of_friends = friends.join(places, "user").withColumnRenamed("place", "list_id").select("list_id", F.col("candidate").alias("user"))
+    of_friends = of_friends.join(places, "user").select("list_id", "place", nothing.alias("times"))
+    one = F.struct((F.col("list_id") % BLOCK).cast("int").alias("place"), *[nothing.alias(c) for c in ("times", "more", "least")])
+    known = _pieces(of_friends, "candidate", "times").select(
+        F.floor(F.col("list_id") / BLOCK).cast("int").alias("user_block"),
+        F.array(one).alias("users"), "candidate_block", "candidates", F.lit(True).alias("known"),
+    )
+    met = met.drop("list_id").withColumn("known", F.lit(False))
+    blocks = ["user_block", "candidate_block"]
+    rows = met.unionByName(known).repartition(*blocks).sortWithinPartitions(*blocks)
+    found = _block_counts(rows, k, BLOCK)
+    user, candidate = places.toDF("user", "user_place"), places.toDF("candidate", "candidate_place")
+    named, _ = write_stored(
+        found.join(user, "user_place").join(candidate, "candidate_place").select("user", "candidate", "mutual"), "block-counts"
+    )
+    drop_stored(spark, places_at)
+    return named
+
+
+def _block_counts(rows: DataFrame, k: int, size: int) -> DataFrame:
+    """(user_place, candidate_place, mutual) from the rows of ``block_products``, which are sorted by block."""
+    ship_package(rows.sparkSession)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, counts = None, np.zeros((size, size), np.int64)
+        friend = np.zeros((size, size), bool)
+        limits = np.zeros((2, size), np.int64)
+        for batch in batches:
+            columns = {name: batch.column(name) for name in batch.schema.names}
+            at = np.stack([columns[c].to_numpy() for c in ("user_block", "candidate_block")], 1)
+            known = columns["known"].to_numpy(zero_copy_only=False)
+            sides = []
+            for side in ("users", "candidates"):
+                ends, inner = columns[side].offsets.to_numpy(), columns[side].values
+                sides.append((ends, [inner.field(i).to_numpy() for i in range(inner.type.num_fields)]))
+            (user_ends, users), (candidate_ends, candidates) = sides
+            for i in range(batch.num_rows):
+                if block is None or (at[i] != block).any():
+                    if block is not None:
+                        yield from _can_win(block, counts, friend, limits, k)
+                        counts[:], friend[:] = 0, False
+                    block = at[i]
+                u, c = slice(user_ends[i], user_ends[i + 1]), slice(candidate_ends[i], candidate_ends[i + 1])
+                cells = np.ix_(users[0][u], candidates[0][c])
+                if known[i]:
+                    friend[cells] = True
+                else:
+                    counts[cells] += np.outer(users[1][u], candidates[1][c])
+                    limits[0][users[0][u]], limits[1][users[0][u]] = users[2][u], users[3][u]
+        if block is not None:
+            yield from _can_win(block, counts, friend, limits, k)
+
+    return rows.mapInArrow(count, "user_place bigint, candidate_place bigint, mutual bigint")
+
+
+def _can_win(block: np.ndarray, counts: np.ndarray, friend: np.ndarray, limits: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+    """The ``k`` best of each user in a block of counts, earlier places first where they tie; of a user who can gain more
+    elsewhere all who can still reach the k-th."""
+    counts[friend] = 0
+    if block[0] == block[1]:
+        np.fill_diagonal(counts, 0)
+    touched = np.flatnonzero(counts.any(1))
+    for start in range(0, len(touched), 256):
+        users = touched[start : start + 256]
+        part = counts[users]
+        more, least = limits[0][users, None], limits[1][users, None]
+        order = np.argsort(-part, axis=1, kind="stable")[:, :k]
+        best = np.zeros(part.shape, bool)
+        np.put_along_axis(best, order, True, axis=1)
+        kth = np.take_along_axis(part, order[:, -1:], axis=1) if part.shape[1] >= k else np.zeros_like(more)
+        wanted = (part > 0) & np.where(more > 0, part + more >= np.maximum(kth, least), best)
+        row, column = np.nonzero(wanted)
+        yield pa.record_batch(
+            [
+                pa.array(users[row].astype(np.int64) + int(block[0]) * len(counts)),
+                pa.array(column.astype(np.int64) + int(block[1]) * len(counts)),
+                pa.array(part[row, column]),
+            ],
+            ["user_place", "candidate_place", "mutual"],
+        )
+
+
+def _product(own: DataFrame, others: DataFrame) -> DataFrame:
+    """(user, candidate, mutual = 0) over the lists that both sides have: candidates whose count is looked up later."""
+    met = own.select("user", "list_id").join(others, "list_id").filter("user <> candidate")
+    return met.select("user", "candidate", F.lit(0).cast("bigint").alias("mutual")).distinct()
 
 
 def _both_ways(memberships: DataFrame) -> DataFrame:
@@ -85,11 +203,11 @@ def recommend_everyone(memberships: DataFrame, k: int = 10, head: int = 64) -> D
     friends, friends_at = write_stored(_both_ways(memberships), "friends")
     needed, needed_at = write_stored(needed_lists(entries, heads, friends, k), "needed-lists")
 
-    whole = needed.filter("use = 'whole'")
-    found = _product(whole, others).unionAll(_product(needed.filter("use = 'head'"), heads, counted=False))
-    found = found.groupBy("user", "candidate").agg(F.sum("mutual").alias("mutual"))
     open_ = F.when(F.col("use") == "whole", 0).otherwise(F.col("gain"))
     limits = needed.groupBy("user").agg(F.sum(open_).alias("more"), F.max("least").alias("least"))
+    whole = needed.filter("use = 'whole'").drop("least").join(limits, "user")
+    found = block_products(whole, others, friends, k).unionAll(_product(needed.filter("use = 'head'"), heads))
+    found = found.groupBy("user", "candidate").agg(F.sum("mutual").alias("mutual"))
     found = found.join(limits, "user").filter(F.col("mutual") + F.col("more") >= F.col("least"))
     found = found.join(friends, ["user", "candidate"], "left_anti").select("user", "candidate", "mutual")
     found, found_at = write_stored(found, "candidates")
