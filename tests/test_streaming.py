@@ -248,3 +248,15 @@ def test_await_first_raises_the_error_of_a_failed_query(spark, tmp_path):
     writers = [stream.writeStream.foreachBatch(fail).option("checkpointLocation", str(tmp_path / "c"))]
     with pytest.raises(Exception, match="broken sink"):
         C.await_first(C.start_all(writers))
+
+
+def test_files_of_a_stream_grow_in_number_and_not_in_size(spark, tmp_path, monkeypatch):
+    from weftline.plans import catalog
+
+    docs = spark.createDataFrame([(str(i), "x" * 100) for i in range(200)] + [("0", None)], "id string, text string")
+    assert catalog.written_in_files(docs, f"{tmp_path}/one", 2, "id") == 1
+    monkeypatch.setattr(catalog, "FILE_BYTES", 2000)
+    assert catalog.written_in_files(docs, f"{tmp_path}/many", 2, "id") == 5
+    for folder, files in (("one", 2), ("many", 10)):
+        assert len(list((tmp_path / folder).glob("part-*"))) == files
+        assert spark.read.parquet(f"{tmp_path}/{folder}").count() == 201

@@ -29,6 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SEED = 42
 N_USERS = 10
+#: Bytes of text in one file of a stream's folder, at most as far as the hash of the key deals them evenly.
+FILE_BYTES = 256 << 20
 
 
 def query(function: Query) -> Query:
@@ -650,16 +652,30 @@ def stream_two_queries(spark, sf_dir):
     return both[0].unionByName(both[1])
 
 
+def written_in_files(docs: DataFrame, path: str, batches: int, key: str) -> int:
+    """Append ``docs`` to the folder in ``batches`` times as many files as keep each at ``FILE_BYTES`` or less; that number.
+
+    It is the number of files of a micro-batch: one for small tables, more where a file would be more than a task should hold.
+    """
+    text = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    files = max(1, -(-text // (batches * FILE_BYTES)))
+    docs.repartition(batches * files, key).write.mode("append").parquet(path)
+    return files
+
+
 @query
 def stream_in_batches(spark, sf_dir):
-    """The same stream from a folder of several files, one file per micro-batch, stopped and started again."""
+    """The same stream from a folder of several files, stopped and started again.
+
+    A micro-batch is one file; of a large table, whose files would be more than a task should read, it is several.
+    """
     path = scratch_path(spark, "batches")
     docs = tables.documents(spark, sf_dir).select("doc_id", F.lit("a").alias("source"), "text", F.lit("en").alias("lang"))
-    docs.repartition(3, "doc_id").write.parquet(f"{path}/documents")
-    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1)
-    streamed_counts(spark, stream.parquet(f"{path}/documents"), path)
-    docs.repartition(2, "doc_id").write.mode("append").parquet(f"{path}/documents")
-    return streamed_counts(spark, stream.parquet(f"{path}/documents"), path)
+    for batches in (3, 2):
+        files = written_in_files(docs, f"{path}/documents", batches, "doc_id")
+        stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", files)
+        counts = streamed_counts(spark, stream.parquet(f"{path}/documents"), path)
+    return counts
 
 
 def sent_messages(docs: DataFrame) -> DataFrame:
@@ -673,8 +689,8 @@ def sent_twice(spark, sf_dir) -> str:
     path = scratch_path(spark, "deltas")
     sent = sent_messages(tables.documents(spark, sf_dir))
     for _ in range(2):
-        sent.repartition(2, "id").write.mode("append").parquet(f"{path}/messages")
-        stream = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/messages")
+        files = written_in_files(sent, f"{path}/messages", 2, "id")
+        stream = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/messages")
         once = stream_counts.without_repeats(stream)
         stream_counts.run_available(stream_counts.delta_writer(once, f"{path}/log", f"{path}/checkpoint", labels=None))
     stream_counts.fold_deltas(spark, f"{path}/log", upto=1)
