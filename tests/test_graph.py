@@ -147,3 +147,26 @@ def test_edges_in_buckets_are_not_shuffled_again(spark):
     assert "Exchange" not in edge_side and "Bucketed: true" in plan and "Cached" not in plan
     drop()
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("weftline_edges")]
+
+
+def test_rounds_of_the_component_search_shrink(spark, monkeypatch):
+    """Leaves are put aside: no round writes as many rows as the one before."""
+    written = []
+    store = graph.store_counted
+
+    def counted(df, name, **sums):
+        table, path, seen = store(df, name, **sums)
+        written.extend([seen["n"]] if name == "links" else [])
+        return table, path, seen
+
+    monkeypatch.setattr(graph, "store_counted", counted)
+    edges = [(1_000 + i, i % 40) for i in range(400)] + [(i, (i * 7 + 3) % 40) for i in range(40)] + [(900, i) for i in range(0, 40, 9)]
+    assert as_dict(graph.connected_components(*frames(spark, edges))) == plain_components(edges)
+    assert len(written) > 1 and all(after < before for before, after in zip(written, written[1:]))
+
+
+@pytest.mark.parametrize("hot", [0, 5])
+def test_components_with_salted_joins(spark, monkeypatch, hot):
+    monkeypatch.setattr(graph, "MIN_HOT_ROWS", hot)
+    edges = STAR + [(200 + i, 100 + i % 7) for i in range(40)] + [(i, 300) for i in range(200, 210)]
+    assert as_dict(graph.connected_components(*frames(spark, edges))) == plain_components(edges)

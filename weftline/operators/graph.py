@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.operators.ranking import top_k
-from weftline.operators.skew import MIN_HOT_ROWS, SALT, SALTS, hot_keys, salt_rows
+from weftline.operators.skew import MIN_HOT_ROWS, SALT, SALTS, hot_keys, salt_rows, salted_join
 from weftline.session import bucketed, drop_stored, materialise, store_counted, stored, write_stored
 
 EDGES_PER_PARTITION = 1_000_000
@@ -109,53 +109,73 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
     Alternates the large-star and small-star steps of Kiveris et al., "Connected Components in MapReduce
     and Beyond" (2014), on rows (hi, lo) with hi > lo, until every component is a star around its smallest
-    vertex.  The number of rows never grows and falls to one per vertex; the number of rounds grows with
-    the logarithm of the size.  A round is one pass: whether anything moved is observed while it is stored.
+    vertex.  The number of rounds grows with the logarithm of the size.
+
+    Before each round the leaves are put aside: vertices with one neighbour, which is smaller.  A leaf is in the
+    component of its neighbour and never its smallest vertex, so the rounds do without it, and what they write shrinks
+    from round to round.  A star consists of leaves, so the rounds end when no row is left.  Then the leaves take the
+    names of their neighbours, those put aside last first.
     """
     spark = edges.sparkSession
     hi, lo = F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")
-    found = edges.select(hi, lo).filter("hi <> lo").distinct().withColumn("moved", F.lit(True))
-    links, path, seen = store_counted(found, "links", moved=F.max("moved"))
-    while seen["moved"]:
+    links, path, seen = store_counted(edges.select(hi, lo).filter("hi <> lo").distinct(), "links")
+    aside = []
+    while seen["n"]:
+        leaves, leaves_at, put = store_counted(_leaves(links), "leaves")
+        aside.append((leaves, leaves_at, put["n"]))
+        if put["n"] == seen["n"]:
+            break
+        before = path
+        rest = links.join(leaves.select("hi"), "hi", "left_anti") if put["n"] else links
+        links, path, seen = store_counted(_small_star(_large_star(rest, seen["n"])), "links")
+        drop_stored(spark, before)
+    if aside:
+        drop_stored(spark, path)
+    named, path, _ = aside.pop() if aside else (links, path, 0)
+    while aside:
+        leaves, leaves_at, n_rows = aside.pop()
+        label = F.coalesce("name", "lo").alias("lo")
+        found = _joined_by_lo(leaves, named.select(F.col("hi").alias("lo"), F.col("lo").alias("name")), n_rows)
         before = path
-        links = links.select("hi", "lo")
-        links, path, seen = store_counted(_small_star(_large_star(links)), "links", moved=F.max("moved"))
+        named, path = write_stored(named.unionAll(found.select("hi", label)), "links")
         drop_stored(spark, before)
-    links = links.select(F.col("hi").alias("id"), "lo")
-    return vertices.select("id").distinct().join(links, "id", "left").select(
+        drop_stored(spark, leaves_at)
+    return vertices.select("id").distinct().join(named.select(F.col("hi").alias("id"), "lo"), "id", "left").select(
         "id", F.coalesce("lo", "id").alias("component")
     )
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _leaves(links: DataFrame) -> DataFrame:
+    """The rows (hi, lo) of ``links`` whose upper end is in no other row."""
+    lowest = links.groupBy("hi").agg(F.min("lo").alias("lo"), F.max("lo").alias("upper")).filter("lo = upper")
+    inner = links.select(F.col("lo").alias("hi")).distinct()
+    return lowest.select("hi", "lo").join(inner, "hi", "left_anti")
+
+
+def _joined_by_lo(links: DataFrame, found: DataFrame, n_rows: int) -> DataFrame:
+    """Left join of at most ``n_rows`` rows; a vertex may be the lower end of most of them, so many rows are salted."""
+    return salted_join(links, found, "lo", spread=["hi"], how="left") if n_rows > MIN_HOT_ROWS else links.join(found, "lo", "left")
+
+
+def _large_star(links: DataFrame, n_rows: int) -> DataFrame:
     """Link the larger neighbours of each vertex to the smallest vertex next to it, itself included.
 
     Only the lower end of a row can have a smaller neighbour, so the minimum over the lower neighbours is
-    all that is needed.  ``moved`` tells whether the row changed; rows may repeat.
+    all that is needed.  Rows may repeat.
     """
     lowest = links.groupBy(F.col("hi").alias("lo")).agg(F.min("lo").alias("lower"))
-    return links.join(lowest, "lo", "left").select(
-        "hi", F.coalesce("lower", "lo").alias("lo"), F.col("lower").isNotNull().alias("moved")
-    )
+    return _joined_by_lo(links, lowest, n_rows).select("hi", F.coalesce("lower", "lo").alias("lo"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    """Link each vertex and its lower neighbours to the smallest of them.
-
-    A vertex with several lower neighbours gives work to a further round, hence ``moved``.
-    """
-    lowest = links.groupBy("hi").agg(
-        F.min("lo").alias("lower"), F.max("lo").alias("upper"), F.max("moved").alias("moved")
-    )
-    several = F.col("lower") != F.col("upper")
+    """Link each vertex and its lower neighbours to the smallest of them."""
+    lowest = links.groupBy("hi").agg(F.min("lo").alias("lower"), F.max("lo").alias("upper"))
     others = (
-        links.select("hi", "lo")
-        .join(lowest.filter(several).select("hi", "lower"), "hi")
+        links.join(lowest.filter("lower <> upper").select("hi", "lower"), "hi")
         .filter(F.col("lo") != F.col("lower"))
-        .select(F.col("lo").alias("hi"), F.col("lower").alias("lo"), F.lit(True).alias("moved"))
+        .select(F.col("lo").alias("hi"), F.col("lower").alias("lo"))
     )
-    kept = lowest.select("hi", F.col("lower").alias("lo"), (F.col("moved") | several).alias("moved"))
-    return kept.unionAll(others).groupBy("hi", "lo").agg(F.max("moved").alias("moved"))
+    return lowest.select("hi", F.col("lower").alias("lo")).unionAll(others).distinct()
 
 
 def component_sizes(components: DataFrame) -> DataFrame:
