@@ -1,10 +1,12 @@
 import math
 import random
+import re
 from collections import Counter
 
 import pytest
 
 from weftline.operators import search
+from weftline.session import drop_stored
 
 DOCS = [
     ("1", "vampire war vampire"), ("2", "war comedy"), ("3", "common comedy drama"), ("4", ""), ("5", "war"),
@@ -169,3 +171,33 @@ def test_the_last_title_of_an_id_wins(spark):
     titles = spark.createDataFrame([("1", "Zebra", 1), ("1", "Ant", 2)], "doc_id string, title string, line int")
     assert search.with_titles(results, titles, line="line").first().title == "Ant"
     assert search.with_titles(results, titles).first().title == "Zebra"
+
+
+def test_texts_are_split_once_for_an_index(spark, tmp_path):
+    """The counts are stored: neither saving nor searching needs the texts again."""
+    texts = str(tmp_path / "texts")
+    spark.createDataFrame(DOCS, "doc_id string, text string").write.parquet(texts)
+    index = search.build_index(spark.read.schema("doc_id string, text string").parquet(texts))
+    drop_stored(spark, texts)
+    index.save(str(tmp_path / "index"))
+    asked = spark.createDataFrame(QUERIES, "query_id string, text string")
+    same(found_by(search.search(asked, search.SearchIndex.load(spark, str(tmp_path / "index")))), brute_force(DOCS, QUERIES, 10))
+
+
+def found_by(results):
+    found = {}
+    for row in results.orderBy("query_id", "rank").collect():
+        found.setdefault(row.query_id, []).append((row.doc_id, row.score))
+    return found
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_scores_are_summed_where_the_postings_are_dealt(spark, monkeypatch, small):
+    """Few query terms: one shuffle of postings by document, none of scores by query and document."""
+    monkeypatch.setattr(search, "fits_broadcast", lambda df: small)
+    index = search.build_index(spark.createDataFrame(DOCS, "doc_id string, text string")).checkpointed()
+    results = search.search_cosine(spark.createDataFrame(QUERIES, "query_id string, text string"), index)
+    several = [q for q in QUERIES if len(q[1].split()) > 1]
+    same(found_by(results), brute_force(DOCS, several, 10))
+    plan = results._jdf.queryExecution().executedPlan().toString()
+    assert bool(re.search(r"hashpartitioning\(query_id#\d+, doc_id#", plan)) != small

@@ -1,9 +1,9 @@
 """TF-IDF index and search.
 
 The index is kept in long form, one row per (document, term).  Queries are a table too: all of them are
-answered by one join with the index instead of one pass over the documents per query.  That join is left
-to Spark: it broadcasts the query terms when their size allows it, so the index does not move, and splits
-skewed partitions otherwise.  A saved index lies in buckets of terms; a search reads the buckets of its terms.
+answered by one join with the index instead of one pass over the documents per query.  Where the query terms
+are few bytes they are broadcast, and only the postings of these terms are dealt, by document; otherwise the join
+is left to Spark.  A saved index lies in buckets of terms; a search reads the buckets of its terms.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from weftline.functions.text import is_search_term, search_tokens, words
 from weftline.functions.wordlists import SEARCH_STOP_WORDS
 from weftline.operators.ranking import top_k_per_group
 from weftline.operators.rows import computed_once
-from weftline.operators.skew import MIN_HOT_ROWS, key_counts, salted_join
-from weftline.session import materialise
+from weftline.operators.skew import MIN_HOT_ROWS, fits_broadcast, key_counts, salted_join
+from weftline.session import drop_stored, store_counted, stored
 
 #: Postings in a bucket of a saved index, buckets at most, and asked terms that are pushed into the scan at most.
 BUCKET_ROWS, MAX_BUCKETS, MAX_PUSHED = 1_000_000, 4096, 10_000
@@ -155,21 +155,22 @@ class SearchIndex:
         return doc_norms(self.postings)
 
     def checkpointed(self) -> SearchIndex:
-        """The index with its postings checkpointed: the searches then share one pass over the texts."""
-        postings = materialise(self.postings)
-        return SearchIndex(postings, _terms_of(postings))
+        """The index with its postings stored, in compressed columns: the searches share them."""
+        return SearchIndex(stored(self.postings, "postings"), self.terms, self.buckets)
 
     def save(self, path: str, buckets: int | None = None) -> None:
         """Write the index as Parquet, by term, in as many ``buckets`` as its size asks for.
 
-        The terms are made from the postings just written, so the texts are split once, and twice where the number of
-        buckets has to be found first.
+        The postings are stored first: they are computed once, though their number and the limits of the ranges have
+        to be found before they are dealt.
         """
         spark = self.postings.sparkSession
-        buckets = buckets or buckets_for(self.postings.count())
-        write_by_term(self.postings, f"{path}/postings", ["term", "doc_id"], buckets)
-        _terms_of(spark.read.parquet(f"{path}/postings")).write.mode("overwrite").parquet(f"{path}/terms")
+        postings, stored_at, seen = store_counted(self.postings, "postings")
+        buckets = buckets or buckets_for(seen["n"])
+        write_by_term(postings, f"{path}/postings", ["term", "doc_id"], buckets)
+        self.terms.write.mode("overwrite").parquet(f"{path}/terms")
         write_buckets(spark, path, buckets)
+        drop_stored(spark, stored_at)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> SearchIndex:
@@ -182,25 +183,21 @@ class SearchIndex:
         return rows_of_terms(self.postings, asked, self.buckets)
 
 
-def _terms_of(postings: DataFrame) -> DataFrame:
-    """(term, df, idf) of written postings; tfidf / tf is the idf again."""
-    return postings.groupBy("term").agg(F.count("*").alias("df"), F.max(F.col("tfidf") / F.col("tf")).alias("idf"))
-
-
 def index_of_counts(tf: DataFrame, docs: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> SearchIndex:
-    """Index of counts ``tf(doc_id, term, tf)`` over the rows of ``docs``, not yet computed."""
-    terms = inverse_document_frequency(document_frequency(tf), docs)
+    """Index of stored counts ``tf(doc_id, term, tf)`` over the rows of ``docs``; its terms are stored, its postings not
+    yet computed."""
+    terms = stored(inverse_document_frequency(document_frequency(tf), docs), "terms")
     return SearchIndex(with_weights(tfidf(tf, terms, min_hot_rows)), terms)
 
 
 def build_index(
     docs: DataFrame, stop_words: Sequence[str] = SEARCH_STOP_WORDS, min_hot_rows: int = MIN_HOT_ROWS
 ) -> SearchIndex:
-    """Index of ``docs(doc_id, text)``, not yet computed.
+    """Index of ``docs(doc_id, text)``; its counts are stored, so the texts are split once, its postings not yet computed.
 
     Take it ``checkpointed`` for several searches in one job; ``save`` and ``load`` it across jobs.
     """
-    return index_of_counts(term_frequency(docs, stop_words), docs, min_hot_rows)
+    return index_of_counts(stored(term_frequency(docs, stop_words), "term-counts"), docs, min_hot_rows)
 
 
 def query_terms(queries: DataFrame, stop_words: Sequence[str] = SEARCH_STOP_WORDS) -> DataFrame:
@@ -241,11 +238,15 @@ def search_cosine(queries: DataFrame, index: SearchIndex, k: int = 10, stop_word
     its terms.  Only documents that share a term can score above 0, and only those are listed.  Both sides are
     normed before the sum, so what is ranked is the cosine itself.
     """
-    weighed = query_weights(queries, index.terms, stop_words)
+    weighed = stored(query_weights(queries, index.terms, stop_words), "query-weights")
+    postings = index.of_terms(weighed).select("doc_id", "term", "weight")
+    if fits_broadcast(weighed):
+        # Dealt by document before queries and postings meet: the scores, far more rows, need no shuffle.
+        asked = weighed.select("term").distinct()
+        postings = postings.join(F.broadcast(asked), "term", "left_semi").repartition("doc_id")
+        weighed = F.broadcast(weighed)
     scores = (
-        index.of_terms(weighed)
-        .select("doc_id", "term", "weight")
-        .join(weighed, "term")
+        postings.join(weighed, "term")
         .groupBy("query_id", "doc_id")
         .agg(F.sum(F.col("share") * F.col("weight")).alias("score"))
     )

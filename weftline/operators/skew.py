@@ -39,13 +39,18 @@ def hot_keys(counts: DataFrame, key: str, min_hot_rows: int = MIN_HOT_ROWS) -> D
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast ``df`` if its rows add up to few bytes; a larger table is left to an ordinary join.
+    """Broadcast ``df`` if its rows add up to few bytes; a larger table is left to an ordinary join."""
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether the rows of ``df`` add up to few bytes.
 
     Strings count by their length, however long they are.  Meant for materialised tables, where adding up costs little.
     """
     size = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
     total = df.agg(F.sum(sum(size, F.lit(16)).cast("bigint"))).first()[0] or 0
-    return F.broadcast(df) if total <= max_bytes else df
+    return total <= max_bytes
 
 
 def salt_rows(df: DataFrame, hot: DataFrame, key: str, spread: Sequence[str]) -> DataFrame:
