@@ -113,3 +113,27 @@ def test_old_texts_are_not_read_again(spark, tmp_path):
     index.append(spark.createDataFrame(docs[10:], SCHEMA))  # merges the first segment
     index.delete(spark.createDataFrame(docs[:1], SCHEMA).select("doc_id"))
     assert index.counts()[1].count() == 19
+
+
+def test_a_segment_is_written_without_another_shuffle(spark, tmp_path, monkeypatch):
+    """Limits of ranges would have the counts computed a second time, and moved."""
+    docs, queries = corpus(40)
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.repartitionByRange", lambda *_: 1 / 0)
+    index = SegmentedIndex(spark, str(tmp_path), "string", stop_words=(), fanout=2)
+    index.append(spark.createDataFrame(docs[:20], SCHEMA))
+    index.append(spark.createDataFrame(docs[20:], SCHEMA))  # merges both
+    assert [tier for _, tier in index.segments()] == [1]
+    same(found(search.search_cosine(spark.createDataFrame(queries, ASKED), index.snapshot(), 5, stop_words=())), brute_force(docs, queries, 5))
+
+
+def test_the_ranges_of_blocks_are_found_in_stored_rows(spark, tmp_path, monkeypatch):
+    plans = []
+    write = blocks.write_by_term
+
+    def seen(rows, *args, **options):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        write(rows, *args, **options)
+
+    monkeypatch.setattr(blocks, "write_by_term", seen)
+    blocks.BlockIndex.save(search.build_index(spark.createDataFrame(corpus(30)[0], SCHEMA), stop_words=()), str(tmp_path), 7, buckets=2)
+    assert len(plans) == 1 and "Join" not in plans[0]

@@ -35,7 +35,7 @@ class SegmentedIndex:
         """Add ``docs(doc_id, text)``; their ids must not be in the index.  Repeated ids in ``docs`` are one document."""
         version, number = self._version(), self._number()
         tf = term_frequency(docs, self.stop_words)
-        tf.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id").write.parquet(self._at("postings", number))
+        self._write_postings(tf, number)
         docs.groupBy("doc_id").agg(F.count("*").alias("n_rows")).write.parquet(self._at("docs", number))
         self._publish([*version, ("segment", number, 0)])
         self._merge()
@@ -79,8 +79,7 @@ class SegmentedIndex:
             if len(same) < self.fanout:
                 continue
             merged = self._number()
-            postings = self._living("postings", version, same)
-            postings.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id").write.parquet(self._at("postings", merged))
+            self._write_postings(self._living("postings", version, same), merged)
             self._living("docs", version, same).write.parquet(self._at("docs", merged))
             kept = [row for row in version if row[0] == "deleted" or row[1] not in same]
             oldest = min([number for kind, number, _ in kept if kind == "segment"], default=merged)
@@ -88,6 +87,11 @@ class SegmentedIndex:
             self._publish(version)
             return self._merge()
 
+    def _write_postings(self, postings: DataFrame, number: int) -> None:
+        """Each task sorts what it has: a search reads a segment as a whole, and ranges would have it computed twice."""
+        sorted_rows = postings.sortWithinPartitions("term", "doc_id")
+        sorted_rows.write.option("compression", "zstd").parquet(self._at("postings", number))
+
     def _living(self, kind: str, version: list, numbers: Sequence[int]) -> DataFrame:
         schema = (POSTINGS if kind == "postings" else DOCS).format(self.id_type)
         read = lambda what, number, columns: self.spark.read.schema(columns).parquet(self._at(what, number))
