@@ -43,18 +43,19 @@ class BlockIndex:
     def save(index: SearchIndex, path: str, block_docs: int = 8, buckets: int | None = None) -> None:
         """Write ``index`` in blocks of ``block_docs`` documents.  Weights of 0 add nothing and are not written."""
         spark = index.postings.sparkSession
-        postings, stored_at, seen = store_counted(index.postings.select("doc_id", "term", "tf", "tfidf"), "postings")
+        postings, stored_at, seen = store_counted(index.postings.select("doc_id", "term", "tfidf"), "postings")
         buckets = buckets or buckets_for(-(-seen["n"] // 8))
         places = numbered(doc_norms(postings), [F.col("norm"), F.col("doc_id")], "place")
         block = F.floor((F.col("place") - 1) / block_docs).cast("bigint").alias("block")
         weight = (F.col("tfidf") / F.col("norm")).alias("weight")
-        entries = postings.filter("tfidf > 0").join(places.select("doc_id", "norm", block), "doc_id")
-        dealt = entries.select("term", "block", F.struct("doc_id", weight).alias("entry"))
+        joined = postings.filter("tfidf > 0").join(places.select("doc_id", "norm", block), "doc_id")
+        entries, entries_at = write_stored(joined.select("term", "block", "doc_id", weight), "block-entries")
+        drop_stored(spark, stored_at)  # the limits of the ranges are found in what is stored, not by a second join
+        dealt = entries.select("term", "block", F.struct("doc_id", "weight").alias("entry"))
         write_by_term(dealt, f"{path}/blocks", ["term", "block"], buckets, grouped=_as_blocks)
-        terms = postings.groupBy("term").agg(F.count("*").alias("df"), F.max(F.col("tfidf") / F.col("tf")).alias("idf"))
-        terms.write.mode("overwrite").parquet(f"{path}/terms")
+        index.terms.write.mode("overwrite").parquet(f"{path}/terms")
         write_buckets(spark, path, buckets)
-        drop_stored(spark, stored_at)
+        drop_stored(spark, entries_at)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> BlockIndex:
