@@ -61,6 +61,49 @@ def test_encoder_forgets_and_stands_broken_bytes(monkeypatch):
     assert encoder([b"a \xff b"]) == [np.array(ids_of("a \ufffd b"), "<u4").tobytes()]
 
 
+def test_a_word_is_encoded_once_whatever_signs_follow_it(monkeypatch):
+    asked, encode = [], token_files.encode_pieces
+
+    def encode_pieces(path, pieces):
+        asked.extend(pieces.to_pylist())
+        return encode(path, pieces)
+
+    monkeypatch.setattr(token_files, "encode_pieces", encode_pieces)
+    encoder = Encoder(FILE)
+    groups = [["a word, a word. a word", "a word\nword... Größe, word!?"], ["a word; Größe\nword,\nGröße word"]]
+    for texts in groups:
+        found = encoder([text.encode() for text in texts])
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [ids_of(text) for text in texts]
+    assert len(asked) == len(set(asked))
+    assert [piece for piece in asked if "word" in piece] == ["word", "\x00word"]
+    assert sorted(piece for piece in asked if "Größe" in piece) == ["\x00Größe", "Größe"]
+
+
+WORDS = ["the", "Über", "naïve", "x1", "can't", "dogs'", "e\u0301", "×", "_a", "(b", "日本", "²", "42", "don't"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(WORDS), st.text("'.,!_$%<|>²é", max_size=3), st.sampled_from(" \n")), max_size=12))
+def test_words_with_signs_equal_the_library(words):
+    text = "".join(word + signs + gap for word, signs, gap in words)[:-1]
+    assert np.frombuffer(ENCODER([text.encode()])[0], "<u4").tolist() == ids_of(text)
+
+
+def test_encoder_remembers_no_more_than_its_limits(monkeypatch):
+    monkeypatch.setattr(token_files, "MEMO_KEYS", 50)
+    monkeypatch.setattr(token_files, "MEMO_BYTES", 5_000)
+    encoder = Encoder(FILE)
+    for i in range(30):
+        texts = [f"the long{'x' * 3_000}{i} and", *(f"the {chr(97 + i % 26) * k} word" for k in range(1, 30)), "\x1c" * 200 + str(i)]
+        found = encoder([text.encode() for text in texts])
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [ids_of(text) for text in texts]
+        assert len(encoder.pieces) <= 2 * 50 + 40
+        assert encoder.pieces.nbytes <= 5_000 + 10_000
+        assert len(encoder.sizes) == len(encoder.starts) == len(encoder.used) == len(encoder.pieces)
+        assert encoder.sizes.sum() == len(encoder.ids)
+    assert "the" in encoder.pieces.to_pylist()
+
+
 def random_rows(n):
     rng = random.Random(3)
     return [(i * 7 % n, "".join(rng.choices(PIECES, k=rng.randint(0, 60)))) for i in range(n)]

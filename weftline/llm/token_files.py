@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -27,11 +26,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftline.llm.common import binary_texts, grouped, map_in_arrow
-from weftline.llm.pretokens import encode_keys, keys_of, special_strings
+from weftline.llm.pretokens import cut_keys, encode_pieces, keys_of, special_strings
 
 SEGMENT_IDS = 1 << 18
 RANK_BLOCK = 512
 MEMO_KEYS = 250_000
+MEMO_BYTES = 64_000_000
+LONG_PIECE = 100
 GROUP_BYTES = 4_000_000
 #: What makes a text odd: empty, spaces at an end or side by side, spaces that are no space or line feed, NUL.
 ODD_SPACES = (
@@ -94,21 +95,30 @@ def ids_at(levels: list[dict[str, bytes]], places: np.ndarray) -> np.ndarray:
     return ids
 
 
+def _runs(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Runs of ``pool``, one after the other."""
+    stops = np.cumsum(sizes)
+    return pool[np.repeat(starts - (stops - sizes), sizes) + np.arange(sizes.sum())]
+
+
 class Encoder:
-    """Ids of texts as little-endian 32-bit bytes; pre-tokens seen before are looked up.
+    """Ids of texts as little-endian 32-bit bytes; pieces of pre-tokens seen before are looked up.
 
-    Texts whose words stand between single spaces and line feeds are cut by Arrow, and only the different
-    pre-tokens of a group of texts are looked at one by one; other texts are cut by ``keys_of``.
+    Texts whose words stand between single spaces and line feeds are cut by Arrow; other texts are cut by ``keys_of``.
+    The different pre-tokens of a group of texts are cut into words and signs, and only the pieces that are not
+    remembered go through Python.
 
-    There are two generations of at most ``MEMO_KEYS`` pre-tokens.  When the young one is full it becomes the old
-    one; what is used again moves back, so frequent pre-tokens stay.
+    The memo is a column of pieces beside the place and number of their ids in one array.  When it has more than twice
+    ``MEMO_KEYS`` pieces, or more than ``MEMO_BYTES`` of them, the ``MEMO_KEYS`` that were used last stay, without
+    long ones.
     """
 
     def __init__(self, tokenizer_file: str):
         self.file, self.special = tokenizer_file, special_strings(tokenizer_file)
         self.odd = "|".join([ODD_SPACES, *map(re.escape, self.special)])
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.pieces, self.ids = pa.array([], pa.string()), np.zeros(0, np.uint32)
+        self.sizes, self.starts, self.used = (np.zeros(0, np.int64) for _ in range(3))
+        self.group = 0
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         try:
@@ -118,8 +128,8 @@ class Encoder:
         except pa.ArrowInvalid:  # not UTF-8
             odd, plain = np.ones(len(texts), bool), iter(())
         split = [keys_of(t.decode("utf-8", "replace"), self.special) for t, o in zip(texts, odd, strict=True) if o]
-        found = iter(self.lookup([key for keys in split for key in keys]))
-        rest = iter([b"".join([next(found) for _ in keys]) for keys in split])
+        coded = pa.array([key for keys in split for key in keys], pa.string()).dictionary_encode()
+        rest = iter(self.joined(coded.dictionary, coded.indices.to_numpy(), np.cumsum([len(keys) for keys in split])))
         return [next(rest) if o else next(plain) for o in odd]
 
     def encode_plain(self, column: pa.Array) -> list[bytes]:
@@ -131,30 +141,53 @@ class Encoder:
         first = np.concatenate([[0], ends[:-1]])
         flat = pieces.flatten()
         coded = flat.dictionary_encode()
-        keys = coded.dictionary.to_pylist()
         index = coded.indices.to_numpy().astype(np.int64)
-        index[first] = len(keys) + np.arange(len(first))  # the first piece of a text has no space before it
-        keys += ["\x00" + key for key in flat.take(pa.array(first)).to_pylist()]
-        parts = self.lookup(keys)
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        pool = np.frombuffer(b"".join(parts), "<u4")
+        index[first] = len(coded.dictionary) + np.arange(len(first))  # the first piece of a text has no space before it
+        starts = pc.binary_join_element_wise("\x00", flat.take(pa.array(first)), "")
+        return self.joined(pa.concat_arrays([coded.dictionary, starts]), index, ends)
+
+    def joined(self, keys: pa.Array, index: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The ids of texts that are ``keys[index]``, cut at ``ends``."""
+        if not len(keys):
+            return [b""] * len(ends)
+        pieces, places = cut_keys(self.file, keys)
+        at = self.lookup(pieces)
+        cut = places >= 0
+        at = at[places[cut]]
+        pool = _runs(self.ids, self.starts[at], self.sizes[at])
+        sizes = np.zeros(places.shape, np.int64)
+        sizes[cut] = self.sizes[at]
+        sizes = sizes.sum(axis=1)
         n = sizes[index]
-        stops = np.cumsum(n)
-        ids = pool[np.arange(stops[-1]) + np.repeat((np.cumsum(sizes) - sizes)[index] - (stops - n), n)].tobytes()
-        cuts = [0, *(4 * stops[ends - 1]).tolist()]
+        ids = _runs(pool, (np.cumsum(sizes) - sizes)[index], n).tobytes()
+        cuts = (4 * np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], ends])]).tolist()
         return [ids[i:j] for i, j in pairwise(cuts)]
 
-    def lookup(self, keys: list[str]) -> list[bytes]:
-        """The ids of each key."""
-        found = list(map(self.young.get, keys))
-        missed = {key for key, own in zip(keys, found) if own is None}  # noqa: B905  equally long
-        added = {key: self.old[key] for key in missed if key in self.old}
-        new = [key for key in missed if key not in added]
-        added.update(zip(new, (array("I", ids).tobytes() for ids in encode_keys(self.file, new)), strict=True))
-        if len(self.young) + len(added) > MEMO_KEYS:
-            self.young, self.old = {}, self.young
-        self.young.update(added)
-        return [added[key] if own is None else own for key, own in zip(keys, found)]  # noqa: B905
+    def lookup(self, pieces: pa.Array) -> np.ndarray:
+        """The place of each piece in the memo, which then has all of them."""
+        if len(self.pieces) > 2 * MEMO_KEYS or self.pieces.nbytes > MEMO_BYTES:
+            self.forget()
+        found = pc.index_in(pieces, value_set=self.pieces)
+        at = pc.fill_null(found, -1).to_numpy().astype(np.int64)
+        if found.null_count:
+            missed = pieces.filter(found.is_null())
+            new, sizes, ids = encode_pieces(self.file, missed.unique())
+            at[at < 0] = len(self.pieces) + pc.index_in(missed, value_set=new).to_numpy()
+            self.pieces = pa.concat_arrays([self.pieces, new])
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+            self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+            self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
+        self.group += 1
+        self.used[at] = self.group
+        return at
+
+    def forget(self) -> None:
+        """Leave the pieces that were used last."""
+        short = np.flatnonzero(pc.binary_length(self.pieces).to_numpy() <= LONG_PIECE)
+        kept = short[np.argsort(-self.used[short], kind="stable")[:MEMO_KEYS]]
+        self.ids = _runs(self.ids, self.starts[kept], self.sizes[kept])
+        self.pieces, self.sizes, self.used = self.pieces.take(pa.array(kept)), self.sizes[kept], self.used[kept]
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
 
 _ENCODERS: dict[str, Encoder] = {}
