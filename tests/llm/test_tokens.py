@@ -81,14 +81,34 @@ def test_a_word_is_encoded_once_whatever_signs_follow_it(monkeypatch):
 
 WORDS = ["the", "Über", "naïve", "x1", "can't", "dogs'", "e\u0301", "×", "_a", "(b", "日本", "²", "42", "don't"]
 
+GAPS = st.sampled_from([" ", "\n", "\n\n", " ", "\n", "\n\n", "\n\n\n", "  ", "\t", "\n "])
+
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.tuples(st.sampled_from(WORDS), st.text("'.,!_$%<|>²é", max_size=3), st.sampled_from(" \n")), max_size=12))
+@given(st.lists(st.tuples(st.sampled_from(WORDS), st.text("'.,!_$%<|>²é", max_size=3), GAPS), max_size=12))
 def test_words_with_signs_equal_the_library(words):
     text = "".join(word + signs + gap for word, signs, gap in words)[:-1]
     assert np.frombuffer(ENCODER([text.encode()])[0], "<u4").tolist() == ids_of(text)
 
 
+def test_texts_with_empty_lines_are_cut_by_arrow(monkeypatch):
+    texts = ["A title\n\nfirst words.\n\nlast, 12\n\n(words)\nend", "a\n\nb", "a\n\n\nb", "a \n\nb", "a\n\n b"]
+    slow, keys = [], token_files.keys_of
+    monkeypatch.setattr(token_files, "keys_of", lambda text, special: slow.append(text) or keys(text, special))
+    found = Encoder(FILE)([text.encode() for text in texts])
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [ids_of(text) for text in texts]
+    assert slow == texts[2:]
+
+
+def test_special_strings_of_letters_and_signs_are_not_cut(tmp_path):
+    own = Tokenizer.from_file(FILE)
+    own.add_special_tokens(["word!", "b."])
+    own.save(path := str(tmp_path / "own.json"))
+    texts = ["aword!", "a word!", "ab... b", " ab.?", "a b", "word!?\nb.."]
+    found = Encoder(path)([text.encode() for text in texts])
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [own.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_encoder_remembers_no_more_than_its_limits(monkeypatch):
     monkeypatch.setattr(token_files, "MEMO_KEYS", 50)
     monkeypatch.setattr(token_files, "MEMO_BYTES", 5_000)

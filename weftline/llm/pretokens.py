@@ -131,8 +131,8 @@ def cut_keys(path: str, keys: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """(pieces, places): the keys cut further, and for each key the places of its line feed, word and signs in ``pieces``.
 
     The byte-level rules cut a word of Latin letters from a line feed before it and from the ASCII signs that follow
-    to the end of the key.  Pieces are keys again.  A place is -1 where there is no such piece; any other key is one
-    piece.
+    to the end of the key.  Pieces are keys again.  A place is -1 where there is no such piece; any other key, or
+    one with a special string, is one piece.
     """
     places = np.full((len(keys), 3), -1, np.int64)
     places[:, 1] = np.arange(len(keys))
@@ -140,6 +140,8 @@ def cut_keys(path: str, keys: pa.Array) -> tuple[pa.Array, np.ndarray]:
         return keys, places
     bare = pc.ascii_rtrim(keys, ASCII_PUNCTUATION.decode())
     word = pc.match_substring_regex(bare, rf"\A{_WORD}\z")
+    for string in special_strings(path):
+        word = pc.and_not(word, pc.match_substring(keys, string))
     feed = pc.and_(word, pc.starts_with(bare, "\n"))
     signs = pc.and_(word, pc.less(pc.binary_length(bare), pc.binary_length(keys)))
     words = pc.if_else(word, bare, keys)

@@ -34,9 +34,10 @@ MEMO_KEYS = 250_000
 MEMO_BYTES = 64_000_000
 LONG_PIECE = 100
 GROUP_BYTES = 4_000_000
-#: What makes a text odd: empty, spaces at an end or side by side, spaces that are no space or line feed, NUL.
+#: What makes a text odd: empty, spaces at an end or side by side but for one empty line, spaces that are no space or line
+#: feed, NUL.
 ODD_SPACES = (
-    r"\A\z|\A[ \n]|[ \n]\z|[ \n][ \n]|[\x00\t\x0b\x0c\r\x1c-\x1f]|"
+    r"\A\z|\A[ \n]|[ \n]\z| [ \n]|\n |\n\n\n|[\x00\t\x0b\x0c\r\x1c-\x1f]|"
     r"[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 LEVELS = "array<struct<chunks:binary,more:binary,ranks:binary>>"
@@ -104,7 +105,8 @@ def _runs(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray
 class Encoder:
     """Ids of texts as little-endian 32-bit bytes; pieces of pre-tokens seen before are looked up.
 
-    Texts whose words stand between single spaces and line feeds are cut by Arrow; other texts are cut by ``keys_of``.
+    Texts whose words stand between single spaces, line feeds and empty lines are cut by Arrow; other texts are cut by
+    ``keys_of``.
     The different pre-tokens of a group of texts are cut into words and signs, and only the pieces that are not
     remembered go through Python.
 
@@ -129,11 +131,15 @@ class Encoder:
             odd, plain = np.ones(len(texts), bool), iter(())
         split = [keys_of(t.decode("utf-8", "replace"), self.special) for t, o in zip(texts, odd, strict=True) if o]
         coded = pa.array([key for keys in split for key in keys], pa.string()).dictionary_encode()
-        rest = iter(self.joined(coded.dictionary, coded.indices.to_numpy(), np.cumsum([len(keys) for keys in split])))
+        keys = pc.replace_substring_regex(coded.dictionary, r"\A\x00 ([^\x00 \n])", r"\1")  # with its space: a plain key
+        rest = iter(self.joined(keys, coded.indices.to_numpy(), np.cumsum([len(keys) for keys in split])))
         return [next(rest) if o else next(plain) for o in odd]
 
     def encode_plain(self, column: pa.Array) -> list[bytes]:
-        """Ids of texts without odd spaces, which are not empty."""
+        """Ids of texts without odd spaces, which are not empty.
+
+        The tokenizer takes the two line feeds around an empty line one by one, as the keys that come out here.
+        """
         if not len(column):
             return []
         pieces = pc.split_pattern(pc.replace_substring(column, "\n", " \n"), " ")
