@@ -1,6 +1,7 @@
 """Token counts and token files next to the tokenizers library, and an exact round trip of the codes."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -124,6 +125,50 @@ def test_encoder_remembers_no_more_than_its_limits(monkeypatch):
     assert "the" in encoder.pieces.to_pylist()
 
 
+def test_runs_take_little_more_room_than_they_give():
+    rng = np.random.default_rng(1)
+    pool, starts, sizes = np.arange(1_000, dtype=np.uint32), rng.integers(0, 900, 400_000), rng.integers(0, 9, 400_000)
+    tracemalloc.start()
+    found = token_files._runs(pool, starts, sizes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.tolist() == [i for a, n in zip(starts.tolist(), sizes.tolist(), strict=True) for i in range(a, a + n)]
+    assert peak < 2 * found.nbytes
+    assert not len(token_files._runs(pool, starts[:0], sizes[:0]))
+
+
+def test_lookup_finds_pieces_that_come_twice_or_are_new():
+    encoder = Encoder(FILE)
+    encoder([b"one two three two"])
+    pieces = ["two", "new", "two", "\x00one", "newer"]
+    for _ in range(2):
+        assert encoder.pieces.take(token_files.pa.array(encoder.lookup(token_files.pa.array(pieces)))).to_pylist() == pieces
+        assert len(set(encoder.pieces.to_pylist())) == len(encoder.pieces)
+
+
+def test_documents_reach_python_in_small_batches(spark, documents, monkeypatch):
+    key, segments = "spark.sql.execution.arrow.maxBytesPerBatch", token_files._segments
+    before, most = spark.conf.get(key), 2 * token_files.BATCH_BYTES
+
+    def spied(*settings):
+        write = segments(*settings)
+
+        def small(batches):
+            for batch in batches:
+                if batch.nbytes > most:
+                    raise ValueError(f"{batch.nbytes} bytes at once")
+                yield batch
+
+        return lambda batches: write(small(batches))
+
+    monkeypatch.setattr(token_files, "_segments", spied)
+    rows = [(i, f"document {i} " + "word " * 4_000) for i in range(900)]
+    path = scratch_path(spark, "test-files")
+    write_token_files(documents(rows).coalesce(1), path, FILE, 2)
+    assert spark.conf.get(key) == before
+    assert read_digests(spark, path).count() == 900
+
+
 def random_rows(n):
     rng = random.Random(3)
     return [(i * 7 % n, "".join(rng.choices(PIECES, k=rng.randint(0, 60)))) for i in range(n)]

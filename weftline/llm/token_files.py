@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weftline.llm.common import binary_texts, grouped, map_in_arrow
+from weftline.llm.common import arrow_batches, binary_texts, grouped, map_in_arrow
 from weftline.llm.pretokens import cut_keys, encode_pieces, keys_of, special_strings
 
 SEGMENT_IDS = 1 << 18
@@ -33,7 +33,10 @@ RANK_BLOCK = 512
 MEMO_KEYS = 250_000
 MEMO_BYTES = 64_000_000
 LONG_PIECE = 100
-GROUP_BYTES = 4_000_000
+GROUP_BYTES = 1_000_000
+#: A batch is held in memory by Spark and by the worker.
+BATCH_BYTES = 4_000_000
+SOME_RUNS = 1 << 15
 #: What makes a text odd: empty, spaces at an end or side by side but for one empty line, spaces that are no space or line
 #: feed, NUL.
 ODD_SPACES = (
@@ -97,9 +100,15 @@ def ids_at(levels: list[dict[str, bytes]], places: np.ndarray) -> np.ndarray:
 
 
 def _runs(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Runs of ``pool``, one after the other."""
-    stops = np.cumsum(sizes)
-    return pool[np.repeat(starts - (stops - sizes), sizes) + np.arange(sizes.sum())]
+    """Runs of ``pool``, one after the other; ``SOME_RUNS`` at a time, as their places take several times their room."""
+    out, done = np.empty(sizes.sum(), pool.dtype), 0
+    for i in range(0, len(sizes), SOME_RUNS):
+        some = sizes[i : i + SOME_RUNS]
+        stops = np.cumsum(some)
+        places = np.repeat(starts[i : i + SOME_RUNS] - (stops - some), some) + np.arange(stops[-1])
+        out[done : done + len(places)] = pool[places]
+        done += len(places)
+    return out
 
 
 class Encoder:
@@ -147,7 +156,7 @@ class Encoder:
         first = np.concatenate([[0], ends[:-1]])
         flat = pieces.flatten()
         coded = flat.dictionary_encode()
-        index = coded.indices.to_numpy().astype(np.int64)
+        index = coded.indices.to_numpy().copy()
         index[first] = len(coded.dictionary) + np.arange(len(first))  # the first piece of a text has no space before it
         starts = pc.binary_join_element_wise("\x00", flat.take(pa.array(first)), "")
         return self.joined(pa.concat_arrays([coded.dictionary, starts]), index, ends)
@@ -165,27 +174,34 @@ class Encoder:
         sizes[cut] = self.sizes[at]
         sizes = sizes.sum(axis=1)
         n = sizes[index]
-        ids = _runs(pool, (np.cumsum(sizes) - sizes)[index], n).tobytes()
-        cuts = (4 * np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], ends])]).tolist()
-        return [ids[i:j] for i, j in pairwise(cuts)]
+        ids = _runs(pool, (np.cumsum(sizes) - sizes)[index], n)
+        cuts = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], ends])].tolist()
+        return [ids[i:j].tobytes() for i, j in pairwise(cuts)]
 
     def lookup(self, pieces: pa.Array) -> np.ndarray:
-        """The place of each piece in the memo, which then has all of them."""
+        """The place of each piece in the memo, which then has all of them.
+
+        The different pieces are few beside the memo: the memo is looked up in them, not they in the memo.
+        """
         if len(self.pieces) > 2 * MEMO_KEYS or self.pieces.nbytes > MEMO_BYTES:
             self.forget()
-        found = pc.index_in(pieces, value_set=self.pieces)
-        at = pc.fill_null(found, -1).to_numpy().astype(np.int64)
-        if found.null_count:
-            missed = pieces.filter(found.is_null())
-            new, sizes, ids = encode_pieces(self.file, missed.unique())
-            at[at < 0] = len(self.pieces) + pc.index_in(missed, value_set=new).to_numpy()
+        coded = pieces.dictionary_encode()
+        found = pc.index_in(self.pieces, value_set=coded.dictionary)
+        known = found.is_valid().to_numpy(zero_copy_only=False)
+        at = np.full(len(coded.dictionary), -1, np.int64)
+        at[found.drop_null().to_numpy()] = np.flatnonzero(known)
+        missing = at < 0
+        if missing.any():
+            missed = coded.dictionary.filter(pa.array(missing))
+            new, sizes, ids = encode_pieces(self.file, missed)
+            at[missing] = len(self.pieces) + pc.index_in(missed, value_set=new).to_numpy()
             self.pieces = pa.concat_arrays([self.pieces, new])
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
             self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
             self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
         self.group += 1
         self.used[at] = self.group
-        return at
+        return at[coded.indices.to_numpy()]
 
     def forget(self) -> None:
         """Leave the pieces that were used last."""
@@ -253,7 +269,8 @@ def write_token_files(
     order = [F.asc("doc_id"), F.asc("tie")]
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     segments = map_in_arrow(dealt, _segments(tokenizer_file, end_id, segment_ids), SEGMENTS)
-    segments.write.parquet(f"{path}/segments")
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        segments.write.parquet(f"{path}/segments")
     written = docs.sparkSession.read.schema(SEGMENTS).parquet(f"{path}/segments")
     sizes = written.groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -267,7 +284,8 @@ def _tables(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
+        for i in range(batch.num_rows):
+            [row] = batch.slice(i, 1).to_pylist()
             octets = decode_levels(row["levels"]).astype("<u4").tobytes()
             ends = np.cumsum(row["lengths"])
             starts = ends - row["lengths"]
