@@ -96,3 +96,46 @@ def test_a_file_for_each_row_is_written_by_all_cores_and_read_in_few_tasks(spark
         assert found.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def files_below(root):
+    return sorted((path.parent.name, path.read_bytes()) for path in root.rglob("*") if path.is_file() and path.name != "_SUCCESS")
+
+
+def test_local_files_are_written_by_the_tasks_as_spark_writes_them(spark, tmp_path, monkeypatch):
+    rows = [("en", "one"), (None, "two"), ("", "three"), ("a/b=c %'{^", "four"), ("ü ", "fünf\n"), ("en", None), ("en", ""), ("en", "one")]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    each = docs.write.options(**sinks.SMALL_FILES).option("maxRecordsPerFile", 1).option("lineSep", "\f")
+    each.partitionBy("lang").text(f"{tmp_path}/spark")
+    monkeypatch.setattr(sinks, "SMALL_FILES", {"fs.file.impl": "no.such.FileSystem"})
+    sinks.write_file_each(docs, f"{tmp_path}/tasks", "lang")
+    assert files_below(tmp_path / "tasks") == files_below(tmp_path / "spark") and len(files_below(tmp_path / "tasks")) == 8
+    with pytest.raises(Exception):
+        sinks.write_file_each(docs, f"{tmp_path}/tasks", "lang")
+
+
+def test_local_folders_are_listed_by_the_tasks_as_spark_lists_them(spark, tmp_path, monkeypatch):
+    root = tmp_path / "root"
+    for place in ("en", "_a=1", "deep/space", ".hidden", "_hidden"):
+        (root / place).mkdir(parents=True)
+        for name in ("1", ".2", "_3", "_4=4", "5._COPYING_"):
+            (root / place / name).write_bytes(f"{place} {name} caf\xe9\r\n".encode("latin-1"))
+        (root / place / "empty").touch()
+    (root / "en" / "nowhere").symlink_to(root / "missing")
+    (root / "en" / "link").symlink_to(root / "en" / "1")
+    found = read_labelled_directory(spark, [str(root), f"file://{root}/en", str(root)], 0)
+    assert "binaryFile" not in found._jdf.queryExecution().executedPlan().toString()
+    got = rows(found)
+    monkeypatch.setattr(directories, "local_folder", lambda spark, path: None)
+    assert got == rows(read_labelled_directory(spark, [str(root), f"file://{root}/en", str(root)], 0)) and len(got) == 4
+
+
+def test_a_local_file_that_cannot_be_read_is_an_error_or_skipped(spark, tmp_path):
+    for name in ("1", "2"):
+        (tmp_path / "en").mkdir(exist_ok=True)
+        (tmp_path / "en" / name).write_text(name * 60)
+    found = [read_labelled_directory(spark, str(tmp_path), skip_unreadable=skip) for skip in (False, True)]
+    (tmp_path / "en" / "1").unlink()
+    with pytest.raises(Exception, match="No such file"):
+        found[0].collect()
+    assert [row.text for row in found[1].collect()] == ["2" * 60]
