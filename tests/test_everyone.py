@@ -67,3 +67,35 @@ def test_lists_of_one_length_are_joined_whole_and_counted_in_blocks(spark, monke
     needed = everyone.needed_lists(entries, heads, everyone._both_ways(members), 3)
     assert [row["use"] for row in needed.select("use").distinct().collect()] == ["whole"]
     assert run(spark, lists, k=3, head=4) == brute_force(lists, people(lists), 3)
+
+
+@pytest.mark.parametrize("block", [5, 65536])
+@pytest.mark.parametrize("seed", range(2))
+def test_users_of_long_lists_and_a_spool(spark, seed, block, monkeypatch):
+    """Long lists are joined by need, in blocks of any size, with repeated friends and several lists of an owner."""
+    monkeypatch.setattr(everyone, "BLOCK", block)
+    monkeypatch.setattr(everyone, "SPOOL_BYTES", 16)
+    rng = random.Random(seed)
+    names = [str(i) for i in range(60)] + ["x", "y"]
+    lists = [(rng.choice(names), rng.choices(names, k=rng.choice((1, 3, 6, 25)))) for _ in range(50)]
+    for long_list in (0, 1024):
+        assert run(spark, lists, k=3, head=3, long_list=long_list) == brute_force(lists, people(lists), 3)
+
+
+def test_lists_take_two_bytes_a_person_and_no_row_a_pair(spark, monkeypatch):
+    """What is shuffled for lists of one length are their pieces, not users by candidates of every small block."""
+    rng = random.Random(2)
+    owners = [(str(i), [str(j) for j in rng.sample(range(4000), 150)]) for i in range(400)]
+    seen, made = {}, everyone._counted_blocks
+
+    def counted(rows, k, blocks):
+        size = F.size("users") + F.size("candidates")
+        seen["people"] = rows.agg(F.sum(size)).first()[0]
+        seen["types"] = dict(rows.dtypes)
+        return made(rows, k, blocks)
+
+    monkeypatch.setattr(everyone, "_counted_blocks", counted)
+    assert run(spark, owners) == brute_force(owners, people(owners))
+    assert seen["types"]["users"] == seen["types"]["candidates"] == "array<smallint>"
+    assert seen["people"] < 400 * 150 * 64
+    assert not spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "true"
