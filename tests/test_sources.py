@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from weftline.plans.catalog import QUERIES
 from weftline.sources import lines as L
 from weftline.sources import directories, sinks
 from weftline.sources.directories import read_labelled_directory
@@ -139,3 +140,15 @@ def test_a_local_file_that_cannot_be_read_is_an_error_or_skipped(spark, tmp_path
     with pytest.raises(Exception, match="No such file"):
         found[0].collect()
     assert [row.text for row in found[1].collect()] == ["2" * 60]
+
+
+def test_two_roots_of_local_files_need_no_file_of_sparks_writer(spark, tmp_path, monkeypatch):
+    texts = [(i, "en" if i % 3 else None, f"text number {i} " + "x" * 60) for i in range(20)]
+    spark.createDataFrame(texts, "doc_id bigint, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(sinks, "SMALL_FILES", {"fs.file.impl": "no.such.FileSystem"})
+    found = QUERIES["labelled_two_folders"](spark, str(tmp_path))
+    assert "binaryFile" not in found._jdf.queryExecution().executedPlan().toString()
+    folders = {(i % 2, lang): 0 for i, lang, _ in texts}
+    for row in found.collect():
+        folders[int(row.root == "train"), None if "DEFAULT" in row.label else row.label.removeprefix("lang=")] += 1
+    assert folders == {key: sum((i % 2, lang) == key for i, lang, _ in texts) for key in folders}
